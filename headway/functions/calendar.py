@@ -85,8 +85,8 @@ def hour_from_time_text(time) -> Column:
     hh = F.regexp_extract(t, clock, 1)
     mm = F.regexp_extract(t, clock, 2)
     strict = F.when(
-        t.rlike(clock) & (hh.cast("int") <= 23) & (mm.cast("int") <= 59),
-        hh.cast("int"),
+        t.rlike(clock) & (hh.try_cast("int") <= 23) & (mm.try_cast("int") <= 59),
+        hh.try_cast("int"),
     )
     fallback = F.substring(t, 1, 2).try_cast("double")
     fallback = F.when(~F.isnan(fallback), fallback).cast("int")

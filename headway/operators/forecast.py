@@ -40,14 +40,15 @@ def forecast_grid(
     """
     fw = forecast_weather.select("datetime", *FORECAST_WEATHER)
     span = fw.select(F.struct(F.min("datetime").alias("lo"), F.max("datetime").alias("hi")).alias("s")).scalar()
-    hours = F.sequence(span.getField("lo"), span.getField("hi"), F.expr("INTERVAL 1 HOUR"))
+    hours = F.sequence(F.col("_span.lo"), F.col("_span.hi"), F.expr("INTERVAL 1 HOUR"))
     routes = route_risk.select(
         F.col("route").cast("string").alias("route"),
         *[F.col(k).alias(v) for k, v in ROUTE_FEATURES.items()],
         F.col("risk_score").cast("double").alias("risk_score"),
         F.col("risk_tier").cast("string").alias("risk_tier"),
     )
-    grid = routes.withColumn("datetime", F.explode(hours)).join(checked_broadcast(fw), "datetime", "inner")
+    routes = routes.withColumn("_span", span)
+    grid = routes.withColumn("datetime", F.explode(hours)).drop("_span").join(checked_broadcast(fw), "datetime", "inner")
     real_hour = F.hour("datetime").cast("int")
     hb = (F.floor(real_hour / 2) * 2).cast("int")
     grid = grid.withColumns(

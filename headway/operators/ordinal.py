@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 1024
 
 
-def _range_bucket(df: DataFrame, order_col: str, buckets: int) -> Column:
+def _with_range_bucket(df: DataFrame, order_col: str, buckets: int, out: str) -> DataFrame:
     b = df.select(F.struct(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).alias("b")).scalar()
-    lo, hi = b.getField("lo").cast("double"), b.getField("hi").cast("double")
+    d = df.withColumn("_rng", b)  # the subquery appears once in the plan
+    lo, hi = F.col("_rng.lo").cast("double"), F.col("_rng.hi").cast("double")
     x = F.col(order_col).cast("double")
     width = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
-    return F.least(F.lit(buckets - 1), F.floor((x - lo) / width * F.lit(buckets))).cast("int")
+    bucket = F.least(F.lit(buckets - 1), F.floor((x - lo) / width * F.lit(buckets))).cast("int")
+    return d.withColumn(out, bucket).drop("_rng")
 
 
 def running_sums(
@@ -42,10 +44,9 @@ def running_sums(
     """
     parts = list(partition_cols or [])
     ties = list(tiebreak or [])
-    bucket = _range_bucket(df, order_col, buckets)
+    d = _with_range_bucket(df, order_col, buckets, "_bkt")
     if descending:
-        bucket = F.lit(buckets - 1) - bucket
-    d = df.withColumn("_bkt", bucket)
+        d = d.withColumn("_bkt", F.lit(buckets - 1) - F.col("_bkt"))
     totals = d.groupBy(*parts, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_b = Window.partitionBy(*parts).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

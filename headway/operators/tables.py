@@ -225,11 +225,12 @@ def min_max_norm(df: DataFrame, cols: dict[str, str]) -> DataFrame:
             *[F.max(src).alias(f"mx_{src}") for src in cols.values()],
         ).alias("b")
     ).scalar()
+    df = df.withColumn("_bounds", bounds)  # the subquery appears once in the plan
     exprs = {}
     for out, src in cols.items():
-        mn, mx = bounds.getField(f"mn_{src}"), bounds.getField(f"mx_{src}")
+        mn, mx = F.col(f"_bounds.mn_{src}"), F.col(f"_bounds.mx_{src}")
         exprs[out] = (F.col(src) - mn) / F.nullif(mx - mn, F.lit(0))
-    return df.withColumns(exprs)
+    return df.withColumns(exprs).drop("_bounds")
 
 
 def risk_expression(prefix_cols=RISK_WEIGHTS) -> Column:

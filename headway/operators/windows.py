@@ -109,9 +109,10 @@ def training_features(windows: DataFrame, route_risk: DataFrame) -> tuple[DataFr
     stats = route_risk.select("route", *[F.col(k).alias(v) for k, v in ROUTE_FEATURES.items()])
     df = windows.join(stats, "route", "left")
     medians = df.select(F.struct(*[F.median(c).alias(c) for c in ROUTE_FEATURES.values()]).alias("m")).scalar()
+    df = df.withColumn("_med", medians)
     df = df.withColumns(
-        {c: F.coalesce(F.col(c), medians.getField(c), F.lit(0.0)) for c in ROUTE_FEATURES.values()}
-    )
+        {c: F.coalesce(F.col(c), F.col(f"_med.{c}"), F.lit(0.0)) for c in ROUTE_FEATURES.values()}
+    ).drop("_med")
     route_enc = encoder_table(df, "route")
     period_enc = encoder_table(df, "time_period", fill="Unknown")
     df = df.join(route_enc.withColumnRenamed("label", "route").withColumnRenamed("code", "route_enc"), "route", "left")
@@ -142,9 +143,10 @@ def standardise(features: DataFrame, cols: list[str] = FEATURES, suffix: str = "
             *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in cols],
         ).alias("s")
     ).scalar()
+    df = features.withColumn("_stats", stats)  # the subquery appears once in the plan
     exprs = {}
     for c in cols:
-        sd = stats.getField(f"s_{c}")
+        sd = F.col(f"_stats.s_{c}")
         sd = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-        exprs[c + suffix] = (F.col(c).cast("double") - stats.getField(f"m_{c}")) / sd
-    return features.withColumns(exprs)
+        exprs[c + suffix] = (F.col(c).cast("double") - F.col(f"_stats.m_{c}")) / sd
+    return df.withColumns(exprs).drop("_stats")

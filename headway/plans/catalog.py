@@ -391,3 +391,7 @@ QUERIES: dict[str, Query] = {
     "top10_risk_routes": q_top10_risk_routes,
     "star_daily_risk": q_star_daily_risk,
 }
+
+from headway.plans.model_queries import MODEL_QUERIES  # noqa: E402
+
+QUERIES.update(MODEL_QUERIES)

@@ -95,3 +95,57 @@ def stages(spark: SparkSession, sf_dir: str) -> Stages:
     if key not in _REGISTRY:
         _REGISTRY[key] = Stages(spark, sf_dir)
     return _REGISTRY[key]
+
+
+# ---------------------------------------------------------------- models
+# Trees per boosted model in the registered queries: the published model uses
+# 200; Spark ML pays a few jobs per tree, so the catalogue keys default to 20
+# (the full count is a parameter of every fit, see headway.plans.model).
+QUERY_TREES = 20
+
+
+class ModelStages:
+    def __init__(self, st: Stages, n_trees: int = QUERY_TREES):
+        from headway.plans.model import TreeParams
+
+        self.st = st
+        self.params = TreeParams(n_trees=n_trees)
+
+    @cached_property
+    def train(self) -> DataFrame:
+        from headway.plans.model import training_frame
+
+        t = training_frame(self.st.features)
+        return materialize(t, "train", self.st.spark).cache()
+
+    @cached_property
+    def calibrated(self):
+        from headway.plans.model import fit_calibrated_trees
+
+        return fit_calibrated_trees(self.train, self.params)
+
+    @cached_property
+    def linear(self):
+        from headway.plans.model import LinearParams, fit_calibrated_linear
+
+        return fit_calibrated_linear(self.train, LinearParams())
+
+    @cached_property
+    def raw_trees(self):
+        return self.params.estimator().fit(self.train)
+
+    @cached_property
+    def oof(self) -> DataFrame:
+        from headway.plans.model import out_of_fold
+
+        return materialize(out_of_fold(self.train, self.params), "oof", self.st.spark)
+
+
+_MODELS: dict[tuple[str, str], ModelStages] = {}
+
+
+def model_stages(spark: SparkSession, sf_dir: str) -> ModelStages:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        _MODELS[key] = ModelStages(stages(spark, sf_dir))
+    return _MODELS[key]

@@ -17,6 +17,34 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "label")
     )
 
 
+def ranking_metrics(scored: DataFrame, score: str = "score", label: str = "label", places: int = 10) -> DataFrame:
+    """ROC AUC and average precision from one running-count pass over distinct scores.
+
+    With ascending running counts (inclusive) of positives and negatives,
+    negatives strictly below a score = cum_neg - neg, and rows at or above it
+    = totals minus the strictly-below counts.  One row: n, positives, auc, average_precision.
+    """
+    counts = score_counts(scored, score, label)
+    totals = counts.select(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
+    cum = running_sums(counts, "score", ["pos", "neg"], inclusive=True).withColumn("_tot", totals)
+    return _ranking_from_cum(cum, places)
+
+
+def _ranking_from_cum(cum: DataFrame, places: int) -> DataFrame:
+    neg_below = F.col("cum_neg") - F.col("neg")
+    tp = F.col("_tot.p") - (F.col("cum_pos") - F.col("pos"))
+    fp = F.col("_tot.n") - neg_below
+    return cum.agg(
+        (F.sum("pos") + F.sum("neg")).alias("n"),
+        F.sum("pos").alias("positives"),
+        (
+            (F.lit(2) * F.sum(F.col("pos") * neg_below) + F.sum(F.col("pos") * F.col("neg"))).cast("double")
+            / (F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double"))
+        ).alias("auc"),
+        r(F.sum(F.col("pos").cast("double") * tp / (tp + fp)) / F.sum("pos"), places).alias("average_precision"),
+    )
+
+
 def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """ROC AUC with tied scores counted half (rank-sum / Mann-Whitney form).
 
@@ -59,6 +87,16 @@ def brier(scored: DataFrame, score: str = "score", label: str = "label", places:
     )
 
 
+def stratified_fold_columns(
+    df: DataFrame, label: str, key_cols: list[str], folds: dict[str, int], seed: int = 42
+) -> DataFrame:
+    """Several exact stratified fold assignments from one shuffled ordinal per label:
+    column ``name`` = ordinal mod k for each (name, k) in ``folds``."""
+    d = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)))
+    d = ordinal_within(d, [label], "_h", tiebreak=key_cols)
+    return d.withColumns({name: (F.col("ordinal") % k).cast("int") for name, k in folds.items()}).drop("_h", "ordinal")
+
+
 def stratified_folds(
     df: DataFrame, label: str, key_cols: list[str], k: int = 5, seed: int = 42
 ) -> DataFrame:

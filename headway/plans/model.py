@@ -15,6 +15,7 @@ fits are distributed by Spark ML, scoring is a JVM-side projection.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -24,7 +25,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.operators.metrics import stratified_folds
+from headway.operators.metrics import stratified_fold_columns
 from headway.operators.windows import FEATURES, standardise
 
 KEY = ["route", "date", "hour_bucket"]
@@ -70,8 +71,7 @@ def assemble(df: DataFrame, cols: list[str] = FEATURES, out: str = "features") -
 def training_frame(features: DataFrame, calib_folds: int = 3, oof_folds: int = 5, seed: int = 42) -> DataFrame:
     """Feature vector, label, the 3 calibration folds and the 5 out-of-fold folds."""
     d = features.withColumn("label", F.col(LABEL).cast("double"))
-    d = stratified_folds(d, LABEL, KEY, k=calib_folds, seed=seed).withColumnRenamed("fold", "cal_fold")
-    d = stratified_folds(d, LABEL, KEY, k=oof_folds, seed=seed + 1).withColumnRenamed("fold", "oof_fold")
+    d = stratified_fold_columns(d, LABEL, KEY, {"cal_fold": calib_folds, "oof_fold": oof_folds}, seed=seed)
     d = standardise(d)
     d = assemble(d)
     return assemble(d, [c + "_z" for c in FEATURES], "features_z")
@@ -117,48 +117,114 @@ class CalibratedLinear:
         return df.withColumn(out, mean).drop(*drop)
 
 
-def fit_calibrated_trees(train: DataFrame, params: TreeParams, folds: int = 3) -> CalibratedTrees:
-    members = []
-    for f in range(folds):
-        fit_part = train.filter(F.col("cal_fold") != f)
-        held = train.filter(F.col("cal_fold") == f)
-        trees = params.estimator().fit(fit_part)
-        scored = trees.transform(held).select(_margin().alias("margin"), "label")
+def _parallel(tasks: list, parallelism: int) -> list:
+    """Run independent fits concurrently (as CrossValidator(parallelism=k) does):
+    each fit is its own chain of Spark jobs, scheduled side by side."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as ex:
+        futures = [ex.submit(t) for t in tasks]
+        return [f.result() for f in futures]
+
+
+def _tree_member(train: DataFrame, params: TreeParams, f: int):
+    def fit():
+        trees = params.estimator().fit(train.filter(F.col("cal_fold") != f))
+        scored = trees.transform(train.filter(F.col("cal_fold") == f)).select(_margin().alias("margin"), "label")
         iso = IsotonicRegression(featuresCol="margin", labelCol="label", isotonic=True).fit(scored)
-        members.append((trees, iso))
-    return CalibratedTrees(members)
+        return trees, iso
 
+    return fit
 
-def fit_calibrated_linear(train: DataFrame, params: LinearParams, folds: int = 3) -> CalibratedLinear:
-    members = []
-    for f in range(folds):
+
+def _linear_member(train: DataFrame, params: LinearParams, f: int):
+    def fit():
         fit_part = train.filter(F.col("cal_fold") != f)
-        held = train.filter(F.col("cal_fold") == f)
         n = fit_part.count()
         lin = LogisticRegression(
             featuresCol="features_z", labelCol="label", regParam=1.0 / (params.C * max(n, 1)),
             elasticNetParam=0.0, standardization=False, maxIter=params.max_iter,
         ).fit(fit_part)
-        m = lin.transform(held).select(_margin().alias("m"), "label")
+        m = lin.transform(train.filter(F.col("cal_fold") == f)).select(_margin().alias("m"), "label")
         m = VectorAssembler(inputCols=["m"], outputCol="mv").transform(m)
         platt = LogisticRegression(featuresCol="mv", labelCol="label", regParam=0.0, maxIter=100).fit(m)
-        members.append((lin, platt))
-    return CalibratedLinear(members)
+        return lin, platt
 
+    return fit
 
-def out_of_fold(train: DataFrame, params: TreeParams, folds: int = 5) -> DataFrame:
-    """Tree probabilities for each window from the model that did not see its fold."""
-    parts = []
-    for f in range(folds):
+
+def _oof_member(train: DataFrame, params: TreeParams, f: int):
+    def fit():
         trees = params.estimator().fit(train.filter(F.col("oof_fold") != f))
         held = trees.transform(train.filter(F.col("oof_fold") == f))
-        parts.append(held.select(*KEY, "label", "oof_fold", _positive().alias("oof_prob")))
+        return held.select(*KEY, "label", "oof_fold", _positive().alias("oof_prob"))
+
+    return fit
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def fit_calibrated_trees(train: DataFrame, params: TreeParams, folds: int = 3, parallelism: int = 3) -> CalibratedTrees:
+    return CalibratedTrees(_parallel([_tree_member(train, params, f) for f in range(folds)], parallelism))
+
+
+def fit_calibrated_linear(train: DataFrame, params: LinearParams, folds: int = 3, parallelism: int = 3) -> CalibratedLinear:
+    return CalibratedLinear(_parallel([_linear_member(train, params, f) for f in range(folds)], parallelism))
+
+
+def out_of_fold(train: DataFrame, params: TreeParams, folds: int = 5, parallelism: int = 5) -> DataFrame:
+    """Tree probabilities for each window from the model that did not see its fold."""
+    return _union(_parallel([_oof_member(train, params, f) for f in range(folds)], parallelism))
+
+
+@dataclass
+class FittedModels:
+    calibrated: CalibratedTrees
+    linear: CalibratedLinear
+    oof: DataFrame
+    raw: object
+
+
+def fit_all(train: DataFrame, params: TreeParams, linear: LinearParams | None = None,
+            parallelism: int = 8, calib_folds: int = 3, oof_folds: int = 5) -> FittedModels:
+    """All fits of the published model stage, scheduled together:
+    calibrated trees (3), calibrated linear (3), out-of-fold trees (5), full trees (1)."""
+    linear = linear or LinearParams()
+    tasks = (
+        [_tree_member(train, params, f) for f in range(calib_folds)]
+        + [_linear_member(train, linear, f) for f in range(calib_folds)]
+        + [_oof_member(train, params, f) for f in range(oof_folds)]
+        + [lambda: params.estimator().fit(train)]
+    )
+    res = _parallel(tasks, parallelism)
+    c = calib_folds
+    return FittedModels(
+        calibrated=CalibratedTrees(res[:c]),
+        linear=CalibratedLinear(res[c:2 * c]),
+        oof=_union(res[2 * c:2 * c + oof_folds]),
+        raw=res[-1],
+    )
+
+
+def sized_for_fitting(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
+    """Partition count from the row count: one partition per ``rows_per_partition``
+    rows, so small training sets do not pay per-task overhead on every tree level
+    and large ones still spread over the cluster."""
+    n = df.count()
+    parts = max(1, -(-n // rows_per_partition))
+    cur = df.rdd.getNumPartitions()
+    if parts < cur:
+        return df.coalesce(parts)
+    if parts > cur:
+        return df.repartition(parts)
+    return df
+
+
 def feature_importance(spark: SparkSession, trees) -> DataFrame:
     """(feature, importance) of a fitted tree model, most important first.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.forecast import forecast_summary, score_alerts
-from headway.operators.metrics import average_precision, brier, roc_auc
+from headway.operators.metrics import brier, ranking_metrics, roc_auc
 from headway.plans.model import KEY, LABEL, assemble, feature_importance, worst_case_scores
 from headway.plans.stages import model_stages, stages
 from headway.sources.sinks import metrics_long
@@ -64,22 +64,18 @@ def q_model_metrics(spark, sf_dir):
     """(metric, value): in-sample calibrated AUC, out-of-fold AUC, average precision,
     Brier score, calibrated linear AUC, base rate, window count."""
     ms = model_stages(spark, sf_dir)
-    g = ms.calibrated.predict(ms.train, "score").select("score", "label")
-    lr = ms.linear.predict(ms.train, "score").select("score", "label")
+    g = ms.calibrated.predict(ms.train, "score").select("score", "label").cache()
+    lr = ms.linear.predict(ms.train, "score").select("score", "label").cache()
     oof = ms.oof.select(F.col("oof_prob").alias("score"), "label")
-    auc = roc_auc(g).select(F.col("auc").alias("gbt_auc"), F.col("n").alias("n_windows"))
-    oauc = roc_auc(oof).select(F.col("auc").alias("gbt_oof_auc"))
-    ap = average_precision(g).select(F.col("average_precision").alias("gbt_pr_auc"))
-    br = brier(g).select(F.col("brier").alias("gbt_brier"), F.col("base_rate"))
-    lauc = roc_auc(lr).select(F.col("auc").alias("lr_auc"))
-    one = auc.select(
-        "gbt_auc",
-        oauc.scalar().alias("gbt_oof_auc"),
-        ap.scalar().alias("gbt_pr_auc"),
-        br.select("gbt_brier").scalar().alias("gbt_brier"),
-        lauc.scalar().alias("lr_auc"),
-        br.select("base_rate").scalar().alias("base_rate"),
-        "n_windows",
+    gm = ranking_metrics(g).withColumn("_b", brier(g).select(F.struct("brier", "base_rate")).scalar())
+    one = gm.select(
+        F.col("auc").alias("gbt_auc"),
+        roc_auc(oof).select("auc").scalar().alias("gbt_oof_auc"),
+        F.col("average_precision").alias("gbt_pr_auc"),
+        F.col("_b.brier").alias("gbt_brier"),
+        roc_auc(lr).select("auc").scalar().alias("lr_auc"),
+        F.col("_b.base_rate").alias("base_rate"),
+        F.col("n").alias("n_windows"),
     )
     return metrics_long(one)
 

@@ -1,0 +1,123 @@
+"""The full run: fact table -> five tables -> training data -> models -> forecast -> sinks.
+
+Each step is a Spark job over the previous step's materialised output; the
+fact table is written once under the shared checkpoint folder and every table
+reads it.  ``run`` returns the produced DataFrames and per-step seconds.
+"""
+
+from __future__ import annotations
+
+import time
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from headway.operators import dashboard as db
+from headway.operators import tables
+from headway.operators.forecast import forecast_summary, score_alerts
+from headway.operators.metrics import brier, ranking_metrics, roc_auc
+from headway.plans.model import (
+    LinearParams,
+    TreeParams,
+    assemble,
+    feature_importance,
+    fit_all,
+    fit_calibrated_trees,
+    sized_for_fitting,
+    training_frame,
+    worst_case_scores,
+)
+from headway.plans.stages import Stages
+from headway.session import materialize
+from headway.sources.sinks import metrics_long, write_table
+
+
+def _force(df: DataFrame) -> None:
+    """Run a DataFrame to completion without collecting it."""
+    df.write.format("noop").mode("overwrite").save()
+
+
+class Timer:
+    def __init__(self):
+        self.seconds: dict[str, float] = {}
+
+    @contextmanager
+    def __call__(self, name: str):
+        t0 = time.perf_counter()
+        yield
+        self.seconds[name] = round(time.perf_counter() - t0, 3)
+
+
+def run(
+    spark: SparkSession,
+    sf_dir: str,
+    out_dir: str | None = None,
+    n_trees: int = 200,
+    with_cv_metrics: bool = True,
+    fmt: str = "parquet",
+    parallelism: int = 8,
+) -> tuple[dict[str, DataFrame], dict[str, float]]:
+    st = Stages(spark, sf_dir)
+    t = Timer()
+    out: dict[str, DataFrame] = {}
+
+    def emit(name: str, df: DataFrame):
+        out[name] = df
+        if out_dir:
+            write_table(df, out_dir, name, fmt)
+        else:
+            _force(df)
+
+    with t("delays"):
+        d = st.delays
+    for name, fn in [
+        ("route_daily", tables.route_daily),
+        ("route_hourly", tables.route_hourly),
+        ("weather_impact", tables.weather_impact),
+        ("network_summary", tables.network_summary),
+    ]:
+        with t(name):
+            emit(name, fn(d, sort=False))
+    with t("route_risk_scores"):
+        rr = st.route_risk
+        emit("route_risk_scores_base", rr)
+    with t("training_data"):
+        train = sized_for_fitting(materialize(training_frame(st.features), "train", spark)).cache()
+    params = TreeParams(n_trees=n_trees)
+    if with_cv_metrics:
+        with t("model_fit"):
+            fitted = fit_all(train, params, LinearParams(), parallelism=parallelism)
+            model, linear, oof = fitted.calibrated, fitted.linear, fitted.oof
+        with t("model_metrics"):
+            g = model.predict(train, "score").select("score", "label").cache()
+            lr = linear.predict(train, "score").select("score", "label").cache()
+            oof_s = oof.select(F.col("oof_prob").alias("score"), "label").cache()
+            gm = ranking_metrics(g).withColumn("_b", brier(g).select(F.struct("brier", "base_rate")).scalar())
+            one = gm.select(
+                F.col("auc").alias("gbt_auc"),
+                roc_auc(oof_s).select("auc").scalar().alias("gbt_oof_auc"),
+                F.col("average_precision").alias("gbt_pr_auc"),
+                F.col("_b.brier").alias("gbt_brier"),
+                roc_auc(lr).select("auc").scalar().alias("lr_auc"),
+                F.col("_b.base_rate").alias("base_rate"),
+                F.col("n").alias("n_windows"),
+            )
+            emit("model_metrics", metrics_long(one))
+            emit("feature_importance", feature_importance(spark, fitted.raw))
+    else:
+        with t("model_fit"):
+            model = fit_calibrated_trees(train, params, parallelism=parallelism)
+    with t("route_risk_ml"):
+        emit("route_risk_scores", worst_case_scores(rr, st.route_encoder, st.period_encoder, model))
+    with t("forecast"):
+        scored = model.predict(assemble(st.grid), "degradation_prob").drop("features")
+        alerts = materialize(score_alerts(scored, sort=False), "alerts", spark)
+        summary = forecast_summary(alerts, sort=False)
+        emit("tomorrow_forecast", summary)
+    with t("dashboard"):
+        rd = out["route_daily"]
+        emit("kpi_summary", db.kpi_summary(rd))
+        emit("delay_uplift", db.delay_uplift(rd))
+        emit("alert_matrix", db.alert_matrix(summary, rr))
+    return out, t.seconds

@@ -51,8 +51,14 @@ class Stages:
 
     @cached_property
     def _features(self):
-        f, renc, penc = training_features(self.windows, self.route_risk)
-        return self._m(f, "features"), self._m(renc, "route_enc"), self._m(penc, "period_enc")
+        f, _, _ = training_features(self.windows, self.route_risk)
+        f = self._m(f, "features")
+        # encoders re-derived from the stored features (same sorted labels and codes)
+        renc = f.select(F.col("route").alias("label"), F.col("route_enc").alias("code")).distinct()
+        penc = f.select(
+            F.coalesce(F.col("time_period"), F.lit("Unknown")).alias("label"), F.col("time_period_enc").alias("code")
+        ).distinct()
+        return f, renc, penc
 
     @property
     def features(self) -> DataFrame:
@@ -113,32 +119,32 @@ class ModelStages:
 
     @cached_property
     def train(self) -> DataFrame:
-        from headway.plans.model import training_frame
+        from headway.plans.model import sized_for_fitting, training_frame
 
-        t = training_frame(self.st.features)
-        return materialize(t, "train", self.st.spark).cache()
+        t = materialize(training_frame(self.st.features), "train", self.st.spark)
+        return sized_for_fitting(t).cache()
 
     @cached_property
-    def calibrated(self):
-        from headway.plans.model import fit_calibrated_trees
+    def fitted(self):
+        from headway.plans.model import fit_all
 
-        return fit_calibrated_trees(self.train, self.params)
+        return fit_all(self.train, self.params)
 
-    @cached_property
-    def linear(self):
-        from headway.plans.model import LinearParams, fit_calibrated_linear
+    @property
+    def calibrated(self):
+        return self.fitted.calibrated
 
-        return fit_calibrated_linear(self.train, LinearParams())
+    @property
+    def linear(self):
+        return self.fitted.linear
 
-    @cached_property
+    @property
     def raw_trees(self):
-        return self.params.estimator().fit(self.train)
+        return self.fitted.raw
 
     @cached_property
     def oof(self) -> DataFrame:
-        from headway.plans.model import out_of_fold
-
-        return materialize(out_of_fold(self.train, self.params), "oof", self.st.spark)
+        return materialize(self.fitted.oof, "oof", self.st.spark)
 
 
 _MODELS: dict[tuple[str, str], ModelStages] = {}

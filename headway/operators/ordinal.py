@@ -70,3 +70,28 @@ def ordinal_within(
     d = df.withColumn("_one", F.lit(1))
     d = running_sums(d, order_col, ["_one"], partition_cols, inclusive=False, buckets=buckets, tiebreak=tiebreak)
     return d.withColumn("ordinal", F.col("cum__one").cast("long")).drop("_one", "cum__one")
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact quantile with linear interpolation (as ``percentile``/``quantile_cont``),
+    one row ``value``, computed without gathering the values anywhere.
+
+    ``percentile`` merges a value -> count map of every distinct value in one
+    task; here the non-null values get global positions bucket-wise and only
+    the (at most two) rows at positions floor/ceil((n - 1) * q) are kept.
+    """
+    d = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    d = d.withColumn("_id", F.monotonically_increasing_id())
+    ranked = ordinal_within(d, [], "v", tiebreak=["_id"], buckets=buckets)
+    n = d.select(F.count(F.lit(1))).scalar()
+    pos = ranked.withColumn("_n", n).withColumn("_p", (F.col("_n") - 1).cast("double") * F.lit(q))
+    lo, hi = F.floor("_p"), F.ceil("_p")
+    picked = pos.filter((F.col("ordinal") == lo) | (F.col("ordinal") == hi))
+    frac = F.col("_p") - F.floor("_p")
+    return picked.agg(
+        (
+            F.max(F.when(F.col("ordinal") == lo, F.col("v")))
+            + (F.max(F.when(F.col("ordinal") == hi, F.col("v"))) - F.max(F.when(F.col("ordinal") == lo, F.col("v"))))
+            * F.max(frac)
+        ).alias("value")
+    )

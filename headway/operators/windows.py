@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.operators.ordinal import exact_quantile
+
 # The model's feature vector, in order.
 FEATURES = [
     "hour", "day_of_week", "month", "is_weekend", "is_rush_hour",
@@ -84,7 +86,7 @@ def training_windows(
     win = window_aggregates(delays, ordinal, min_incidents)
     p60 = route_p60(delays, quantile)
     out = win.join(p60, "route", "left")
-    fill = win.select(F.median("avg_delay")).scalar()
+    fill = exact_quantile(win, "avg_delay", 0.5).scalar()
     out = out.withColumn("route_p60_delay", F.coalesce(F.col("route_p60_delay"), fill))
     label = (F.col("avg_delay") > F.col("route_p60_delay")) & (F.col("on_time_pct") < F.lit(max_on_time))
     return out.withColumn("degraded", label.cast("int"))

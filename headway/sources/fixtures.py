@@ -166,7 +166,7 @@ def raw_incidents_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(et == "signup", F.lit("Late Leaving Garage"))
         .when(eid % 3 == 0, F.lit("General Delay"))
         .when(eid % 3 == 1, F.lit("cleaning - unsanitary"))
-        .otherwise(F.lit("Collision - TTC"))
+        .otherwise(F.lit("Collision - Vehicle"))
     )
     direction = F.element_at(F.array(*[F.lit(d) for d in RAW_DIRECTIONS]), (eid % 4 + 1).cast("int"))
     return ev.select(

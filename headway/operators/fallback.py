@@ -30,6 +30,10 @@ def route_risk_fallback(delays: DataFrame, sort: bool = True) -> DataFrame:
 
     The rank windows run on the per-route table, never on incidents.
     """
+    return fallback_from_stats(fallback_stats(delays), sort)
+
+
+def fallback_stats(delays: DataFrame) -> DataFrame:
     g = delays.groupBy("route").agg(
         F.count("delay_min").alias("total_incidents"),
         F.avg("delay_min").alias("mean_delay_min"),
@@ -40,6 +44,12 @@ def route_risk_fallback(delays: DataFrame, sort: bool = True) -> DataFrame:
         pct("is_severe").alias("severe_delay_pct"),
         (F.sum("delay_min") / F.lit(60.0)).alias("total_delay_hrs"),
     )
+    return g.withColumns({"weather_sensitivity_precip": F.lit(0.0), "rush_hour_sensitivity": F.lit(0.0)})
+
+
+def fallback_from_stats(g: DataFrame, sort: bool = True) -> DataFrame:
+    """Scores, tiers and ranks from :func:`fallback_stats` (pass a stored table:
+    the normalisation bounds read it twice)."""
     g = g.withColumns({"weather_sensitivity_precip": F.lit(0.0), "rush_hour_sensitivity": F.lit(0.0)})
     g = min_max_norm(g, {f"{c}_norm": c for c in NORMED})
     g = g.withColumns({f"{c}_norm": F.coalesce(F.col(f"{c}_norm"), F.lit(0.0)) for c in NORMED})

@@ -9,32 +9,41 @@ from headway.functions.numeric import r
 from headway.operators.ordinal import ordinal_within, running_sums
 
 
-def score_counts(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """(score, pos, neg): one row per distinct score (partial + final aggregation)."""
+def score_counts(scored: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None) -> DataFrame:
+    """(by..., score, pos, neg): one row per distinct score (partial + final aggregation)."""
     y = F.col(label).cast("int")
-    return scored.groupBy(F.col(score).cast("double").alias("score")).agg(
+    return scored.groupBy(*(by or []), F.col(score).cast("double").alias("score")).agg(
         F.sum(y).cast("long").alias("pos"), F.sum(F.lit(1) - y).cast("long").alias("neg")
     )
 
 
-def ranking_metrics(scored: DataFrame, score: str = "score", label: str = "label", places: int = 10) -> DataFrame:
+def ranking_metrics(
+    scored: DataFrame, score: str = "score", label: str = "label", places: int = 10, by: list[str] | None = None
+) -> DataFrame:
     """ROC AUC and average precision from one running-count pass over distinct scores.
 
     With ascending running counts (inclusive) of positives and negatives,
     negatives strictly below a score = cum_neg - neg, and rows at or above it
     = totals minus the strictly-below counts.  One row: n, positives, auc, average_precision.
     """
-    counts = score_counts(scored, score, label)
-    totals = counts.select(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
-    cum = running_sums(counts, "score", ["pos", "neg"], inclusive=True).withColumn("_tot", totals)
-    return _ranking_from_cum(cum, places)
-
-
-def _ranking_from_cum(cum: DataFrame, places: int) -> DataFrame:
+    by = list(by or [])
+    # the distinct-score table is read three times (bounds, totals, sums): keep it
+    counts = score_counts(scored, score, label, by).cache()
+    cum = running_sums(counts, "score", ["pos", "neg"], partition_cols=by, inclusive=True)
+    if by:
+        totals = counts.groupBy(*by).agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("_tot"))
+        cum = cum.join(F.broadcast(totals), by)
+    else:
+        totals = counts.select(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
+        cum = cum.withColumn("_tot", totals)
+    return _ranking_from_cum(cum, places, by)
+
+
+def _ranking_from_cum(cum: DataFrame, places: int, by: list[str] | None = None) -> DataFrame:
     neg_below = F.col("cum_neg") - F.col("neg")
     tp = F.col("_tot.p") - (F.col("cum_pos") - F.col("pos"))
     fp = F.col("_tot.n") - neg_below
-    return cum.agg(
+    return cum.groupBy(*(by or [])).agg(
         (F.sum("pos") + F.sum("neg")).alias("n"),
         F.sum("pos").alias("positives"),
         (
@@ -51,7 +60,7 @@ def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> Da
     AUC = sum_s pos(s) * (neg below s + neg(s)/2) / (P * N), all in integer
     arithmetic until the final division.  Returns one row: n, positives, auc.
     """
-    counts = score_counts(scored, score, label)
+    counts = score_counts(scored, score, label).cache()
     cum = running_sums(counts, "score", ["neg"], inclusive=False)
     return cum.agg(
         (F.sum("pos") + F.sum("neg")).alias("n"),
@@ -66,7 +75,7 @@ def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> Da
 def average_precision(scored: DataFrame, score: str = "score", label: str = "label", places: int = 10) -> DataFrame:
     """Step-wise average precision: sum over distinct thresholds of
     (recall gain) x (precision at that threshold).  One row: n, positives, average_precision."""
-    counts = score_counts(scored, score, label)
+    counts = score_counts(scored, score, label).cache()
     cum = running_sums(counts, "score", ["pos", "neg"], descending=True, inclusive=True)
     total_pos = F.sum("pos")
     term = F.col("pos").cast("double") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))

@@ -217,7 +217,8 @@ def min_max_norm(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     """(x - min) / (max - min) over the whole table, null when the range is 0.
 
     min and max come from one scalar subquery (a single-row aggregate), so the
-    table itself is never moved into one partition.
+    table itself is never moved into one partition.  The subquery reads ``df``
+    again: pass a stored table, not a lazy aggregate over the fact table.
     """
     bounds = df.select(
         F.struct(
@@ -248,7 +249,12 @@ def route_risk_scores(delays: DataFrame, min_incidents: int = MIN_ROUTE_INCIDENT
     The rank window has no partition key: it runs on the per-route table
     (one row per route), never on incidents.
     """
-    stats = route_stats(delays, min_incidents)
+    return route_risk_from_stats(route_stats(delays, min_incidents), sort)
+
+
+def route_risk_from_stats(stats: DataFrame, sort: bool = True) -> DataFrame:
+    """Risk scores from :func:`route_stats` output.  The min/max bounds read
+    ``stats`` a second time, so pass a stored table (the pipeline does)."""
     normed = min_max_norm(
         stats,
         {

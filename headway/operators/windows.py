@@ -84,7 +84,15 @@ def training_windows(
     A route without a p60 takes the median of the window means (a scalar subquery).
     """
     win = window_aggregates(delays, ordinal, min_incidents)
-    p60 = route_p60(delays, quantile)
+    return label_windows(win, route_p60(delays, quantile), max_on_time)
+
+
+def label_windows(win: DataFrame, p60: DataFrame, max_on_time: float = MAX_ON_TIME_SHARE) -> DataFrame:
+    """Join the route thresholds to aggregated windows and label them.
+
+    Pass a stored ``win`` so the fallback median reads the window table, not the
+    incidents it was built from.
+    """
     out = win.join(p60, "route", "left")
     fill = exact_quantile(win, "avg_delay", 0.5).scalar()
     out = out.withColumn("route_p60_delay", F.coalesce(F.col("route_p60_delay"), fill))

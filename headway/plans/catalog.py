@@ -23,7 +23,7 @@ from headway.operators.clean import (
 )
 from headway.operators.delays import build_delays
 from headway.operators.enrich import enrich_weather
-from headway.operators.fallback import route_risk_fallback
+from headway.operators.fallback import fallback_from_stats
 from headway.operators.forecast import forecast_grid, forecast_summary, score_alerts
 from headway.operators.joins import weather_match_rate
 from headway.operators.metrics import average_precision, brier, roc_auc, stratified_folds
@@ -162,7 +162,7 @@ def q_network_summary(spark, sf_dir):
 
 
 def q_route_risk_scores(spark, sf_dir):
-    return tables.route_risk_scores(delays(spark, sf_dir))
+    return tables.route_risk_from_stats(stages(spark, sf_dir).route_stats)
 
 
 def q_route_sensitivity(spark, sf_dir):
@@ -170,7 +170,7 @@ def q_route_sensitivity(spark, sf_dir):
 
 
 def q_route_risk_fallback(spark, sf_dir):
-    return route_risk_fallback(delays(spark, sf_dir))
+    return fallback_from_stats(stages(spark, sf_dir).fallback_stats)
 
 
 # ---------------------------------------------------------------- training data
@@ -304,8 +304,7 @@ def q_monthly_delay_hours(spark, sf_dir):
 
 
 def q_route_kpis(spark, sf_dir):
-    d = delays(spark, sf_dir)
-    return db.route_kpis(tables.route_daily(d, sort=False), tables.route_risk_scores(d, sort=False))
+    return db.route_kpis(_rd(spark, sf_dir), risk(spark, sf_dir))
 
 
 def q_route_trend(spark, sf_dir):
@@ -337,8 +336,7 @@ def q_top10_risk_routes(spark, sf_dir):
 
 
 def q_star_daily_risk(spark, sf_dir):
-    d = delays(spark, sf_dir)
-    return db.star_daily_risk(tables.route_daily(d, sort=False), tables.route_risk_scores(d, sort=False))
+    return db.star_daily_risk(_rd(spark, sf_dir), risk(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {

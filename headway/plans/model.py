@@ -19,14 +19,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.metrics import stratified_fold_columns
-from headway.operators.windows import FEATURES, standardise
+from headway.operators.windows import FEATURES
 
 KEY = ["route", "date", "hour_bucket"]
 LABEL = "degraded"
@@ -72,9 +73,20 @@ def training_frame(features: DataFrame, calib_folds: int = 3, oof_folds: int = 5
     """Feature vector, label, the 3 calibration folds and the 5 out-of-fold folds."""
     d = features.withColumn("label", F.col(LABEL).cast("double"))
     d = stratified_fold_columns(d, LABEL, KEY, {"cal_fold": calib_folds, "oof_fold": oof_folds}, seed=seed)
-    d = standardise(d)
-    d = assemble(d)
-    return assemble(d, [c + "_z" for c in FEATURES], "features_z")
+    return population_standardised(assemble(d), features.count())
+
+
+def population_standardised(df: DataFrame, n: int, col: str = "features", out: str = "features_z") -> DataFrame:
+    """(x - mean) / population std per feature, as one vector column.
+
+    ``StandardScaler`` (a single Summarizer pass) divides by the sample std, so
+    its output is rescaled by sqrt(n / (n - 1)); a constant feature becomes 0.
+    """
+    scaler = StandardScaler(inputCol=col, outputCol="_zs", withMean=True, withStd=True).fit(df)
+    factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
+    scaled = scaler.transform(df)
+    scaled = ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(FEATURES)), inputCol="_zs", outputCol=out).transform(scaled)
+    return scaled.drop("_zs")
 
 
 def _margin(col: str = "rawPrediction") -> F.Column:

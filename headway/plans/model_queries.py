@@ -7,10 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.forecast import forecast_summary, score_alerts
-from headway.operators.metrics import brier, ranking_metrics, roc_auc
 from headway.plans.model import KEY, LABEL, assemble, feature_importance, worst_case_scores
 from headway.plans.stages import model_stages, stages
-from headway.sources.sinks import metrics_long
 
 
 def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,21 +61,10 @@ def q_forecast_summary_model(spark, sf_dir):
 def q_model_metrics(spark, sf_dir):
     """(metric, value): in-sample calibrated AUC, out-of-fold AUC, average precision,
     Brier score, calibrated linear AUC, base rate, window count."""
+    from headway.plans.pipeline import model_metrics
+
     ms = model_stages(spark, sf_dir)
-    g = ms.calibrated.predict(ms.train, "score").select("score", "label").cache()
-    lr = ms.linear.predict(ms.train, "score").select("score", "label").cache()
-    oof = ms.oof.select(F.col("oof_prob").alias("score"), "label")
-    gm = ranking_metrics(g).withColumn("_b", brier(g).select(F.struct("brier", "base_rate")).scalar())
-    one = gm.select(
-        F.col("auc").alias("gbt_auc"),
-        roc_auc(oof).select("auc").scalar().alias("gbt_oof_auc"),
-        F.col("average_precision").alias("gbt_pr_auc"),
-        F.col("_b.brier").alias("gbt_brier"),
-        roc_auc(lr).select("auc").scalar().alias("lr_auc"),
-        F.col("_b.base_rate").alias("base_rate"),
-        F.col("n").alias("n_windows"),
-    )
-    return metrics_long(one)
+    return model_metrics(ms.calibrated, ms.linear, ms.oof, ms.train)
 
 
 MODEL_QUERIES = {

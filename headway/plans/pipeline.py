@@ -8,6 +8,7 @@ reads it.  ``run`` returns the produced DataFrames and per-step seconds.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from headway.operators import dashboard as db
 from headway.operators import tables
 from headway.operators.forecast import forecast_summary, score_alerts
-from headway.operators.metrics import brier, ranking_metrics, roc_auc
+from headway.operators.metrics import brier, ranking_metrics
 from headway.plans.model import (
     LinearParams,
     TreeParams,
@@ -49,6 +50,39 @@ class Timer:
         self.seconds[name] = round(time.perf_counter() - t0, 3)
 
 
+def run_jobs(jobs: dict[str, "callable"], parallelism: int) -> dict:
+    """Submit independent jobs side by side (each is its own chain of Spark jobs)."""
+    if parallelism <= 1:
+        return {k: f() for k, f in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(jobs))) as ex:
+        futures = {k: ex.submit(f) for k, f in jobs.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
+def model_metrics(model, linear, oof: DataFrame, train: DataFrame) -> DataFrame:
+    """(metric, value) rows: AUCs of the three score sets in one grouped ranking pass,
+    average precision and Brier score of the calibrated trees, base rate, window count."""
+    g = model.predict(train, "score").select(F.lit("gbt").alias("model"), "score", "label")
+    lr = linear.predict(train, "score").select(F.lit("lr").alias("model"), "score", "label")
+    o = oof.select(F.lit("oof").alias("model"), F.col("oof_prob").alias("score"), "label")
+    scores = g.unionByName(lr).unionByName(o).cache()
+    rk = ranking_metrics(scores, by=["model"])
+    wide = rk.groupBy().pivot("model", ["gbt", "oof", "lr"]).agg(
+        F.first("auc").alias("auc"), F.first("average_precision").alias("ap"), F.first("n").alias("n")
+    )
+    br = brier(scores.filter(F.col("model") == "gbt")).select(F.struct("brier", "base_rate")).scalar()
+    one = wide.withColumn("_b", br).select(
+        F.col("gbt_auc"),
+        F.col("oof_auc").alias("gbt_oof_auc"),
+        F.col("gbt_ap").alias("gbt_pr_auc"),
+        F.col("_b.brier").alias("gbt_brier"),
+        F.col("lr_auc"),
+        F.col("_b.base_rate").alias("base_rate"),
+        F.col("gbt_n").alias("n_windows"),
+    )
+    return metrics_long(one)
+
+
 def run(
     spark: SparkSession,
     sf_dir: str,
@@ -71,53 +105,51 @@ def run(
 
     with t("delays"):
         d = st.delays
-    for name, fn in [
-        ("route_daily", tables.route_daily),
-        ("route_hourly", tables.route_hourly),
-        ("weather_impact", tables.weather_impact),
-        ("network_summary", tables.network_summary),
-    ]:
-        with t(name):
-            emit(name, fn(d, sort=False))
-    with t("route_risk_scores"):
+    with t("tables"):
+        jobs = {
+            name: (lambda fn=fn, name=name: emit(name, fn(d, sort=False)))
+            for name, fn in [
+                ("route_daily", tables.route_daily),
+                ("route_hourly", tables.route_hourly),
+                ("weather_impact", tables.weather_impact),
+                ("network_summary", tables.network_summary),
+            ]
+        }
+        jobs["route_risk_scores_base"] = lambda: emit("route_risk_scores_base", st.route_risk)
+        run_jobs(jobs, parallelism)
         rr = st.route_risk
-        emit("route_risk_scores_base", rr)
     with t("training_data"):
-        train = sized_for_fitting(materialize(training_frame(st.features), "train", spark)).cache()
+        train = sized_for_fitting(st._m(training_frame(st.features), "train")).cache()
     params = TreeParams(n_trees=n_trees)
-    if with_cv_metrics:
-        with t("model_fit"):
+    with t("model_fit"):
+        if with_cv_metrics:
             fitted = fit_all(train, params, LinearParams(), parallelism=parallelism)
-            model, linear, oof = fitted.calibrated, fitted.linear, fitted.oof
-        with t("model_metrics"):
-            g = model.predict(train, "score").select("score", "label").cache()
-            lr = linear.predict(train, "score").select("score", "label").cache()
-            oof_s = oof.select(F.col("oof_prob").alias("score"), "label").cache()
-            gm = ranking_metrics(g).withColumn("_b", brier(g).select(F.struct("brier", "base_rate")).scalar())
-            one = gm.select(
-                F.col("auc").alias("gbt_auc"),
-                roc_auc(oof_s).select("auc").scalar().alias("gbt_oof_auc"),
-                F.col("average_precision").alias("gbt_pr_auc"),
-                F.col("_b.brier").alias("gbt_brier"),
-                roc_auc(lr).select("auc").scalar().alias("lr_auc"),
-                F.col("_b.base_rate").alias("base_rate"),
-                F.col("n").alias("n_windows"),
-            )
-            emit("model_metrics", metrics_long(one))
-            emit("feature_importance", feature_importance(spark, fitted.raw))
-    else:
-        with t("model_fit"):
+            model = fitted.calibrated
+        else:
             model = fit_calibrated_trees(train, params, parallelism=parallelism)
-    with t("route_risk_ml"):
-        emit("route_risk_scores", worst_case_scores(rr, st.route_encoder, st.period_encoder, model))
+    with t("model_metrics"):
+        jobs = {"route_risk_scores": lambda: emit(
+            "route_risk_scores", worst_case_scores(rr, st.route_encoder, st.period_encoder, model))}
+        if with_cv_metrics:
+            jobs["model_metrics"] = lambda: emit("model_metrics", model_metrics(model, fitted.linear, fitted.oof, train))
+            jobs["feature_importance"] = lambda: emit("feature_importance", feature_importance(spark, fitted.raw))
+        run_jobs(jobs, parallelism)
     with t("forecast"):
         scored = model.predict(assemble(st.grid), "degradation_prob").drop("features")
-        alerts = materialize(score_alerts(scored, sort=False), "alerts", spark)
-        summary = forecast_summary(alerts, sort=False)
+        alerts = st._m(score_alerts(scored, sort=False), "alerts")
+        summary = st._m(forecast_summary(alerts, sort=False), "forecast_summary")
         emit("tomorrow_forecast", summary)
     with t("dashboard"):
-        rd = out["route_daily"]
-        emit("kpi_summary", db.kpi_summary(rd))
-        emit("delay_uplift", db.delay_uplift(rd))
-        emit("alert_matrix", db.alert_matrix(summary, rr))
+        rd = spark.read.parquet(out_dir + "/route_daily") if out_dir else tables.route_daily(d, sort=False)
+        run_jobs(
+            {
+                "kpi_summary": lambda: emit("kpi_summary", db.kpi_summary(rd)),
+                "delay_uplift": lambda: emit("delay_uplift", db.delay_uplift(rd)),
+                "alert_matrix": lambda: emit("alert_matrix", db.alert_matrix(summary, rr)),
+                "risk_by_day": lambda: emit("risk_by_day", db.risk_by_day(summary)),
+            },
+            parallelism,
+        )
+    if out_dir:
+        st.release()  # outputs are written; drop the intermediate copies
     return out, t.seconds

@@ -10,6 +10,7 @@ lost executor never forces a recompute from the raw scan.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,8 @@ from headway.operators import tables
 from headway.operators.delays import build_delays
 from headway.operators.enrich import enrich_weather
 from headway.operators.forecast import forecast_grid, forecast_summary, score_alerts
-from headway.operators.windows import training_features, training_windows
-from headway.session import materialize
+from headway.operators.windows import label_windows, route_p60, training_features, window_aggregates
+from headway.session import materialize, remove_path, run_folder
 from headway.sources import fixtures as fx
 
 
@@ -28,9 +29,16 @@ class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.run_id = uuid.uuid4().hex
 
     def _m(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name, self.spark)
+        return materialize(df, name, self.spark, folder=f"headway/{self.run_id}")
+
+    def release(self) -> None:
+        """Delete every table this run stored under the checkpoint folder."""
+        folder = run_folder(self.spark, self.run_id)
+        if folder:
+            remove_path(self.spark, folder)
 
     @cached_property
     def delays(self) -> DataFrame:
@@ -41,13 +49,27 @@ class Stages:
     def weather(self) -> DataFrame:
         return enrich_weather(fx.weather_from_orders(self.spark, self.sf_dir))
 
+    @cached_property
+    def route_stats(self) -> DataFrame:
+        return self._m(tables.route_stats(self.delays), "route_stats")
+
     @cached_property
     def route_risk(self) -> DataFrame:
-        return self._m(tables.route_risk_scores(self.delays, sort=False), "route_risk")
+        return self._m(tables.route_risk_from_stats(self.route_stats, sort=False), "route_risk")
+
+    @cached_property
+    def fallback_stats(self) -> DataFrame:
+        from headway.operators.fallback import fallback_stats
+
+        return self._m(fallback_stats(self.delays), "fallback_stats")
+
+    @cached_property
+    def window_aggregates(self) -> DataFrame:
+        return self._m(window_aggregates(self.delays), "window_aggregates")
 
     @cached_property
     def windows(self) -> DataFrame:
-        return self._m(training_windows(self.delays), "windows")
+        return self._m(label_windows(self.window_aggregates, route_p60(self.delays)), "windows")
 
     @cached_property
     def _features(self):
@@ -121,7 +143,7 @@ class ModelStages:
     def train(self) -> DataFrame:
         from headway.plans.model import sized_for_fitting, training_frame
 
-        t = materialize(training_frame(self.st.features), "train", self.st.spark)
+        t = self.st._m(training_frame(self.st.features), "train")
         return sized_for_fitting(t).cache()
 
     @cached_property
@@ -144,7 +166,7 @@ class ModelStages:
 
     @cached_property
     def oof(self) -> DataFrame:
-        return materialize(self.fitted.oof, "oof", self.st.spark)
+        return self.st._m(self.fitted.oof, "oof")
 
 
 _MODELS: dict[tuple[str, str], ModelStages] = {}

@@ -59,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return None
 
 
-def materialize(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, spark: SparkSession | None = None, folder: str = "headway") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     This cuts lineage for a table that several jobs reuse, and survives executor
@@ -70,6 +70,19 @@ def materialize(df: DataFrame, name: str, spark: SparkSession | None = None) ->
     base = ensure_checkpoint_dir(spark)
     if not base:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = os.path.join(str(base), "headway", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(str(base), folder, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` through the Hadoop file system (any cluster storage)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))
+
+
+def run_folder(spark: SparkSession, run_id: str) -> str | None:
+    base = ensure_checkpoint_dir(spark)
+    return os.path.join(str(base), "headway", run_id) if base else None

@@ -30,6 +30,7 @@ from headway.operators.metrics import average_precision, brier, roc_auc, stratif
 from headway.operators.windows import (
     FEATURES,
     population_scaling,
+    label_windows,
     route_p60,
     training_features,
     training_windows,
@@ -179,7 +180,8 @@ def q_route_p60(spark, sf_dir):
 
 
 def q_training_windows(spark, sf_dir):
-    return training_windows(delays(spark, sf_dir))
+    st = stages(spark, sf_dir)
+    return label_windows(st.window_aggregates, st.route_p60)
 
 
 def q_training_features(spark, sf_dir):

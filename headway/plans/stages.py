@@ -67,9 +67,15 @@ class Stages:
     def window_aggregates(self) -> DataFrame:
         return self._m(window_aggregates(self.delays), "window_aggregates")
 
+    @cached_property
+    def route_p60(self) -> DataFrame:
+        """One row per route, stored: the window join then broadcasts it statically
+        instead of shuffling the windows by route (a hot route would be one task)."""
+        return self._m(route_p60(self.delays), "route_p60")
+
     @cached_property
     def windows(self) -> DataFrame:
-        return self._m(label_windows(self.window_aggregates, route_p60(self.delays)), "windows")
+        return self._m(label_windows(self.window_aggregates, self.route_p60), "windows")
 
     @cached_property
     def _features(self):

@@ -271,3 +271,40 @@ def worst_case_scores(route_risk: DataFrame, route_encoder: DataFrame, period_en
     rr = rr.withColumn("time_period_enc", F.coalesce(period, F.lit(0)))
     scored = model.predict(assemble(rr), "p")
     return scored.select(*route_risk.columns, r(F.col("p"), 4).alias("ml_degradation_prob_worst_case"))
+
+
+def save_models(fitted: "FittedModels", path: str, encoders: dict[str, DataFrame] | None = None) -> None:
+    """Persist the calibrated trees, the calibrated linear model, the full tree
+    model and the encoder tables under ``path`` (Spark ML writers, Parquet tables)."""
+    for i, (trees, iso) in enumerate(fitted.calibrated.members):
+        trees.write().overwrite().save(f"{path}/calibrated/{i}/trees")
+        iso.write().overwrite().save(f"{path}/calibrated/{i}/isotonic")
+    for i, (lin, platt) in enumerate(fitted.linear.members):
+        lin.write().overwrite().save(f"{path}/linear/{i}/model")
+        platt.write().overwrite().save(f"{path}/linear/{i}/platt")
+    fitted.raw.write().overwrite().save(f"{path}/raw")
+    for name, df in (encoders or {}).items():
+        df.write.mode("overwrite").parquet(f"{path}/encoders/{name}")
+
+
+def load_models(spark: SparkSession, path: str, folds: int = 3) -> tuple[CalibratedTrees, CalibratedLinear, object, dict]:
+    """Inverse of :func:`save_models`: (calibrated trees, calibrated linear, full trees, encoders)."""
+    from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
+    from pyspark.ml.regression import IsotonicRegressionModel
+
+    trees = CalibratedTrees([
+        (GBTClassificationModel.load(f"{path}/calibrated/{i}/trees"),
+         IsotonicRegressionModel.load(f"{path}/calibrated/{i}/isotonic")) for i in range(folds)
+    ])
+    linear = CalibratedLinear([
+        (LogisticRegressionModel.load(f"{path}/linear/{i}/model"),
+         LogisticRegressionModel.load(f"{path}/linear/{i}/platt")) for i in range(folds)
+    ])
+    raw = GBTClassificationModel.load(f"{path}/raw")
+    enc = {}
+    for name in ("route", "time_period"):
+        try:
+            enc[name] = spark.read.parquet(f"{path}/encoders/{name}")
+        except Exception:  # encoders are optional
+            pass
+    return trees, linear, raw, enc

@@ -87,15 +87,21 @@ def training_windows(
     return label_windows(win, route_p60(delays, quantile), max_on_time)
 
 
-def label_windows(win: DataFrame, p60: DataFrame, max_on_time: float = MAX_ON_TIME_SHARE) -> DataFrame:
+def label_windows(
+    win: DataFrame, p60: DataFrame, max_on_time: float = MAX_ON_TIME_SHARE, fill: str = "always"
+) -> DataFrame:
     """Join the route thresholds to aggregated windows and label them.
 
     Pass a stored ``win`` so the fallback median reads the window table, not the
-    incidents it was built from.
+    incidents it was built from.  ``fill="auto"`` first asks (one anti-join of two
+    small stored tables) whether any window route lacks a threshold, and computes
+    the fallback median only then; the result is the same either way.
     """
     out = win.join(p60, "route", "left")
-    fill = exact_quantile(win, "avg_delay", 0.5).scalar()
-    out = out.withColumn("route_p60_delay", F.coalesce(F.col("route_p60_delay"), fill))
+    needed = fill == "always" or win.select("route").join(p60.select("route"), "route", "left_anti").limit(1).count() > 0
+    if needed:
+        median = exact_quantile(win, "avg_delay", 0.5).scalar()
+        out = out.withColumn("route_p60_delay", F.coalesce(F.col("route_p60_delay"), median))
     label = (F.col("avg_delay") > F.col("route_p60_delay")) & (F.col("on_time_pct") < F.lit(max_on_time))
     return out.withColumn("degraded", label.cast("int"))
 

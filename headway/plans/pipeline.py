@@ -105,7 +105,9 @@ def run(
 
     with t("delays"):
         d = st.delays
-    with t("tables"):
+        rr = st.route_risk
+    with t("tables_and_training_data"):
+        # the four tables and the training-data chain are independent jobs
         jobs = {
             name: (lambda fn=fn, name=name: emit(name, fn(d, sort=False)))
             for name, fn in [
@@ -115,11 +117,10 @@ def run(
                 ("network_summary", tables.network_summary),
             ]
         }
-        jobs["route_risk_scores_base"] = lambda: emit("route_risk_scores_base", st.route_risk)
-        run_jobs(jobs, parallelism)
-        rr = st.route_risk
-    with t("training_data"):
-        train = sized_for_fitting(st._m(training_frame(st.features), "train")).cache()
+        jobs["route_risk_scores_base"] = lambda: emit("route_risk_scores_base", rr)
+        jobs["train"] = lambda: sized_for_fitting(st._m(training_frame(st.features), "train")).cache()
+        train = run_jobs(jobs, parallelism)["train"]
+        grid = st.grid
     params = TreeParams(n_trees=n_trees)
     with t("model_fit"):
         if with_cv_metrics:
@@ -127,18 +128,24 @@ def run(
             model = fitted.calibrated
         else:
             model = fit_calibrated_trees(train, params, parallelism=parallelism)
-    with t("model_metrics"):
-        jobs = {"route_risk_scores": lambda: emit(
-            "route_risk_scores", worst_case_scores(rr, st.route_encoder, st.period_encoder, model))}
-        if with_cv_metrics:
-            jobs["model_metrics"] = lambda: emit("model_metrics", model_metrics(model, fitted.linear, fitted.oof, train))
-            jobs["feature_importance"] = lambda: emit("feature_importance", feature_importance(spark, fitted.raw))
-        run_jobs(jobs, parallelism)
-    with t("forecast"):
-        scored = model.predict(assemble(st.grid), "degradation_prob").drop("features")
+
+    def forecast():
+        scored = model.predict(assemble(grid), "degradation_prob").drop("features")
         alerts = st._m(score_alerts(scored, sort=False), "alerts")
         summary = st._m(forecast_summary(alerts, sort=False), "forecast_summary")
         emit("tomorrow_forecast", summary)
+        return summary
+
+    with t("scoring_metrics_forecast"):
+        jobs = {
+            "route_risk_scores": lambda: emit(
+                "route_risk_scores", worst_case_scores(rr, st.route_encoder, st.period_encoder, model)),
+            "forecast": forecast,
+        }
+        if with_cv_metrics:
+            jobs["model_metrics"] = lambda: emit("model_metrics", model_metrics(model, fitted.linear, fitted.oof, train))
+            jobs["feature_importance"] = lambda: emit("feature_importance", feature_importance(spark, fitted.raw))
+        summary = run_jobs(jobs, parallelism)["forecast"]
     with t("dashboard"):
         rd = spark.read.parquet(out_dir + "/route_daily") if out_dir else tables.route_daily(d, sort=False)
         run_jobs(

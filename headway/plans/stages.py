@@ -75,7 +75,7 @@ class Stages:
 
     @cached_property
     def windows(self) -> DataFrame:
-        return self._m(label_windows(self.window_aggregates, self.route_p60), "windows")
+        return self._m(label_windows(self.window_aggregates, self.route_p60, fill="auto"), "windows")
 
     @cached_property
     def _features(self):

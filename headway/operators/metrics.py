@@ -32,7 +32,7 @@ def ranking_metrics(
     cum = running_sums(counts, "score", ["pos", "neg"], partition_cols=by, inclusive=True)
     if by:
         totals = counts.groupBy(*by).agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("_tot"))
-        cum = cum.join(F.broadcast(totals), by)
+        cum = cum.join(totals, by)  # one row per score set; AQE broadcasts it at run time
     else:
         totals = counts.select(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
         cum = cum.withColumn("_tot", totals)

@@ -5,7 +5,7 @@ task.  Here rows are first cut into ``buckets`` ranges of the ordering value
 (from the value itself, so the cut is deterministic), per-bucket totals are
 prefix-summed on the small bucket table, and each bucket then runs its own
 window.  Work per task is one bucket; the bucket table has ``buckets`` rows
-per partition key and is broadcast.
+per partition key and joins on the window's own keys (no extra shuffle).
 """
 
 from __future__ import annotations
@@ -52,7 +52,10 @@ def running_sums(
     offsets = totals.select(
         *parts, "_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(w_b), F.lit(0)).alias(f"_o_{c}") for c in sum_cols]
     )
-    d = d.join(F.broadcast(offsets), [*parts, "_bkt"], "left")
+    # joined on the window's own partition keys: the rows are shuffled by
+    # (parts, bucket) once and the window reuses that partitioning; AQE may
+    # still broadcast the offsets when their run-time size is small
+    d = d.join(offsets, [*parts, "_bkt"], "left")
     o = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = Window.partitionBy(*parts, "_bkt").orderBy(o, *[F.col(t).asc() for t in ties])
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)

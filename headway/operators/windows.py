@@ -146,23 +146,3 @@ def population_scaling(features: DataFrame, cols: list[str] = FEATURES) -> DataF
         F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x")
     ).select("x.feature", "x.v")
     return long.groupBy("feature").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
-
-
-def standardise(features: DataFrame, cols: list[str] = FEATURES, suffix: str = "_z") -> DataFrame:
-    """(x - mean) / std_pop per feature, std 0 -> 1 (constant features become 0).
-
-    Statistics are one single-row aggregate read through a scalar subquery.
-    """
-    stats = features.select(
-        F.struct(
-            *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in cols],
-            *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in cols],
-        ).alias("s")
-    ).scalar()
-    df = features.withColumn("_stats", stats)  # the subquery appears once in the plan
-    exprs = {}
-    for c in cols:
-        sd = F.col(f"_stats.s_{c}")
-        sd = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-        exprs[c + suffix] = (F.col(c).cast("double") - F.col(f"_stats.m_{c}")) / sd
-    return df.withColumns(exprs).drop("_stats")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,7 +75,3 @@ def cached_raw_incidents(spark: SparkSession, root: str, cache: str, years: list
     raw = read_incident_files(spark, list_incident_files(spark, root, years))
     raw.write.mode("overwrite").parquet(cache)
     return spark.read.parquet(cache)
-
-
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else os.path.abspath(p)

@@ -88,6 +88,9 @@ def hour_from_time_text(time) -> Column:
         t.rlike(clock) & (hh.try_cast("int") <= 23) & (mm.try_cast("int") <= 59),
         hh.try_cast("int"),
     )
-    fallback = F.substring(t, 1, 2).try_cast("double")
-    fallback = F.when(~F.isnan(fallback), fallback).cast("int")
+    # the first two characters count only when they are a plain decimal number
+    # (Java-style suffixes such as "1d" or special words are not numbers here)
+    lead = F.substring(t, 1, 2)
+    plain = lead.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$")
+    fallback = F.when(plain, lead.try_cast("double")).cast("int")
     return F.coalesce(strict, fallback, F.lit(0)).cast("int")

@@ -25,3 +25,15 @@ def r(x, places: int) -> Column:
 def pct(x) -> Column:
     """Mean of a 0/1 column as a percentage (not rounded)."""
     return F.avg(_c(x)) * F.lit(100.0)
+
+
+# Texts read as numbers: optional sign, digits with an optional point or a
+# leading point, an optional exponent, or an infinity word; spaces around.
+PLAIN_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity)\s*$"
+
+
+def parse_number(text) -> Column:
+    """Text -> double, null unless the text is a plain number (no ``1d``-style suffixes)."""
+    t = _c(text).cast("string")
+    v = t.try_cast("double")
+    return F.when(t.rlike(PLAIN_NUMBER), v)

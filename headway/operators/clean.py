@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from headway.functions import calendar as cal
 from headway.functions.categories import incident_category
+from headway.functions.numeric import parse_number
 
 # Header variants -> canonical names (after lower-casing,
 # trimming and replacing spaces by underscores).
@@ -73,8 +74,7 @@ def coerce_delay(df: DataFrame) -> DataFrame:
     """delay_min -> double, unreadable -> 0, negatives dropped."""
     if "delay_min" not in df.columns:
         raise ValueError("incident records need a delay column (Min Delay)")
-    d = F.col("delay_min").cast("string").try_cast("double")
-    d = F.coalesce(F.when(~F.isnan(d), d), F.lit(0.0))
+    d = F.coalesce(parse_number("delay_min"), F.lit(0.0))
     return df.withColumn("delay_min", d).filter(F.col("delay_min") >= 0)
 
 

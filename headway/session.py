@@ -86,3 +86,39 @@ def remove_path(spark: SparkSession, path: str) -> bool:
 def run_folder(spark: SparkSession, run_id: str) -> str | None:
     base = ensure_checkpoint_dir(spark)
     return os.path.join(str(base), "headway", run_id) if base else None
+
+
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the given files or folders (Hadoop file system content summary)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def cluster_conf(fact_bytes: int, cores: int, target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Settings sized from the incident log's bytes on disk.
+
+    Shuffle partitions ~ fact bytes / target (the fact table is the only input
+    that shuffles before aggregation), never below twice the cores; AQE then
+    coalesces small partitions and splits skewed ones at the same target size.
+    """
+    parts = max(2 * cores, -(-fact_bytes // target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)

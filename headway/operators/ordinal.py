@@ -84,8 +84,8 @@ def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = DEFAULT_BUC
     the (at most two) rows at positions floor/ceil((n - 1) * q) are kept.
     """
     d = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    d = d.withColumn("_id", F.monotonically_increasing_id())
-    ranked = ordinal_within(d, [], "v", tiebreak=["_id"], buckets=buckets)
+    # tied values may take their positions in any order: the value at each position is the same
+    ranked = ordinal_within(d, [], "v", buckets=buckets)
     n = d.select(F.count(F.lit(1))).scalar()
     pos = ranked.withColumn("_n", n).withColumn("_p", (F.col("_n") - 1).cast("double") * F.lit(q))
     lo, hi = F.floor("_p"), F.ceil("_p")

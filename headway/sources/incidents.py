@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,30 +34,59 @@ def list_incident_files(spark: SparkSession, root: str, years: list[int] | None
     return sorted(out)
 
 
-def read_incident_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_header(spark: SparkSession, path: str) -> str | None:
+    """First line of a text file, read through the Hadoop file system (a few bytes)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(p)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return None if line is None else line.lstrip("\ufeff").strip()
+
+
+def read_incident_files(spark: SparkSession, paths: list[str], header_threads: int = 16) -> DataFrame:
     """Read incident files (all columns as text), align them by column name.
 
-    Files may differ in header spelling and column set; each is read with its
-    own header, headers are normalised, and the frames are unioned by name with
+    Files may differ in header spelling and column set.  Headers are read
+    first (one short read per file, in parallel threads) and the files are
+    grouped by layout, so there is one CSV scan per layout however many files
+    there are.  Headers are normalised and the layouts unioned by name with
     missing columns null.  Spreadsheet formats are not read (a warning names
     them); a file that cannot be read is skipped; no readable file is an error.
     """
-    frames = []
+    readable = []
     for p in paths:
-        if not p.lower().endswith(READABLE):
+        if p.lower().endswith(READABLE):
+            readable.append(p)
+        else:
             log.warning("skipping %s: only CSV incident files are read", p)
-            continue
+
+    def header(p):
         try:
-            df = (
-                spark.read.option("header", True)
-                .option("inferSchema", False)
-                .option("mode", "PERMISSIVE")
-                .option("ignoreCorruptFiles", True)
-                .csv(p)
-            )
-            frames.append(rename_variants(normalise_headers(df)))
+            return p, read_header(spark, p)
         except Exception as e:  # an unreadable file is skipped, as the published loader does
             log.warning("failed to read %s: %s", p, e)
+            return p, None
+
+    with ThreadPoolExecutor(max_workers=max(1, min(header_threads, len(readable) or 1))) as ex:
+        headers = list(ex.map(header, readable))
+    layouts: dict[str, list[str]] = {}
+    for p, h in headers:
+        if h:
+            layouts.setdefault(h, []).append(p)
+    frames = []
+    for group in layouts.values():
+        df = (
+            spark.read.option("header", True)
+            .option("inferSchema", False)
+            .option("mode", "PERMISSIVE")
+            .option("ignoreCorruptFiles", True)
+            .csv(group)
+        )
+        frames.append(rename_variants(normalise_headers(df)))
     if not frames:
         raise RuntimeError("No incident data could be read from the given files.")
     out = frames[0]

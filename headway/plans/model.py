@@ -64,8 +64,9 @@ class LinearParams:
 
 
 def assemble(df: DataFrame, cols: list[str] = FEATURES, out: str = "features") -> DataFrame:
+    """Feature vector in the fixed order; a missing feature value is 0 (training and scoring alike)."""
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(
-        df.withColumns({c: F.col(c).cast("double") for c in cols})
+        df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
     )
 
 

@@ -96,12 +96,19 @@ def brier(scored: DataFrame, score: str = "score", label: str = "label", places:
     )
 
 
+def shuffle_key(key_cols: list[str], seed: int) -> "F.Column":
+    """A seeded pseudo-random order for rows: the first 15 hex digits of
+    md5("seed|k1|k2|..."), as a non-negative long (standard, engine-independent)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def stratified_fold_columns(
     df: DataFrame, label: str, key_cols: list[str], folds: dict[str, int], seed: int = 42
 ) -> DataFrame:
     """Several exact stratified fold assignments from one shuffled ordinal per label:
     column ``name`` = ordinal mod k for each (name, k) in ``folds``."""
-    d = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)))
+    d = df.withColumn("_h", shuffle_key(key_cols, seed))
     d = ordinal_within(d, [label], "_h", tiebreak=key_cols)
     return d.withColumns({name: (F.col("ordinal") % k).cast("int") for name, k in folds.items()}).drop("_h", "ordinal")
 
@@ -115,7 +122,6 @@ def stratified_folds(
 
     Positions come from bucketed running counts, never a one-task window.
     """
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    d = df.withColumn("_h", h)
+    d = df.withColumn("_h", shuffle_key(key_cols, seed))
     d = ordinal_within(d, [label], "_h", tiebreak=key_cols)
     return d.withColumn("fold", (F.col("ordinal") % k).cast("int")).drop("_h", "ordinal")

@@ -91,8 +91,11 @@ def run(
     with_cv_metrics: bool = True,
     fmt: str = "parquet",
     parallelism: int = 8,
+    inputs=None,
 ) -> tuple[dict[str, DataFrame], dict[str, float]]:
-    st = Stages(spark, sf_dir)
+    """The full run over the fixture tables in ``sf_dir``, or over ``inputs``
+    (e.g. :class:`headway.sources.inputs.FileInputs`)."""
+    st = Stages(spark, sf_dir, inputs)
     t = Timer()
     out: dict[str, DataFrame] = {}
 
@@ -160,3 +163,20 @@ def run(
     if out_dir:
         st.release()  # outputs are written; drop the intermediate copies
     return out, t.seconds
+
+
+def run_files(
+    spark: SparkSession,
+    incidents_dir: str,
+    weather_path: str,
+    forecast_path: str,
+    out_dir: str,
+    years: tuple[int, ...] = (2024,),
+    **kw,
+) -> tuple[dict[str, DataFrame], dict[str, float]]:
+    """The published run from its own inputs: yearly incident CSV files, hourly
+    weather documents for the year and a 7-day forecast document."""
+    from headway.sources.inputs import FileInputs
+
+    inputs = FileInputs(spark, incidents_dir, weather_path, forecast_path, tuple(years))
+    return run(spark, None, out_dir=out_dir, inputs=inputs, **kw)

@@ -22,13 +22,16 @@ from headway.operators.enrich import enrich_weather
 from headway.operators.forecast import forecast_grid, forecast_summary, score_alerts
 from headway.operators.windows import label_windows, route_p60, training_features, window_aggregates
 from headway.session import materialize, remove_path, run_folder
-from headway.sources import fixtures as fx
+from headway.sources.inputs import FixtureInputs
 
 
 class Stages:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Stored stages of one run.  ``inputs`` defaults to the fixture tables under ``sf_dir``."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, inputs=None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.inputs = inputs or FixtureInputs(spark, sf_dir)
         self.run_id = uuid.uuid4().hex
 
     def _m(self, df: DataFrame, name: str) -> DataFrame:
@@ -42,12 +45,11 @@ class Stages:
 
     @cached_property
     def delays(self) -> DataFrame:
-        inc = fx.incidents_from_events(self.spark, self.sf_dir)
-        return self._m(build_delays(inc, fx.weather_from_orders(self.spark, self.sf_dir)), "delays")
+        return self._m(build_delays(self.inputs.incidents(), self.inputs.weather()), "delays")
 
     @cached_property
     def weather(self) -> DataFrame:
-        return enrich_weather(fx.weather_from_orders(self.spark, self.sf_dir))
+        return enrich_weather(self.inputs.weather())
 
     @cached_property
     def route_stats(self) -> DataFrame:
@@ -65,7 +67,7 @@ class Stages:
 
     @cached_property
     def window_aggregates(self) -> DataFrame:
-        return self._m(window_aggregates(self.delays), "window_aggregates")
+        return self._m(window_aggregates(self.delays, ordinal=self.inputs.ordinal), "window_aggregates")
 
     @cached_property
     def route_p60(self) -> DataFrame:
@@ -102,7 +104,7 @@ class Stages:
 
     @cached_property
     def forecast_weather(self) -> DataFrame:
-        return enrich_weather(fx.forecast_weather_from_orders(self.spark, self.sf_dir))
+        return enrich_weather(self.inputs.forecast_weather())
 
     @cached_property
     def grid(self) -> DataFrame:

@@ -6,6 +6,7 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.operators.clean import normalise_headers, rename_variants
 
@@ -47,7 +48,9 @@ def read_header(spark: SparkSession, path: str) -> str | None:
     return None if line is None else line.lstrip("\ufeff").strip()
 
 
-def read_incident_files(spark: SparkSession, paths: list[str], header_threads: int = 16) -> DataFrame:
+def read_incident_files(
+    spark: SparkSession, paths: list[str], header_threads: int = 16, with_ordinal: bool = False
+) -> DataFrame:
     """Read incident files (all columns as text), align them by column name.
 
     Files may differ in header spelling and column set.  Headers are read
@@ -56,6 +59,8 @@ def read_incident_files(spark: SparkSession, paths: list[str], header_threads: i
     there are.  Headers are normalised and the layouts unioned by name with
     missing columns null.  Spreadsheet formats are not read (a warning names
     them); a file that cannot be read is skipped; no readable file is an error.
+    ``with_ordinal`` adds ``_ordinal`` = (file path, block start, row id within
+    the block), which orders rows as the files list them.
     """
     readable = []
     for p in paths:
@@ -86,6 +91,15 @@ def read_incident_files(spark: SparkSession, paths: list[str], header_threads: i
             .option("ignoreCorruptFiles", True)
             .csv(group)
         )
+        if with_ordinal:
+            df = df.withColumn(
+                "_ordinal",
+                F.struct(
+                    F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"),
+                ),
+            )
         frames.append(rename_variants(normalise_headers(df)))
     if not frames:
         raise RuntimeError("No incident data could be read from the given files.")

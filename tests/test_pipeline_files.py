@@ -1,0 +1,65 @@
+"""The full run from raw inputs: incident CSV files + hourly weather and forecast documents."""
+
+import datetime as dt
+import json
+import os
+
+from headway.plans.pipeline import run_files
+
+INCIDENTS = ["Mechanical", "Diversion", "Security", "Late Leaving Garage", "General Delay", "Collision"]
+
+
+def _incident_files(folder):
+    os.makedirs(folder)
+    rows = {1: [], 2: []}
+    k = 0
+    for day in range(40):
+        date = dt.date(2024, 1, 1) + dt.timedelta(days=day)
+        for route in ("7", "29", "95"):
+            for hour in (16, 16, 17, 17, 8, 9, 9, 12):
+                k += 1
+                delay = (k * 7 + hour * 3 + int(route)) % 31
+                rows[date.month].append((date.isoformat(), route, f"{hour}:{(k * 13) % 60:02d}", INCIDENTS[k % 6], str(delay)))
+    with open(os.path.join(folder, "incidents-2024-01.csv"), "w") as f:
+        f.write("Date,Route,Time,Incident,Min Delay\n")
+        f.writelines(",".join(r) + "\n" for r in rows[1])
+    with open(os.path.join(folder, "Incidents 2024 02.csv"), "w") as f:
+        f.write("Report Date,Route,Time,Incident,Min Delay\n")  # second layout
+        f.writelines(",".join(r) + "\n" for r in rows[2])
+    return len(rows[1]) + len(rows[2])
+
+
+def _hourly_doc(path, start, hours):
+    t0 = dt.datetime.combine(start, dt.time())
+    times = [(t0 + dt.timedelta(hours=h)).strftime("%Y-%m-%dT%H:%M") for h in range(hours)]
+    doc = {"hourly": {
+        "time": times,
+        "temperature_2m": [float((h * 5) % 30 - 12) for h in range(hours)],
+        "precipitation": [0.25 * ((h * 3) % 11) if h % 4 == 0 else 0.0 for h in range(hours)],
+        "snowfall": [0.125 * (h % 5) if h % 6 == 0 else 0.0 for h in range(hours)],
+        "windspeed_10m": [float((h * 7) % 50) for h in range(hours)],
+        "weathercode": [[0, 3, 61, 71, 95][h % 5] for h in range(hours)],
+    }}
+    with open(path, "w") as f:
+        json.dump(doc, f)
+
+
+def test_run_from_files(spark, tmp_path):
+    inc_dir = str(tmp_path / "incidents")
+    n = _incident_files(inc_dir)
+    _hourly_doc(str(tmp_path / "weather.json"), dt.date(2024, 1, 1), 24 * 60)
+    _hourly_doc(str(tmp_path / "forecast.json"), dt.date(2024, 3, 1), 24 * 7)
+    out = str(tmp_path / "out")
+    produced, seconds = run_files(
+        spark, inc_dir, str(tmp_path / "weather.json"), str(tmp_path / "forecast.json"), out,
+        years=(2024,), n_trees=2, parallelism=4,
+    )
+    rd = spark.read.parquet(os.path.join(out, "route_daily"))
+    assert rd.agg({"total_incidents": "sum"}).first()[0] == n
+    assert rd.select("route").distinct().count() == 3
+    assert spark.read.parquet(os.path.join(out, "route_risk_scores")).count() == 3
+    fc = spark.read.parquet(os.path.join(out, "tomorrow_forecast"))
+    assert fc.count() == 3 * 7
+    assert fc.filter("alert_level is null").count() == 0
+    assert spark.read.parquet(os.path.join(out, "model_metrics")).count() == 7
+    assert {"delays", "model_fit", "dashboard"} <= set(seconds)

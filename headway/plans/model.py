@@ -204,9 +204,12 @@ class FittedModels:
 
 
 def fit_all(train: DataFrame, params: TreeParams, linear: LinearParams | None = None,
-            parallelism: int = 8, calib_folds: int = 3, oof_folds: int = 5) -> FittedModels:
+            parallelism: int | None = None, calib_folds: int = 3, oof_folds: int = 5) -> FittedModels:
     """All fits of the published model stage, scheduled together:
-    calibrated trees (3), calibrated linear (3), out-of-fold trees (5), full trees (1)."""
+    calibrated trees (3), calibrated linear (3), out-of-fold trees (5), full trees (1).
+
+    Fits on a small training table are bound by job latency, not cores, so by
+    default all of them are in flight at once (``parallelism=None``)."""
     linear = linear or LinearParams()
     tasks = (
         [_tree_member(train, params, f) for f in range(calib_folds)]
@@ -214,7 +217,7 @@ def fit_all(train: DataFrame, params: TreeParams, linear: LinearParams | None =
         + [_oof_member(train, params, f) for f in range(oof_folds)]
         + [lambda: params.estimator().fit(train)]
     )
-    res = _parallel(tasks, parallelism)
+    res = _parallel(tasks, parallelism or len(tasks))
     c = calib_folds
     return FittedModels(
         calibrated=CalibratedTrees(res[:c]),

@@ -127,7 +127,7 @@ def run(
     params = TreeParams(n_trees=n_trees)
     with t("model_fit"):
         if with_cv_metrics:
-            fitted = fit_all(train, params, LinearParams(), parallelism=parallelism)
+            fitted = fit_all(train, params, LinearParams())
             model = fitted.calibrated
         else:
             model = fit_calibrated_trees(train, params, parallelism=parallelism)

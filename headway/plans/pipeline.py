@@ -30,7 +30,6 @@ from headway.plans.model import (
     worst_case_scores,
 )
 from headway.plans.stages import Stages
-from headway.session import materialize
 from headway.sources.sinks import metrics_long, write_table
 
 

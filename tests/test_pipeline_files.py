@@ -63,3 +63,19 @@ def test_run_from_files(spark, tmp_path):
     assert fc.filter("alert_level is null").count() == 0
     assert spark.read.parquet(os.path.join(out, "model_metrics")).count() == 7
     assert {"delays", "model_fit", "dashboard"} <= set(seconds)
+
+
+def test_run_fixture_pipeline_writes_and_releases(spark, tmp_path):
+    from headway.plans.pipeline import run
+    from tests.conftest import SF_SMALL
+
+    out = str(tmp_path / "out")
+    produced, seconds = run(spark, SF_SMALL, out_dir=out, n_trees=1, parallelism=4)
+    for name in ["route_daily", "route_hourly", "weather_impact", "network_summary", "route_risk_scores_base",
+                 "route_risk_scores", "model_metrics", "feature_importance", "tomorrow_forecast",
+                 "kpi_summary", "delay_uplift", "alert_matrix", "risk_by_day"]:
+        assert os.path.isdir(os.path.join(out, name)), name
+    assert os.path.isdir(os.path.join(out, "route_daily", "year_month=2024-01"))
+    rr = spark.read.parquet(os.path.join(out, "route_risk_scores"))
+    assert "ml_degradation_prob_worst_case" in rr.columns and rr.count() == 4
+    assert set(seconds) == {"delays", "tables_and_training_data", "model_fit", "scoring_metrics_forecast", "dashboard"}

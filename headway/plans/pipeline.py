@@ -107,9 +107,9 @@ def run(
 
     with t("delays"):
         d = st.delays
-        rr = st.route_risk
     with t("tables_and_training_data"):
-        # the four tables and the training-data chain are independent jobs
+        # wave 1: the four tables and the independent stored stages, side by side
+        # (each job touches its own stage, so none is computed twice)
         jobs = {
             name: (lambda fn=fn, name=name: emit(name, fn(d, sort=False)))
             for name, fn in [
@@ -119,9 +119,14 @@ def run(
                 ("network_summary", tables.network_summary),
             ]
         }
-        jobs["route_risk_scores_base"] = lambda: emit("route_risk_scores_base", rr)
-        jobs["train"] = lambda: sized_for_fitting(st._m(training_frame(st.features), "train")).cache()
-        train = run_jobs(jobs, parallelism)["train"]
+        jobs["route_risk"] = lambda: st.route_risk
+        jobs["window_aggregates"] = lambda: st.window_aggregates
+        jobs["route_p60"] = lambda: st.route_p60
+        run_jobs(jobs, parallelism)
+        rr = st.route_risk
+        # wave 2: the training-data chain (windows -> features -> training frame), then the grid
+        train = sized_for_fitting(st._m(training_frame(st.features), "train")).cache()
+        emit("route_risk_scores_base", rr)
         grid = st.grid
     params = TreeParams(n_trees=n_trees)
     with t("model_fit"):

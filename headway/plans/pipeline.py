@@ -30,7 +30,8 @@ from headway.plans.model import (
     worst_case_scores,
 )
 from headway.plans.stages import Stages
-from headway.sources.sinks import metrics_long, write_table
+from headway.session import input_bytes
+from headway.sources.sinks import metrics_long, table_counts, write_table
 
 
 def _force(df: DataFrame) -> None:
@@ -49,6 +50,16 @@ class Timer:
         self.seconds[name] = round(time.perf_counter() - t0, 3)
 
 
+def table_report(spark: SparkSession, out_dir: str, produced: dict[str, DataFrame]) -> DataFrame:
+    """(table, rows, bytes) of the written tables: rows counted by Spark from the
+    written files, bytes from the file system."""
+    counts = table_counts({name: spark.read.parquet(f"{out_dir}/{name}") for name in produced})
+    sizes = spark.createDataFrame(
+        [(name, input_bytes(spark, f"{out_dir}/{name}")) for name in produced], "table string, bytes long"
+    )
+    return counts.join(sizes, "table")
+
+
 def run_jobs(jobs: dict[str, "callable"], parallelism: int) -> dict:
     """Submit independent jobs side by side (each is its own chain of Spark jobs)."""
     if parallelism <= 1:
@@ -165,6 +176,8 @@ def run(
             parallelism,
         )
     if out_dir:
+        with t("table_report"):
+            emit("table_report", table_report(spark, out_dir, {k: v for k, v in out.items() if k != "table_report"}))
         st.release()  # outputs are written; drop the intermediate copies
     return out, t.seconds
 

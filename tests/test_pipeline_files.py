@@ -78,4 +78,7 @@ def test_run_fixture_pipeline_writes_and_releases(spark, tmp_path):
     assert os.path.isdir(os.path.join(out, "route_daily", "year_month=2024-01"))
     rr = spark.read.parquet(os.path.join(out, "route_risk_scores"))
     assert "ml_degradation_prob_worst_case" in rr.columns and rr.count() == 4
-    assert set(seconds) == {"delays", "tables_and_training_data", "model_fit", "scoring_metrics_forecast", "dashboard"}
+    assert set(seconds) == {"delays", "tables_and_training_data", "model_fit", "scoring_metrics_forecast",
+                            "dashboard", "table_report"}
+    rep = {r.table: (r.rows, r.bytes) for r in spark.read.parquet(os.path.join(out, "table_report")).collect()}
+    assert rep["route_risk_scores"][0] == 4 and rep["route_daily"][1] > 0

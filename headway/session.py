@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
 import os
+import tempfile
 import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings that matter at any scale.  shuffle.partitions is sized for the
 # machine at hand; on a cluster set it to ~ (shuffle bytes / 128 MB) and let
 # AQE coalesce small partitions and split skewed ones.
@@ -46,16 +50,21 @@ def get_spark(
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) is ``fallback`` installed.
+    Only when nothing is configured is a folder of our own installed: ``fallback``
+    if given (tests), else a fresh scratch folder when the master is local (one
+    machine, so its temp folder is the shared one).  On a cluster with nothing
+    configured, None is returned and callers persist instead (with a warning).
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not fallback and spark.sparkContext.master.startswith("local"):
+        fallback = tempfile.mkdtemp(prefix="headway-ckpt-")
     if fallback:
         spark.sparkContext.setCheckpointDir(fallback)
-        return fallback
+        return spark.sparkContext.getCheckpointDir() or fallback
     return None
 
 
@@ -69,6 +78,7 @@ def materialize(df: DataFrame, name: str, spark: SparkSession | None = None, fol
     spark = spark or df.sparkSession
     base = ensure_checkpoint_dir(spark)
     if not base:
+        log.warning("no spark.checkpoint.dir on this cluster: %s is persisted, not stored", name)
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = os.path.join(str(base), folder, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.numeric import pct, r
+from headway.operators.quantiles import with_quantiles
 from headway.operators.tables import min_max_norm
 
 # Right-closed tier bins on the rounded score:
@@ -37,13 +38,12 @@ def fallback_stats(delays: DataFrame) -> DataFrame:
     g = delays.groupBy("route").agg(
         F.count("delay_min").alias("total_incidents"),
         F.avg("delay_min").alias("mean_delay_min"),
-        F.median("delay_min").alias("median_delay_min"),
-        F.percentile("delay_min", 0.95).alias("p95_delay_min"),
         pct("is_on_time").alias("on_time_pct"),
         pct("is_significant").alias("significant_delay_pct"),
         pct("is_severe").alias("severe_delay_pct"),
         (F.sum("delay_min") / F.lit(60.0)).alias("total_delay_hrs"),
     )
+    g = with_quantiles(g, delays, ["route"], "delay_min", {"median_delay_min": 0.5, "p95_delay_min": 0.95})
     return g.withColumns({"weather_sensitivity_precip": F.lit(0.0), "rush_hour_sensitivity": F.lit(0.0)})
 
 

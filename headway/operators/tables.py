@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import calendar as cal
 from headway.functions.numeric import pct, r
+from headway.operators.quantiles import with_quantiles
 
 # Incident categories counted per route-day.
 COUNTED_CATEGORIES = ["Mechanical", "Traffic", "Passenger", "Operator"]
@@ -68,16 +69,15 @@ def risk_tier(score: Column) -> Column:
 def route_daily(delays: DataFrame, sort: bool = True) -> DataFrame:
     """One row per (route, date): counts, delay statistics, weather, categories,
     7-row rolling means per route and the daily reliability rank."""
-    base = delays.groupBy("route", F.col("date").cast("date").alias("date")).agg(
+    d = delays.withColumn("date", F.col("date").cast("date"))
+    agg = d.groupBy("route", "date").agg(
         F.max("is_weekend").alias("is_weekend"),
         _count().alias("total_incidents"),
         _sum_int("is_significant").alias("significant_delays"),
         _sum_int("is_severe").alias("severe_delays"),
         _sum_int("is_on_time").alias("on_time_count"),
         r(F.avg("delay_min"), 2).alias("avg_delay_min"),
-        r(F.median("delay_min"), 2).alias("median_delay_min"),
         r(F.max("delay_min"), 1).alias("max_delay_min"),
-        r(F.percentile("delay_min", 0.95), 1).alias("p95_delay_min"),
         r(F.sum("delay_min") / F.lit(60.0), 2).alias("total_delay_hrs"),
         r(pct("is_on_time"), 2).alias("on_time_pct"),
         r(pct("is_significant"), 2).alias("significant_delay_pct"),
@@ -94,6 +94,9 @@ def route_daily(delays: DataFrame, sort: bool = True) -> DataFrame:
             for c in COUNTED_CATEGORIES
         ],
     )
+    base = with_quantiles(agg, d, ["route", "date"], "delay_min", {"_med": 0.5, "_p95": 0.95})
+    base = base.withColumns({"median_delay_min": r(F.col("_med"), 2), "p95_delay_min": r(F.col("_p95"), 1)})
+    base = base.drop("_med", "_p95")
     labelled = base.withColumns(
         {
             "year_month": cal.year_month("date"),
@@ -115,10 +118,10 @@ def route_daily(delays: DataFrame, sort: bool = True) -> DataFrame:
 
 def route_hourly(delays: DataFrame, sort: bool = True) -> DataFrame:
     """One row per (route, hour, time_period, is_rush_hour)."""
-    out = delays.groupBy("route", "hour", "time_period", "is_rush_hour").agg(
+    keys = ["route", "hour", "time_period", "is_rush_hour"]
+    out = delays.groupBy(*keys).agg(
         _count().alias("total_incidents"),
         r(F.avg("delay_min"), 2).alias("avg_delay_min"),
-        r(F.median("delay_min"), 2).alias("median_delay_min"),
         r(pct("is_on_time"), 2).alias("on_time_pct"),
         r(pct("is_significant"), 2).alias("significant_delay_pct"),
         r(F.sum("delay_min") / F.lit(60.0), 2).alias("total_delay_hrs"),
@@ -126,6 +129,8 @@ def route_hourly(delays: DataFrame, sort: bool = True) -> DataFrame:
         r(_cond_avg("is_precipitation", "delay_min", 1), 2).alias("avg_delay_wet"),
         r(_cond_avg("is_precipitation", "delay_min", 0), 2).alias("avg_delay_dry"),
     )
+    out = with_quantiles(out, delays, keys, "delay_min", {"_med": 0.5})
+    out = out.withColumn("median_delay_min", r(F.col("_med"), 2)).drop("_med")
     return out.orderBy("route", "hour") if sort else out
 
 
@@ -134,11 +139,10 @@ def weather_impact(delays: DataFrame, sort: bool = True) -> DataFrame:
     base = delays.filter(
         F.col("weather_condition").isNotNull() & (F.col("weather_condition") != F.lit("Unknown"))
     ).withColumn("severity_bucket", severity_bucket())
-    out = base.groupBy("weather_condition", "severity_bucket").agg(
+    keys = ["weather_condition", "severity_bucket"]
+    out = base.groupBy(*keys).agg(
         _count().alias("total_incidents"),
         r(F.avg("delay_min"), 2).alias("avg_delay_min"),
-        r(F.median("delay_min"), 2).alias("median_delay_min"),
-        r(F.percentile("delay_min", 0.95), 1).alias("p95_delay_min"),
         r(pct("is_on_time"), 2).alias("on_time_pct"),
         r(pct("is_significant"), 2).alias("significant_delay_pct"),
         r(pct("is_severe"), 2).alias("severe_delay_pct"),
@@ -146,6 +150,9 @@ def weather_impact(delays: DataFrame, sort: bool = True) -> DataFrame:
         r(F.avg("precip_mm"), 2).alias("avg_precip_mm"),
         r(F.avg("snow_cm"), 2).alias("avg_snow_cm"),
     )
+    out = with_quantiles(out, base, keys, "delay_min", {"_med": 0.5, "_p95": 0.95})
+    out = out.withColumns({"median_delay_min": r(F.col("_med"), 2), "p95_delay_min": r(F.col("_p95"), 1)})
+    out = out.drop("_med", "_p95")
     return out.orderBy(F.col("avg_delay_min").desc()) if sort else out
 
 
@@ -189,8 +196,6 @@ def route_stats(delays: DataFrame, min_incidents: int = MIN_ROUTE_INCIDENTS) ->
     stats = delays.groupBy("route").agg(
         _count().alias("total_incidents"),
         r(F.avg("delay_min"), 2).alias("mean_delay_min"),
-        r(F.median("delay_min"), 2).alias("median_delay_min"),
-        r(F.percentile("delay_min", 0.95), 1).alias("p95_delay_min"),
         r(pct("is_on_time"), 2).alias("on_time_pct"),
         r(pct("is_significant"), 2).alias("significant_delay_pct"),
         r(pct("is_severe"), 2).alias("severe_delay_pct"),
@@ -199,7 +204,10 @@ def route_stats(delays: DataFrame, min_incidents: int = MIN_ROUTE_INCIDENTS) ->
         _sensitivity("is_snow").alias("weather_sensitivity_snow"),
         _sensitivity("is_rush_hour").alias("rush_hour_sensitivity"),
     )
-    return stats.filter(F.col("total_incidents") >= F.lit(min_incidents))
+    stats = stats.filter(F.col("total_incidents") >= F.lit(min_incidents))
+    stats = with_quantiles(stats, delays, ["route"], "delay_min", {"_med": 0.5, "_p95": 0.95})
+    stats = stats.withColumns({"median_delay_min": r(F.col("_med"), 2), "p95_delay_min": r(F.col("_p95"), 1)})
+    return stats.drop("_med", "_p95")
 
 
 def route_sensitivity(delays: DataFrame, min_incidents: int = MIN_ROUTE_INCIDENTS) -> DataFrame:

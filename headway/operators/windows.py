@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.functions.calendar import time_period
 from headway.operators.ordinal import exact_quantile
+from headway.operators.quantiles import grouped_quantiles
 
 # The model's feature vector, in order.
 FEATURES = [
@@ -34,7 +36,7 @@ MAX_ON_TIME_SHARE = 0.70
 
 def route_p60(delays: DataFrame, q: float = ROUTE_QUANTILE) -> DataFrame:
     """Per-route quantile of delay_min with linear interpolation (exact)."""
-    return delays.groupBy("route").agg(F.percentile("delay_min", q).alias("route_p60_delay"))
+    return grouped_quantiles(delays, ["route"], "delay_min", {"route_p60_delay": q})
 
 
 def window_aggregates(delays: DataFrame, ordinal: str = "event_id", min_incidents: int = MIN_WINDOW_INCIDENTS) -> DataFrame:
@@ -66,8 +68,11 @@ def window_aggregates(delays: DataFrame, ordinal: str = "event_id", min_incident
         F.max("is_snow").alias("is_snow"),
         F.max("is_extreme_cold").alias("is_extreme_cold"),
         F.max("is_high_wind").alias("is_high_wind"),
-        first("time_period").alias("time_period"),
+        # time_period is a function of the hour: take the first hour (an integer
+        # buffer keeps the aggregate on the code-generated path) and map it
+        first("hour").alias("_first_hour"),
     )
+    agg = agg.withColumn("time_period", time_period(F.col("_first_hour"))).drop("_first_hour")
     agg = agg.withColumn("hour", F.col("hour_bucket"))
     return agg.filter(F.col("incidents") >= F.lit(min_incidents))
 

@@ -90,11 +90,11 @@ def population_standardised(df: DataFrame, n: int, col: str = "features", out: s
     return scaled.drop("_zs")
 
 
-def _margin(col: str = "rawPrediction") -> F.Column:
+def raw_margin(col: str = "rawPrediction") -> F.Column:
     return vector_to_array(F.col(col)).getItem(1)
 
 
-def _positive(col: str = "probability") -> F.Column:
+def positive_probability(col: str = "probability") -> F.Column:
     return vector_to_array(F.col(col)).getItem(1)
 
 
@@ -105,7 +105,7 @@ class CalibratedTrees:
     def predict(self, df: DataFrame, out: str = "prob") -> DataFrame:
         cols = []
         for i, (trees, iso) in enumerate(self.members):
-            m = trees.transform(df).withColumn(f"_m{i}", _margin()).drop("rawPrediction", "probability", "prediction")
+            m = trees.transform(df).withColumn(f"_m{i}", raw_margin()).drop("rawPrediction", "probability", "prediction")
             m = iso.setFeaturesCol(f"_m{i}").setPredictionCol(f"_p{i}").transform(m)
             df = m
             cols.append(F.col(f"_p{i}"))
@@ -120,10 +120,10 @@ class CalibratedLinear:
     def predict(self, df: DataFrame, out: str = "lr_prob") -> DataFrame:
         cols = []
         for i, (lin, platt) in enumerate(self.members):
-            m = lin.transform(df).withColumn(f"_lm{i}", _margin()).drop("rawPrediction", "probability", "prediction")
+            m = lin.transform(df).withColumn(f"_lm{i}", raw_margin()).drop("rawPrediction", "probability", "prediction")
             m = VectorAssembler(inputCols=[f"_lm{i}"], outputCol=f"_lv{i}").transform(m)
             m = platt.setFeaturesCol(f"_lv{i}").transform(m)
-            df = m.withColumn(f"_lp{i}", _positive()).drop("rawPrediction", "probability", "prediction")
+            df = m.withColumn(f"_lp{i}", positive_probability()).drop("rawPrediction", "probability", "prediction")
             cols.append(F.col(f"_lp{i}"))
         mean = sum(cols[1:], cols[0]) / F.lit(float(len(cols)))
         drop = [f"_{p}{i}" for i in range(len(cols)) for p in ("lm", "lv", "lp")]
@@ -143,7 +143,7 @@ def _parallel(tasks: list, parallelism: int) -> list:
 def _tree_member(train: DataFrame, params: TreeParams, f: int):
     def fit():
         trees = params.estimator().fit(train.filter(F.col("cal_fold") != f))
-        scored = trees.transform(train.filter(F.col("cal_fold") == f)).select(_margin().alias("margin"), "label")
+        scored = trees.transform(train.filter(F.col("cal_fold") == f)).select(raw_margin().alias("margin"), "label")
         iso = IsotonicRegression(featuresCol="margin", labelCol="label", isotonic=True).fit(scored)
         return trees, iso
 
@@ -158,7 +158,7 @@ def _linear_member(train: DataFrame, params: LinearParams, f: int):
             featuresCol="features_z", labelCol="label", regParam=1.0 / (params.C * max(n, 1)),
             elasticNetParam=0.0, standardization=False, maxIter=params.max_iter,
         ).fit(fit_part)
-        m = lin.transform(train.filter(F.col("cal_fold") == f)).select(_margin().alias("m"), "label")
+        m = lin.transform(train.filter(F.col("cal_fold") == f)).select(raw_margin().alias("m"), "label")
         m = VectorAssembler(inputCols=["m"], outputCol="mv").transform(m)
         platt = LogisticRegression(featuresCol="mv", labelCol="label", regParam=0.0, maxIter=100).fit(m)
         return lin, platt
@@ -170,7 +170,7 @@ def _oof_member(train: DataFrame, params: TreeParams, f: int):
     def fit():
         trees = params.estimator().fit(train.filter(F.col("oof_fold") != f))
         held = trees.transform(train.filter(F.col("oof_fold") == f))
-        return held.select(*KEY, "label", "oof_fold", _positive().alias("oof_prob"))
+        return held.select(*KEY, "label", "oof_fold", positive_probability().alias("oof_prob"))
 
     return fit
 

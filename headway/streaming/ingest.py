@@ -40,7 +40,7 @@ def ingest_incident_files(
             raise ValueError("no checkpoint folder: pass checkpoint= or set spark.checkpoint.dir")
         checkpoint = os.path.join(str(base), "headway-ingest", os.path.basename(cache_dir.rstrip("/")))
     stream = spark.readStream.schema(schema).option("header", True).csv(landing_dir)
-    stream = rename_variants(normalise_headers(stream)).withColumn("_source_file", F.input_file_name())
+    stream = rename_variants(normalise_headers(stream)).withColumn("_source_file", F.col("_metadata.file_path"))
     q = (
         stream.writeStream.format("parquet")
         .option("path", cache_dir)

@@ -50,10 +50,17 @@ class Timer:
         self.seconds[name] = round(time.perf_counter() - t0, 3)
 
 
-def table_report(spark: SparkSession, out_dir: str, produced: dict[str, DataFrame]) -> DataFrame:
+def read_written(spark: SparkSession, out_dir: str, name: str, fmt: str) -> DataFrame:
+    r = spark.read.format(fmt)
+    if fmt == "csv":
+        r = r.option("header", True)
+    return r.load(f"{out_dir}/{name}")
+
+
+def table_report(spark: SparkSession, out_dir: str, produced: dict[str, DataFrame], fmt: str = "parquet") -> DataFrame:
     """(table, rows, bytes) of the written tables: rows counted by Spark from the
     written files, bytes from the file system."""
-    counts = table_counts({name: spark.read.parquet(f"{out_dir}/{name}") for name in produced})
+    counts = table_counts({name: read_written(spark, out_dir, name, fmt) for name in produced})
     sizes = spark.createDataFrame(
         [(name, input_bytes(spark, f"{out_dir}/{name}")) for name in produced], "table string, bytes long"
     )
@@ -165,7 +172,9 @@ def run(
             jobs["feature_importance"] = lambda: emit("feature_importance", feature_importance(spark, fitted.raw))
         summary = run_jobs(jobs, parallelism)["forecast"]
     with t("dashboard"):
-        rd = spark.read.parquet(out_dir + "/route_daily") if out_dir else tables.route_daily(d, sort=False)
+        # the written table when it is typed Parquet, else recomputed from the stored fact table
+        written = out_dir and fmt == "parquet"
+        rd = read_written(spark, out_dir, "route_daily", fmt) if written else tables.route_daily(d, sort=False)
         run_jobs(
             {
                 "kpi_summary": lambda: emit("kpi_summary", db.kpi_summary(rd)),
@@ -177,7 +186,7 @@ def run(
         )
     if out_dir:
         with t("table_report"):
-            emit("table_report", table_report(spark, out_dir, {k: v for k, v in out.items() if k != "table_report"}))
+            emit("table_report", table_report(spark, out_dir, {k: v for k, v in out.items() if k != "table_report"}, fmt))
         st.release()  # outputs are written; drop the intermediate copies
     return out, t.seconds
 

@@ -82,3 +82,16 @@ def test_run_fixture_pipeline_writes_and_releases(spark, tmp_path):
                             "dashboard", "table_report"}
     rep = {r.table: (r.rows, r.bytes) for r in spark.read.parquet(os.path.join(out, "table_report")).collect()}
     assert rep["route_risk_scores"][0] == 4 and rep["route_daily"][1] > 0
+
+
+def test_command_line_fixture_run(spark, tmp_path, capsys):
+    import json
+
+    from headway.__main__ import main
+    from tests.conftest import SF_SMALL
+
+    out = str(tmp_path / "cli")
+    assert main(["fixtures", "--sf-dir", SF_SMALL, "--out", out, "--trees", "1", "--format", "csv"]) == 0
+    seconds = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert "model_fit" in seconds
+    assert spark.read.option("header", True).csv(os.path.join(out, "route_daily")).count() > 0

@@ -23,9 +23,10 @@ NEUTRAL_WEATHER = {
     **{c: 0 for c in FLAG_COLUMNS},
 }
 
-# A dimension is broadcast only when a bounded count says it is small;
+# A dimension is broadcast only when a bounded count says it is small (hourly
+# weather: 8,784 rows a year, so this covers ~57 years at ~100 bytes a row);
 # beyond this it is joined with a shuffle (and AQE may still switch at run time).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 500_000
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     a = ap.parse_args(argv)
 
-    from headway.plans.pipeline import run, run_files
+    from headway.plans.full_run import run, run_files
     from headway.session import get_spark
 
     spark = get_spark(a.master)

@@ -201,7 +201,7 @@ def q_feature_scaling(spark, sf_dir):
     return s.select("feature", r(F.col("mean"), 6).alias("mean"), r(F.col("std"), 6).alias("std"))
 
 
-def q_pipeline_counts(spark, sf_dir):
+def q_run_counts(spark, sf_dir):
     d = delays(spark, sf_dir)
     w = windows(spark, sf_dir)
     wstats = w.select(
@@ -362,7 +362,7 @@ QUERIES: dict[str, Query] = {
     "training_features": q_training_features,
     "label_encoding": q_label_encoding,
     "feature_scaling": q_feature_scaling,
-    "pipeline_counts": q_pipeline_counts,
+    "run_counts": q_run_counts,
     "fold_assignment": q_fold_assignment,
     "auc_metric": q_auc_metric,
     "average_precision": q_average_precision,

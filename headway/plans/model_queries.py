@@ -59,7 +59,7 @@ def q_forecast_summary_model(spark, sf_dir):
 def q_model_metrics(spark, sf_dir):
     """(metric, value): in-sample calibrated AUC, out-of-fold AUC, average precision,
     Brier score, calibrated linear AUC, base rate, window count."""
-    from headway.plans.pipeline import model_metrics
+    from headway.plans.full_run import model_metrics
 
     ms = model_stages(spark, sf_dir)
     return model_metrics(ms.calibrated, ms.linear, ms.oof, ms.train)

@@ -41,10 +41,10 @@ def main() -> None:
     warm_dir = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.001")
     warmup = WARMUP and os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(SF_DIR)
     if warmup:
-        run(spark, warm_dir, out_dir=None, n_trees=1, with_cv_metrics=True)
+        run(spark, warm_dir, out_dir=None, n_trees=1, with_cv_metrics=True, release=True)
 
     t0 = time.perf_counter()
-    _, seconds = run(spark, SF_DIR, out_dir=None, n_trees=TREES, with_cv_metrics=True)
+    _, seconds = run(spark, SF_DIR, out_dir=None, n_trees=TREES, with_cv_metrics=True, release=True)
     total = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     print(

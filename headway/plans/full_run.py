@@ -109,9 +109,14 @@ def run(
     fmt: str = "parquet",
     parallelism: int = 8,
     inputs=None,
+    release: bool | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, float]]:
     """The full run over the fixture tables in ``sf_dir``, or over ``inputs``
-    (e.g. :class:`headway.sources.inputs.FileInputs`)."""
+    (e.g. :class:`headway.sources.inputs.FileInputs`).
+
+    ``release`` deletes the stored intermediate stages at the end (default: only
+    when ``out_dir`` is given).  Returned DataFrames that read those stages must
+    be used before they are released; the written tables stay."""
     st = Stages(spark, sf_dir, inputs)
     t = Timer()
     out: dict[str, DataFrame] = {}
@@ -187,7 +192,10 @@ def run(
     if out_dir:
         with t("table_report"):
             emit("table_report", table_report(spark, out_dir, {k: v for k, v in out.items() if k != "table_report"}, fmt))
-        st.release()  # outputs are written; drop the intermediate copies
+    if release is None:
+        release = bool(out_dir)
+    if release:
+        st.release()  # drop the intermediate copies under the checkpoint folder
     return out, t.seconds
 
 

@@ -2,7 +2,9 @@
 network_summary, route_risk_scores (plus the sensitivity slice of the last).
 
 All are partial (map-side) + final hash aggregations on their group keys over
-the fact table; windows and normalisation run only on the reduced tables.
+the fact table; exact quantiles come from (group, value) counts
+(:mod:`headway.operators.quantiles`); windows and normalisation run only on the
+reduced tables.
 """
 
 from __future__ import annotations

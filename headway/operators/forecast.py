@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import calendar as cal
+from headway.functions.categories import WMO_CONDITIONS
 from headway.functions.numeric import r
 from headway.operators.joins import checked_broadcast
+from headway.operators.tables import RISK_TIER_OTHER, RISK_TIERS
 from headway.operators.windows import ROUTE_FEATURES
 
 # Alert score weights, and right-closed alert bins
@@ -18,6 +20,11 @@ ALERT_RISK_WEIGHT = 0.4
 ALERT_LOW = -0.001
 ALERT_LEVELS = [("Normal", 0.25), ("Watch", 0.45), ("Warning", 0.65), ("Alert", 1.0)]
 
+# Fixed domains of the labels the summary carries (codes are positions, 1-based).
+LEVEL_NAMES = [label for label, _ in ALERT_LEVELS]
+CONDITION_NAMES = [label for label, _ in WMO_CONDITIONS] + ["Other", "Unknown"]
+TIER_NAMES = [label for label, _ in RISK_TIERS] + [RISK_TIER_OTHER]
+
 FORECAST_WEATHER = [
     "temp_c", "precip_mm", "snow_cm", "wind_kph", "weather_severity",
     "is_precipitation", "is_snow", "is_extreme_cold", "is_high_wind", "weather_condition",
@@ -99,32 +106,59 @@ def score_alerts(scored_grid: DataFrame, prob_col: str = "degradation_prob", sor
     return out.orderBy(F.col("date").asc(), F.col("alert_score").desc()) if sort else out
 
 
+def _code(col: Column, domain: list[str]) -> Column:
+    """1-based position of a label in a fixed domain (0 when absent or null)."""
+    return F.coalesce(F.array_position(F.array(*[F.lit(x) for x in domain]), col), F.lit(0)).cast("int")
+
+
+def _decode(code: Column, domain: list[str]) -> Column:
+    return F.when(code > 0, F.element_at(F.array(*[F.lit(x) for x in domain]), code))
+
+
 def forecast_summary(alerts: DataFrame, sort: bool = True) -> DataFrame:
     """Per (date, day_name, route): max probability, max alert score, modal alert
     level (most hours; ties -> least severe), and the weather condition and risk
     tier at the highest-scoring hour (earliest hour on ties).
 
-    Two small aggregations: per level, then per route-day.
+    Two small aggregations: per level, then per route-day.  Labels travel as
+    integer codes of their fixed domains and the peak (score, earliest time) as
+    one long, so both aggregations stay on the code-generated hash path.
     """
     keys = ["date", "day_name", "route"]
-    at_peak = F.struct(F.col("alert_score"), (-F.unix_micros(F.col("datetime").cast("timestamp"))).alias("t"))
-    per_level = alerts.groupBy(*keys, "alert_level").agg(
+    secs = F.unix_seconds(F.col("datetime").cast("timestamp"))
+    # score with 4 decimals, then the earliest second: (score * 10^4) * 2^32 + (2^32 - 1 - seconds)
+    peak = F.round(F.col("alert_score") * F.lit(10000.0)).cast("long") * F.lit(1 << 32) + (F.lit((1 << 32) - 1) - secs)
+    a = alerts.withColumns(
+        {
+            "_lvl": _code(F.col("alert_level"), LEVEL_NAMES),
+            "_cond": _code(F.col("weather_condition"), CONDITION_NAMES),
+            "_tier": _code(F.col("risk_tier"), TIER_NAMES),
+            "_peak": peak,
+        }
+    )
+    per_level = a.groupBy(*keys, "_lvl").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max("degradation_prob").alias("_p"),
         F.max("alert_score").alias("_a"),
-        F.max(at_peak).alias("_peak"),
-        F.max_by("weather_condition", at_peak).alias("_cond"),
-        F.max_by("risk_tier", at_peak).alias("_tier"),
-    )
-    mode_key = F.struct(
-        F.when(F.col("alert_level").isNotNull(), F.col("_n")).alias("n"),
-        (-alert_ordinal(F.col("alert_level"))).alias("o"),
+        F.max("_peak").alias("_pk"),
+        F.max_by("_cond", "_peak").alias("_c"),
+        F.max_by("_tier", "_peak").alias("_t"),
     )
+    # most hours first, then the least severe level (lower code); levels outside the bins are skipped
+    mode_key = F.when(F.col("_lvl") > 0, F.col("_n") * F.lit(8) + (F.lit(8) - F.col("_lvl")))
     out = per_level.groupBy(*keys).agg(
         F.max("_p").alias("max_degradation_prob"),
         F.max("_a").alias("max_alert_score"),
-        F.max_by("alert_level", mode_key).alias("alert_level"),
-        F.max_by("_cond", F.col("_peak")).alias("weather_condition"),
-        F.max_by("_tier", F.col("_peak")).alias("risk_tier"),
+        F.max_by("_lvl", mode_key).alias("_mode"),
+        F.max_by("_c", "_pk").alias("_c"),
+        F.max_by("_t", "_pk").alias("_t"),
+    )
+    out = out.select(
+        *keys,
+        "max_degradation_prob",
+        "max_alert_score",
+        _decode(F.col("_mode"), LEVEL_NAMES).alias("alert_level"),
+        _decode(F.col("_c"), CONDITION_NAMES).alias("weather_condition"),
+        _decode(F.col("_t"), TIER_NAMES).alias("risk_tier"),
     )
     return out.orderBy(F.col("date").asc(), F.col("max_alert_score").desc()) if sort else out

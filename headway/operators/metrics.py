@@ -47,15 +47,18 @@ def _ranking_from_cum(cum: DataFrame, places: int, by: list[str] | None = None)
         (F.sum("pos") + F.sum("neg")).alias("n"),
         F.sum("pos").alias("positives"),
         (
-            (F.lit(2) * F.sum(F.col("pos") * neg_below) + F.sum(F.col("pos") * F.col("neg"))).cast("double")
-            / (F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double"))
+            F.try_divide(
+                (F.lit(2) * F.sum(F.col("pos") * neg_below) + F.sum(F.col("pos") * F.col("neg"))).cast("double"),
+                F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double"),
+            )
         ).alias("auc"),
-        r(F.sum(F.col("pos").cast("double") * tp / (tp + fp)) / F.sum("pos"), places).alias("average_precision"),
+        r(F.try_divide(F.sum(F.col("pos").cast("double") * tp / (tp + fp)), F.sum("pos")), places).alias("average_precision"),
     )
 
 
 def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """ROC AUC with tied scores counted half (rank-sum / Mann-Whitney form).
+    """ROC AUC with tied scores counted half (rank-sum / Mann-Whitney form); null
+    when a class is missing.
 
     AUC = sum_s pos(s) * (neg below s + neg(s)/2) / (P * N), all in integer
     arithmetic until the final division.  Returns one row: n, positives, auc.
@@ -66,8 +69,10 @@ def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> Da
         (F.sum("pos") + F.sum("neg")).alias("n"),
         F.sum("pos").alias("positives"),
         (
-            (F.lit(2) * F.sum(F.col("pos") * F.col("cum_neg")) + F.sum(F.col("pos") * F.col("neg"))).cast("double")
-            / (F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double"))
+            F.try_divide(
+                (F.lit(2) * F.sum(F.col("pos") * F.col("cum_neg")) + F.sum(F.col("pos") * F.col("neg"))).cast("double"),
+                F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double"),
+            )
         ).alias("auc"),
     )
 
@@ -82,7 +87,7 @@ def average_precision(scored: DataFrame, score: str = "score", label: str = "lab
     return cum.agg(
         (F.sum("pos") + F.sum("neg")).alias("n"),
         total_pos.alias("positives"),
-        r(F.sum(term) / total_pos, places).alias("average_precision"),
+        r(F.try_divide(F.sum(term), total_pos), places).alias("average_precision"),
     )
 
 

@@ -41,7 +41,7 @@ vals as (select lang, source, m, r[m] as v from (select *, unnest([1, 2, 3, 4])
 est as (select lang, source, m, case when v > 0 then 2 * pow(1.02, ceil(ln(v) / ln(1.02))) / 2.02 else 0.0 end as v from vals),
 own as (select lang, source, m, count(*) as n, quantile_disc(v, 0.25) as a, quantile_disc(v, 0.75) as b from est group by all),
 whole as (select m, quantile_disc(v, 0.25) as a, quantile_disc(v, 0.75) as b from est group by m),
-lim as (select lang, source, m, greatest([0.25, 0.30, 0.20, 12.0][m],
+lim as (select lang, source, m, greatest([0.25, 0.40, 0.30, 12.0][m],
           case when own.n >= 100 then own.b + 3 * (own.b - own.a) else whole.b + 3 * (whole.b - whole.a) end) as l
         from own join whole using (m)),
 lims as (select lang, source, list(l order by m) as l from lim group by lang, source)

@@ -29,8 +29,8 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: ratio: (numerator, denominator, floor under which a threshold never falls)
 RATIOS = {
     "symbol_ratio": ("n_symbols", "n_words", 0.25),
-    "dup_line_ratio": ("n_dup_lines", "n_text_lines", 0.30),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.20),
+    "dup_line_ratio": ("n_dup_lines", "n_text_lines", 0.40),
+    "repeat_ratio": ("n_repeat_words", "n_words", 0.30),
     "word_length": ("word_chars", "n_words", 12.0),
 }
 FENCE = 3.0

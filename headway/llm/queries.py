@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, decontaminate, license_scan, line_dedup, quality_rules
+from headway.llm import bpe, decontaminate, license_scan, line_dedup, quality_rules, rule_ensemble
 from headway.session import materialize
 
 
@@ -44,6 +44,13 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    scored, _ = rule_ensemble.fit_and_score(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = license_scan.scan_licenses(docs)
@@ -61,6 +68,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_decontamination": op4_decontamination,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import logging
 import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-log = logging.getLogger(__name__)
-
 # Settings that matter at any scale.  shuffle.partitions is sized for the
 # machine at hand; on a cluster set it to ~ (shuffle bytes / 128 MB) and let
 # AQE coalesce small partitions and split skewed ones.
@@ -54,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     Only when nothing is configured is a folder of our own installed: ``fallback``
     if given (tests), else a fresh scratch folder when the master is local (one
     machine, so its temp folder is the shared one).  On a cluster with nothing
-    configured, None is returned and callers persist instead (with a warning).
+    configured, None is returned.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
@@ -69,21 +65,25 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return None
 
 
-def materialize(df: DataFrame, name: str, spark: SparkSession | None = None, folder: str = "headway") -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, spark: SparkSession | None = None, folder: str = "headway", compression: str | None = None
+) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     This cuts lineage for a table that several jobs reuse, and survives executor
-    loss (the files live in shared storage).  Without a shared folder the frame
-    is persisted to memory and disk instead (lineage kept, recomputed on loss).
+    loss (the files live in shared storage).  A cluster must name that folder in
+    ``spark.checkpoint.dir``; without one this raises.
     """
     spark = spark or df.sparkSession
     base = ensure_checkpoint_dir(spark)
     if not base:
-        log.warning("no spark.checkpoint.dir on this cluster: %s is persisted, not stored", name)
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = os.path.join(str(base), folder, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    writer = df.write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, decontaminate, license_scan, line_dedup, quality_rules, rule_ensemble
+from headway.llm import bpe, decontaminate, license_scan, line_dedup, ppm, quality_rules, rule_ensemble, substring_dedup
 from headway.session import materialize
 
 
@@ -13,6 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    out = ppm.score_documents(docs, ~held_out)
+    return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.dedup_lines(docs)
@@ -57,6 +64,12 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring_dedup.dedup_substrings(docs, digest=True)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     measured = materialize(quality_rules.measure(docs).drop("text"), "op10-measured")
@@ -65,10 +78,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_partial_matching": op1_partial_matching,
     "op2_line_dedup": op2_line_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_decontamination": op4_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }

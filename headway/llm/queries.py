@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, decontaminate, license_scan, line_dedup, ppm, quality_rules, rule_ensemble, substring_dedup
+from headway.llm import bpe, decontaminate, license_scan, line_dedup, ppm, quality_rules, rule_ensemble, substring_dedup, suffix_dedup
 from headway.session import materialize
 
 
@@ -64,6 +64,12 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix_dedup.dedup_suffixes(docs, digest=True)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substring_dedup.dedup_substrings(docs, digest=True)
@@ -84,6 +90,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }

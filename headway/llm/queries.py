@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, decontaminate, license_scan, line_dedup, ppm, quality_rules, rule_ensemble, substring_dedup, suffix_dedup
+from headway.llm import bpe, decontaminate, license_scan, line_dedup, near_dedup, ppm, quality_rules, rule_ensemble, substring_dedup, suffix_dedup
 from headway.session import materialize
 
 
@@ -51,6 +51,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -88,6 +93,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_decontamination": op4_decontamination,
+    "op5_near_dedup": op5_near_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
     "op8_suffix_dedup": op8_suffix_dedup,

@@ -9,12 +9,12 @@ from headway.operators.enrich import enrich_weather
 from headway.operators.joins import join_weather
 
 
-def build_delays(incidents: DataFrame, weather: DataFrame) -> DataFrame:
+def build_delays(incidents: DataFrame, weather: DataFrame, keys: tuple[str, ...] = ("date", "hour")) -> DataFrame:
     """``incidents`` needs route, date, hour, delay_min, incident_category (and any
     carried columns); ``weather`` the raw hourly measurements with weather_code.
 
-    Narrow transformations plus one broadcast hash join: the incident side is
-    scanned once and never shuffled.
+    Narrow transformations plus one left join on ``keys``: while the weather is small
+    enough to be broadcast, the incident side is scanned once and never shuffled.
     """
     inc = add_reliability_flags(add_calendar(incidents))
-    return join_weather(inc, enrich_weather(weather))
+    return join_weather(inc, enrich_weather(weather), keys=keys)

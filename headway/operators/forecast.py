@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import calendar as cal
-from headway.functions.categories import WMO_CONDITIONS
 from headway.functions.numeric import r
 from headway.operators.joins import checked_broadcast
-from headway.operators.tables import RISK_TIER_OTHER, RISK_TIERS
 from headway.operators.windows import ROUTE_FEATURES
 
 # Alert score weights, and right-closed alert bins
@@ -20,11 +18,6 @@ ALERT_RISK_WEIGHT = 0.4
 ALERT_LOW = -0.001
 ALERT_LEVELS = [("Normal", 0.25), ("Watch", 0.45), ("Warning", 0.65), ("Alert", 1.0)]
 
-# Fixed domains of the labels the summary carries (codes are positions, 1-based).
-LEVEL_NAMES = [label for label, _ in ALERT_LEVELS]
-CONDITION_NAMES = [label for label, _ in WMO_CONDITIONS] + ["Other", "Unknown"]
-TIER_NAMES = [label for label, _ in RISK_TIERS] + [RISK_TIER_OTHER]
-
 FORECAST_WEATHER = [
     "temp_c", "precip_mm", "snow_cm", "wind_kph", "weather_severity",
     "is_precipitation", "is_snow", "is_extreme_cold", "is_high_wind", "weather_condition",
@@ -39,23 +32,21 @@ def forecast_grid(
 ) -> DataFrame:
     """Every route x every forecast hour, with the model's features.
 
-    The forecast covers a fixed horizon (168 hours), so it is broadcast; each
-    route row expands to the hours of the horizon (read from the forecast by a
-    scalar subquery) and meets the weather in an equi-join -- no cross join.
+    Every forecast row meets every route, whatever its time of day: the forecast's
+    times (a fixed horizon; 168 hours) are gathered in one array by a scalar subquery, each
+    route row expands to them and meets the rows of that time in an equi-join.
     hour := 2-hour bucket start; time_period from the real hour; rush from the
     bucket start; calendar fields from the forecast timestamp.
     """
     fw = forecast_weather.select("datetime", *FORECAST_WEATHER)
-    span = fw.select(F.struct(F.min("datetime").alias("lo"), F.max("datetime").alias("hi")).alias("s")).scalar()
-    hours = F.sequence(F.col("_span.lo"), F.col("_span.hi"), F.expr("INTERVAL 1 HOUR"))
+    times = fw.agg(F.collect_set("datetime").alias("t")).select("t").scalar()
     routes = route_risk.select(
         F.col("route").cast("string").alias("route"),
         *[F.col(k).alias(v) for k, v in ROUTE_FEATURES.items()],
         F.col("risk_score").cast("double").alias("risk_score"),
         F.col("risk_tier").cast("string").alias("risk_tier"),
     )
-    routes = routes.withColumn("_span", span)
-    grid = routes.withColumn("datetime", F.explode(hours)).drop("_span").join(checked_broadcast(fw), "datetime", "inner")
+    grid = routes.withColumn("datetime", F.explode(times)).join(checked_broadcast(fw), "datetime", "inner")
     real_hour = F.hour("datetime").cast("int")
     hb = (F.floor(real_hour / 2) * 2).cast("int")
     grid = grid.withColumns(
@@ -106,59 +97,37 @@ def score_alerts(scored_grid: DataFrame, prob_col: str = "degradation_prob", sor
     return out.orderBy(F.col("date").asc(), F.col("alert_score").desc()) if sort else out
 
 
-def _code(col: Column, domain: list[str]) -> Column:
-    """1-based position of a label in a fixed domain (0 when absent or null)."""
-    return F.coalesce(F.array_position(F.array(*[F.lit(x) for x in domain]), col), F.lit(0)).cast("int")
-
-
-def _decode(code: Column, domain: list[str]) -> Column:
-    return F.when(code > 0, F.element_at(F.array(*[F.lit(x) for x in domain]), code))
-
-
 def forecast_summary(alerts: DataFrame, sort: bool = True) -> DataFrame:
     """Per (date, day_name, route): max probability, max alert score, modal alert
     level (most hours; ties -> least severe), and the weather condition and risk
     tier at the highest-scoring hour (earliest hour on ties).
 
-    Two small aggregations: per level, then per route-day.  Labels travel as
-    integer codes of their fixed domains and the peak (score, earliest time) as
-    one long, so both aggregations stay on the code-generated hash path.
+    Two small aggregations: per level, then per route-day.  A level that is not one of
+    the alert bins counts as more severe than all of them; hours without one are skipped.
     """
     keys = ["date", "day_name", "route"]
-    secs = F.unix_seconds(F.col("datetime").cast("timestamp"))
-    # score with 4 decimals, then the earliest second: (score * 10^4) * 2^32 + (2^32 - 1 - seconds)
-    peak = F.round(F.col("alert_score") * F.lit(10000.0)).cast("long") * F.lit(1 << 32) + (F.lit((1 << 32) - 1) - secs)
-    a = alerts.withColumns(
-        {
-            "_lvl": _code(F.col("alert_level"), LEVEL_NAMES),
-            "_cond": _code(F.col("weather_condition"), CONDITION_NAMES),
-            "_tier": _code(F.col("risk_tier"), TIER_NAMES),
-            "_peak": peak,
-        }
-    )
-    per_level = a.groupBy(*keys, "_lvl").agg(
+    last = F.lit("9999-12-31").cast("timestamp_ntz")
+    peak = F.struct(F.col("alert_score"), (last - F.col("datetime").cast("timestamp_ntz")).alias("left"), "weather_condition", "risk_tier")
+    per_level = alerts.groupBy(*keys, "alert_level").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max("degradation_prob").alias("_p"),
         F.max("alert_score").alias("_a"),
-        F.max("_peak").alias("_pk"),
-        F.max_by("_cond", "_peak").alias("_c"),
-        F.max_by("_tier", "_peak").alias("_t"),
+        F.max(peak).alias("_peak"),
     )
-    # most hours first, then the least severe level (lower code); levels outside the bins are skipped
-    mode_key = F.when(F.col("_lvl") > 0, F.col("_n") * F.lit(8) + (F.lit(8) - F.col("_lvl")))
+    rank = F.coalesce(alert_ordinal(F.col("alert_level")), F.lit(len(ALERT_LEVELS)))
+    most = F.when(F.col("alert_level").isNotNull(), F.struct(F.col("_n"), -rank, F.col("alert_level").alias("level")))
     out = per_level.groupBy(*keys).agg(
         F.max("_p").alias("max_degradation_prob"),
         F.max("_a").alias("max_alert_score"),
-        F.max_by("_lvl", mode_key).alias("_mode"),
-        F.max_by("_c", "_pk").alias("_c"),
-        F.max_by("_t", "_pk").alias("_t"),
+        F.max(most).alias("_mode"),
+        F.max("_peak").alias("_peak"),
     )
     out = out.select(
         *keys,
         "max_degradation_prob",
         "max_alert_score",
-        _decode(F.col("_mode"), LEVEL_NAMES).alias("alert_level"),
-        _decode(F.col("_c"), CONDITION_NAMES).alias("weather_condition"),
-        _decode(F.col("_t"), TIER_NAMES).alias("risk_tier"),
+        F.col("_mode.level").alias("alert_level"),
+        F.col("_peak.weather_condition").alias("weather_condition"),
+        F.col("_peak.risk_tier").alias("risk_tier"),
     )
     return out.orderBy(F.col("date").asc(), F.col("max_alert_score").desc()) if sort else out

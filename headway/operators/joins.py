@@ -38,16 +38,22 @@ def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(dim) if n <= max_rows else dim
 
 
-def join_weather(incidents: DataFrame, weather: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """LEFT join incidents to enriched hourly weather on (date, hour), then neutral fill.
+def join_weather(
+    incidents: DataFrame,
+    weather: DataFrame,
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    keys: tuple[str, ...] = ("date", "hour"),
+) -> DataFrame:
+    """LEFT join incidents to enriched hourly weather on ``keys``, then neutral fill.
 
-    Weather is one row per hour of the covered period (8,784 rows a year), so
-    it is broadcast and the incident side is never shuffled.  Duplicate weather
-    hours would multiply incident rows, as a plain left join does.
+    One place's weather is 8,784 rows a year, so up to ``max_broadcast_rows`` it is
+    broadcast and the incident side is never shuffled; weather of many stations
+    beyond that meets the incidents in a shuffled join.  Duplicate weather hours
+    would multiply incident rows, as a plain left join does.
     """
-    w = weather.select("date", "hour", *WEATHER_COLUMNS)
+    w = weather.select(*keys, *WEATHER_COLUMNS)
     w = checked_broadcast(w, max_broadcast_rows)
-    joined = incidents.join(w, ["date", "hour"], "left")
+    joined = incidents.join(w, list(keys), "left")
     return joined.na.fill(NEUTRAL_WEATHER)
 
 

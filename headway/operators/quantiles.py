@@ -31,7 +31,12 @@ def grouped_quantiles(df: DataFrame, keys: list, value: str, qs: dict[str, float
 
 
 def with_quantiles(aggregated: DataFrame, df: DataFrame, keys: list, value: str, qs: dict[str, float]) -> DataFrame:
-    """Join the named quantiles of ``value`` onto an aggregate of ``df`` over the same keys."""
+    """Join the named quantiles of ``value`` onto an aggregate of ``df`` over the same keys (null is a key too)."""
     q = grouped_quantiles(df, keys, value, qs)
     key_names = [c for c in q.columns if c not in qs]
-    return aggregated.join(q, key_names, "left")
+    right = q.select(*[F.col(k).alias(f"_k_{k}") for k in key_names], *qs)
+    same = None
+    for k in key_names:
+        c = aggregated[k].eqNullSafe(right[f"_k_{k}"])
+        same = c if same is None else same & c
+    return aggregated.join(right, same, "left").drop(*[f"_k_{k}" for k in key_names])

@@ -1,7 +1,7 @@
 """Query catalogue: one callable ``(spark, sf_dir) -> DataFrame`` per operator key.
 
 Every query reads the driver's tables whole (``events`` as the incident log,
-``orders`` as hour-indexed weather) and builds its result with the library's
+``orders`` as hourly weather of many stations) and builds its result with the library's
 operators.  Model-backed keys live in :mod:`headway.plans.model_queries`.
 """
 
@@ -43,7 +43,7 @@ from headway.plans.stages import stages
 Query = Callable[[SparkSession, str], DataFrame]
 
 DELAYS_COLUMNS = [
-    "event_id", "route", "date", "hour", "delay_min", "incident_category",
+    "event_id", "station", "route", "date", "hour", "delay_min", "incident_category",
     "day_of_week", "day_name", "month", "is_weekend", "is_rush_hour", "time_period",
     "is_on_time", "is_significant", "is_severe",
     "temp_c", "precip_mm", "snow_cm", "wind_kph", "weather_condition", "weather_severity", *FLAG_COLUMNS,
@@ -97,6 +97,10 @@ def q_weather_explode(spark, sf_dir):
     return explode_hourly(fx.hourly_weather_documents(spark, sf_dir))
 
 
+def q_forecast_explode(spark, sf_dir):
+    return explode_hourly(fx.forecast_documents(spark, sf_dir), truncate_date=True)
+
+
 CLEAN_COLUMNS = [
     "_id", "date", "route", "hour", "delay_min", "gap_min", "incident", "incident_category", "day",
     "location", "direction", "vehicle_id", "day_of_week", "day_name", "month", "month_name", "week",
@@ -127,12 +131,12 @@ def q_incident_categories(spark, sf_dir):
 
 
 def q_weather_conditions(spark, sf_dir):
-    return weather(spark, sf_dir).select("date", "hour", "weather_code", "weather_condition")
+    return weather(spark, sf_dir).select("station", "date", "hour", "weather_code", "weather_condition")
 
 
 def q_weather_severity(spark, sf_dir):
     return weather(spark, sf_dir).select(
-        "date", "hour", "temp_c", "precip_mm", "snow_cm", "wind_kph", *FLAG_COLUMNS, "weather_severity"
+        "station", "date", "hour", "temp_c", "precip_mm", "snow_cm", "wind_kph", *FLAG_COLUMNS, "weather_severity"
     )
 
 
@@ -342,6 +346,7 @@ def q_star_daily_risk(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "weather_explode": q_weather_explode,
+    "forecast_explode": q_forecast_explode,
     "clean_incidents": q_clean_incidents,
     "calendar_features": q_calendar_features,
     "reliability_flags": q_reliability_flags,

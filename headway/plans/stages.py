@@ -45,7 +45,7 @@ class Stages:
 
     @cached_property
     def delays(self) -> DataFrame:
-        return self._m(build_delays(self.inputs.incidents(), self.inputs.weather()), "delays")
+        return self._m(build_delays(self.inputs.incidents(), self.inputs.weather(), self.inputs.weather_keys), "delays")
 
     @cached_property
     def weather(self) -> DataFrame:
@@ -104,7 +104,7 @@ class Stages:
 
     @cached_property
     def forecast_weather(self) -> DataFrame:
-        return enrich_weather(self.inputs.forecast_weather())
+        return self._m(enrich_weather(self.inputs.forecast_weather()), "forecast_weather")
 
     @cached_property
     def grid(self) -> DataFrame:

@@ -12,14 +12,16 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The fixture's calendar.  Incidents span 30 days from the
-# epoch; weather is one row per hour of that span (hour index = o_orderkey),
-# with every hour whose index is 3 mod 11 missing so some incidents find no
-# weather; the forecast is the seven days from FORECAST_START.
+# The fixture's calendar.  Incidents span 30 days from the epoch.
+# Every order is one hour of weather at one station: station = o_orderkey div 720,
+# hour index = o_orderkey mod 720.  An incident's station is event_id div 360; there
+# are 1.5 orders for each event, so the stations of the last incidents have no
+# weather.  The forecast is the mean over all stations for the seven days from
+# FORECAST_START.
 EPOCH = dt.date(2024, 1, 1)
 PERIOD_DAYS = 30
-MISSING_HOUR_MOD = 11
-MISSING_HOUR_REM = 3
+STATION_HOURS = 24 * PERIOD_DAYS
+EVENTS_PER_STATION = 360
 FORECAST_START = dt.date(2024, 1, 10)
 FORECAST_DAYS = 7
 
@@ -61,10 +63,11 @@ def _category(event_type: Column) -> Column:
 
 
 def incidents_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed incident rows: event_id (input ordinal), route, date, hour, delay_min, incident_category."""
+    """Typed incident rows: event_id (input ordinal), station, route, date, hour, delay_min, incident_category."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("event_id"),
+        F.floor(F.col("event_id") / EVENTS_PER_STATION).cast("int").alias("station"),
         _route(F.col("event_id"), F.col("user_id")).alias("route"),
         F.to_date("ts").alias("date"),
         F.hour("ts").cast("int").alias("hour"),
@@ -80,10 +83,12 @@ def _weather_measurements(orders: DataFrame) -> DataFrame:
     for i, c in enumerate(CODE_BY_REM):
         code = F.when(rem12 == i, F.lit(c)) if code is None else code.when(rem12 == i, F.lit(c))
     start = F.lit(dt.datetime.combine(EPOCH, dt.time())).cast("timestamp_ntz")
+    at = (F.col("o_orderkey") % STATION_HOURS).cast("int")
     return orders.select(
-        (start + F.make_dt_interval(hours=F.col("o_orderkey").cast("int"))).alias("datetime"),
-        F.date_add(F.lit(EPOCH), F.floor(F.col("o_orderkey") / 24).cast("int")).alias("date"),
-        (F.col("o_orderkey") % 24).cast("int").alias("hour"),
+        F.floor(F.col("o_orderkey") / STATION_HOURS).cast("int").alias("station"),
+        (start + F.make_dt_interval(hours=at)).alias("datetime"),
+        F.date_add(F.lit(EPOCH), F.floor(at / 24).cast("int")).alias("date"),
+        (at % 24).cast("int").alias("hour"),
         ((k % 45).cast("double") - F.lit(18.0)).alias("temp_c"),
         F.when(rem12.isin(PRECIP_REMS), (k % 29).cast("double") * F.lit(0.25)).otherwise(F.lit(0.0)).alias("precip_mm"),
         F.when(rem12.isin(SNOW_REMS), (k % 13).cast("double") * F.lit(0.125)).otherwise(F.lit(0.0)).alias("snow_cm"),
@@ -92,31 +97,21 @@ def _weather_measurements(orders: DataFrame) -> DataFrame:
     )
 
 
-def weather_from_orders(spark: SparkSession, sf_dir: str, days: int = PERIOD_DAYS) -> DataFrame:
-    """Hourly weather for the incident period: one row per hour index, some hours missing.
-
-    Bounded by construction: at most ``24 * days`` rows whatever the scale.
-    """
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    o = o.filter((F.col("o_orderkey") < 24 * days) & (F.col("o_orderkey") % MISSING_HOUR_MOD != MISSING_HOUR_REM))
-    return _weather_measurements(o)
+def weather_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly weather: one row for each order, keyed by (station, date, hour)."""
+    return _weather_measurements(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
 
 
 def forecast_weather_from_orders(
     spark: SparkSession, sf_dir: str, start: dt.date = FORECAST_START, days: int = FORECAST_DAYS
 ) -> DataFrame:
-    """Seven-day 'forecast': the fixture weather for ``start`` .. ``start + days - 1``.
-
-    The forecast date is the calendar day of the forecast hour (midnight-truncated).
-    """
-    first = (start - EPOCH).days * 24
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    o = o.filter(
-        (F.col("o_orderkey") >= first)
-        & (F.col("o_orderkey") < first + 24 * days)
-        & (F.col("o_orderkey") % MISSING_HOUR_MOD != MISSING_HOUR_REM)
+    """Seven-day forecast: for each hour of ``start`` .. ``start + days - 1`` the mean measurements
+    of all stations and their largest weather code (at most 24 * days rows)."""
+    w = weather_from_orders(spark, sf_dir)
+    w = w.filter((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(start + dt.timedelta(days=days))))
+    return w.groupBy("datetime", "date", "hour").agg(
+        *[F.avg(c).alias(c) for c in ("temp_c", "precip_mm", "snow_cm", "wind_kph")], F.max("weather_code").alias("weather_code")
     )
-    return _weather_measurements(o)
 
 
 # Incident phrases of the raw-file fixture, chosen per event type.
@@ -184,15 +179,14 @@ def raw_incidents_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hourly_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The weather stand-in shaped like the hourly JSON API: one document per day,
-    ``hourly`` = struct of parallel arrays (time, temperature_2m, precipitation,
-    snowfall, windspeed_10m, weathercode) ordered by time.  Groups are one day each
-    (at most 24 elements), so no group grows with the data.
+def hourly_documents(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Weather rows shaped like the hourly JSON API: one document per day (and other ``keys``),
+    ``hourly`` = struct of parallel arrays ordered by time.
+
+    Groups are one day each (24 elements), so no group grows with the data.
     """
-    w = weather_from_orders(spark, sf_dir)
-    rows = w.select(
-        "date",
+    rows = rows.select(
+        *keys,
         F.struct(
             F.col("datetime").alias("ts"),
             F.date_format("datetime", "yyyy-MM-dd'T'HH:mm").alias("time"),
@@ -203,8 +197,9 @@ def hourly_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("weather_code").cast("long").alias("weathercode"),
         ).alias("h"),
     )
-    per_day = rows.groupBy("date").agg(F.array_sort(F.collect_list("h")).alias("hs"))
+    per_day = rows.groupBy(*keys).agg(F.array_sort(F.collect_list("h")).alias("hs"))
     return per_day.select(
+        *[k for k in keys if k != "date"],
         F.struct(
             F.col("hs.time").alias("time"),
             F.col("hs.temperature_2m").alias("temperature_2m"),
@@ -212,5 +207,15 @@ def hourly_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("hs.snowfall").alias("snowfall"),
             F.col("hs.windspeed_10m").alias("windspeed_10m"),
             F.col("hs.weathercode").alias("weathercode"),
-        ).alias("hourly")
+        ).alias("hourly"),
     )
+
+
+def hourly_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole weather table as documents, one for each station and day."""
+    return hourly_documents(weather_from_orders(spark, sf_dir), ["station", "date"])
+
+
+def forecast_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast as documents, one for each day."""
+    return hourly_documents(forecast_weather_from_orders(spark, sf_dir), ["date"])

@@ -23,6 +23,7 @@ class FixtureInputs:
     spark: SparkSession
     sf_dir: str
     ordinal: str = "event_id"
+    weather_keys: tuple[str, ...] = ("station", "date", "hour")
 
     def incidents(self) -> DataFrame:
         return fx.incidents_from_events(self.spark, self.sf_dir)
@@ -48,6 +49,7 @@ class FileInputs:
     forecast_path: str
     years: tuple[int, ...] = (2024,)
     ordinal: str = "_ordinal"
+    weather_keys: tuple[str, ...] = ("date", "hour")
 
     def incidents(self) -> DataFrame:
         files = list_incident_files(self.spark, self.incidents_dir, list(self.years))

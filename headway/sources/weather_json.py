@@ -43,11 +43,13 @@ def explode_hourly(docs: DataFrame, truncate_date: bool = False) -> DataFrame:
     """Zip the parallel arrays of each document into rows (nulls kept), then derive
     datetime, date and hour, drop ``time`` and rename the measurements.
 
-    Each document expands in place (``inline`` of ``arrays_zip``): no shuffle.
+    Each document expands in place (``inline`` of ``arrays_zip``): no shuffle.  Columns
+    beside ``hourly`` (a station, say) go with every row.
     """
+    more = [c for c in docs.columns if c != "hourly"]
     h = F.col("hourly")
     zipped = F.arrays_zip(*[h.getField(f).alias(f) for f in ["time", *HOURLY_FIELDS]])
-    rows = docs.select(F.inline(zipped))
+    rows = docs.select(*more, F.inline(zipped))
     ts = F.to_timestamp_ntz(F.col("time"))
     rows = rows.withColumn("datetime", ts)
     date = F.to_date("datetime")
@@ -56,4 +58,4 @@ def explode_hourly(docs: DataFrame, truncate_date: bool = False) -> DataFrame:
     rows = rows.withColumn("weather_code", F.col("weather_code").cast("int"))
     if truncate_date:
         rows = rows.withColumn("date", F.to_date(F.date_trunc("day", F.col("datetime"))))
-    return rows.select("datetime", "date", "hour", *HOURLY_FIELDS.values())
+    return rows.select(*more, "datetime", "date", "hour", *HOURLY_FIELDS.values())

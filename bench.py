@@ -9,6 +9,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -16,7 +17,7 @@ sys.path.insert(0, ROOT)
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-TREES = int(os.environ.get("BENCH_TREES", "20"))
+TREES = int(os.environ.get("BENCH_TREES", "200"))
 WARMUP = os.environ.get("BENCH_WARMUP", "1") != "0"
 
 
@@ -43,8 +44,9 @@ def main() -> None:
     if warmup:
         run(spark, warm_dir, out_dir=None, n_trees=1, with_cv_metrics=True, release=True)
 
+    out_dir = tempfile.mkdtemp(prefix="headway-bench-")
     t0 = time.perf_counter()
-    _, seconds = run(spark, SF_DIR, out_dir=None, n_trees=TREES, with_cv_metrics=True, release=True)
+    _, seconds = run(spark, SF_DIR, out_dir=out_dir, n_trees=TREES, with_cv_metrics=True, size_conf=False)
     total = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     print(
@@ -57,6 +59,7 @@ def main() -> None:
                 "sf": float(m.group(1)) if m else SF_DIR,
                 "cpus": CPUS,
                 "trees_per_model": TREES,
+                "output": "Parquet tables and models written",
                 "warmup": "untimed pass at sf0.001, 1 tree" if warmup else "none",
             }
         )

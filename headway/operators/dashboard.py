@@ -127,6 +127,18 @@ def star_daily_risk(route_daily: DataFrame, route_risk: DataFrame) -> DataFrame:
     return route_daily.select("route", "date", "on_time_pct", "avg_delay_min").join(rr, "route", "left")
 
 
+def star_hourly_risk(route_hourly: DataFrame, route_risk: DataFrame) -> DataFrame:
+    """Many-to-one relationship route_hourly -> route_risk_scores on route."""
+    rr = route_risk.select("route", "risk_score", "risk_tier", "risk_rank")
+    return route_hourly.select("route", "hour", "time_period", "avg_delay_min", "on_time_pct").join(rr, "route", "left")
+
+
+def star_forecast_risk(summary: DataFrame, route_risk: DataFrame) -> DataFrame:
+    """Many-to-one relationship tomorrow_forecast -> route_risk_scores on route."""
+    rr = route_risk.select("route", "risk_score", "risk_rank")
+    return summary.select("route", "date", "max_alert_score", "alert_level").join(rr, "route", "left")
+
+
 def top_route_days(summary: DataFrame, k: int = 15) -> DataFrame:
     out = summary.select(
         "date", "day_name", "route", "max_degradation_prob", "max_alert_score", "alert_level", "weather_condition", "risk_tier"

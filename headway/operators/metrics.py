@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.numeric import r
 from headway.operators.ordinal import ordinal_within, running_sums
+from headway.session import materialize
 
 
 def score_counts(scored: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None) -> DataFrame:
@@ -27,8 +28,8 @@ def ranking_metrics(
     = totals minus the strictly-below counts.  One row: n, positives, auc, average_precision.
     """
     by = list(by or [])
-    # the distinct-score table is read three times (bounds, totals, sums): keep it
-    counts = score_counts(scored, score, label, by).cache()
+    # the distinct-score table is read three times (bounds, totals, sums): stored
+    counts = materialize(score_counts(scored, score, label, by), "score-counts")
     cum = running_sums(counts, "score", ["pos", "neg"], partition_cols=by, inclusive=True)
     if by:
         totals = counts.groupBy(*by).agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("_tot"))
@@ -63,7 +64,7 @@ def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> Da
     AUC = sum_s pos(s) * (neg below s + neg(s)/2) / (P * N), all in integer
     arithmetic until the final division.  Returns one row: n, positives, auc.
     """
-    counts = score_counts(scored, score, label).cache()
+    counts = materialize(score_counts(scored, score, label), "score-counts")
     cum = running_sums(counts, "score", ["neg"], inclusive=False)
     return cum.agg(
         (F.sum("pos") + F.sum("neg")).alias("n"),
@@ -80,7 +81,7 @@ def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> Da
 def average_precision(scored: DataFrame, score: str = "score", label: str = "label", places: int = 10) -> DataFrame:
     """Step-wise average precision: sum over distinct thresholds of
     (recall gain) x (precision at that threshold).  One row: n, positives, average_precision."""
-    counts = score_counts(scored, score, label).cache()
+    counts = materialize(score_counts(scored, score, label), "score-counts")
     cum = running_sums(counts, "score", ["pos", "neg"], descending=True, inclusive=True)
     total_pos = F.sum("pos")
     term = F.col("pos").cast("double") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))

@@ -1,11 +1,12 @@
 """Distributed running sums and ordinals over a global order.
 
 A plain ``Window.orderBy`` without a partition key moves every row into one
-task.  Here rows are first cut into ``buckets`` ranges of the ordering value
-(from the value itself, so the cut is deterministic), per-bucket totals are
-prefix-summed on the small bucket table, and each bucket then runs its own
-window.  Work per task is one bucket; the bucket table has ``buckets`` rows
-per partition key and joins on the window's own keys (no extra shuffle).
+task.  Here rows are cut into ``buckets`` ranges of the ordering value, per-bucket
+totals are prefix-summed on the small bucket table, and each bucket then runs its own
+window.  The bounds are quantiles of the *distinct* values, so neither outliers nor
+ties fill one bucket with distinct values; callers count equal values into one row
+first (``exact_quantile`` and the metrics do), so a bucket holds about
+1 / ``buckets`` of the rows.
 """
 
 from __future__ import annotations
@@ -13,17 +14,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
+DEFAULT_BUCKETS = 256
 
 
 def _with_range_bucket(df: DataFrame, order_col: str, buckets: int, out: str) -> DataFrame:
-    b = df.select(F.struct(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).alias("b")).scalar()
-    d = df.withColumn("_rng", b)  # the subquery appears once in the plan
-    lo, hi = F.col("_rng.lo").cast("double"), F.col("_rng.hi").cast("double")
     x = F.col(order_col).cast("double")
-    width = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
-    bucket = F.least(F.lit(buckets - 1), F.floor((x - lo) / width * F.lit(buckets))).cast("int")
-    return d.withColumn(out, bucket).drop("_rng")
+    at = [i / buckets for i in range(1, buckets)]
+    # buckets - 1 numbers; which they are moves rows between buckets, never the result
+    bounds = df.select(x.alias("x")).distinct().select(F.percentile_approx("x", at, 100 * buckets).alias("b")).scalar()
+    d = df.withColumn("_bounds", F.array_distinct(bounds))  # the subquery appears once in the plan
+    place = F.when(x.isNull() | F.col("_bounds").isNull(), F.lit(0)).otherwise(F.expr(_below(order_col, buckets)))
+    return d.withColumn(out, place.cast("int")).drop("_bounds")
+
+
+def _below(order_col: str, buckets: int) -> str:
+    """SQL for the number of bounds smaller than the value: a binary search in ``_bounds``."""
+    value = f"cast(`{order_col}` as double)"
+    steps = buckets.bit_length()
+    middle = "cast(floor((a.lo + a.hi) / 2) as int)"
+    body = (
+        f"if(a.lo >= a.hi, a, if(get(_bounds, {middle}) < {value}, "
+        f"named_struct('lo', {middle} + 1, 'hi', a.hi), named_struct('lo', a.lo, 'hi', {middle})))"
+    )
+    return f"aggregate(sequence(1, {steps + 1}), named_struct('lo', 0, 'hi', size(_bounds)), (a, i) -> {body}).lo"
 
 
 def running_sums(
@@ -84,17 +97,14 @@ def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = DEFAULT_BUC
     the (at most two) rows at positions floor/ceil((n - 1) * q) are kept.
     """
     d = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    # tied values may take their positions in any order: the value at each position is the same
-    ranked = ordinal_within(d, [], "v", buckets=buckets)
+    counts = d.groupBy("v").agg(F.count(F.lit(1)).alias("n"))  # ties are one row
+    ranked = running_sums(counts, "v", ["n"], inclusive=True, buckets=buckets)
     n = d.select(F.count(F.lit(1))).scalar()
-    pos = ranked.withColumn("_n", n).withColumn("_p", (F.col("_n") - 1).cast("double") * F.lit(q))
+    pos = ranked.withColumn("_p", (n - 1).cast("double") * F.lit(q))
     lo, hi = F.floor("_p"), F.ceil("_p")
-    picked = pos.filter((F.col("ordinal") == lo) | (F.col("ordinal") == hi))
-    frac = F.col("_p") - F.floor("_p")
-    return picked.agg(
-        (
-            F.max(F.when(F.col("ordinal") == lo, F.col("v")))
-            + (F.max(F.when(F.col("ordinal") == hi, F.col("v"))) - F.max(F.when(F.col("ordinal") == lo, F.col("v"))))
-            * F.max(frac)
-        ).alias("value")
+    first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1  # positions of the value's rows
+    at_lo, at_hi = (first <= lo) & (lo <= last), (first <= hi) & (hi <= last)
+    picked = pos.filter(at_lo | at_hi).agg(
+        F.max(F.when(at_lo, F.col("v"))).alias("lo"), F.max(F.when(at_hi, F.col("v"))).alias("hi"), F.max(F.col("_p") - lo).alias("frac")
     )
+    return picked.select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("value"))

@@ -129,7 +129,9 @@ def training_features(windows: DataFrame, route_risk: DataFrame) -> tuple[DataFr
     """
     stats = route_risk.select("route", *[F.col(k).alias(v) for k, v in ROUTE_FEATURES.items()])
     df = windows.join(stats, "route", "left")
-    medians = df.select(F.struct(*[F.median(c).alias(c) for c in ROUTE_FEATURES.values()]).alias("m")).scalar()
+    # one row for each route: its statistics and its number of windows
+    per_route = windows.groupBy("route").agg(F.count(F.lit(1)).alias("n")).join(stats, "route", "left")
+    medians = per_route.select(F.struct(*[F.percentile(c, F.lit(0.5), F.col("n")).alias(c) for c in ROUTE_FEATURES.values()]).alias("m")).scalar()
     df = df.withColumn("_med", medians)
     df = df.withColumns(
         {c: F.coalesce(F.col(c), F.col(f"_med.{c}"), F.lit(0.0)) for c in ROUTE_FEATURES.values()}
@@ -146,8 +148,9 @@ def training_features(windows: DataFrame, route_risk: DataFrame) -> tuple[DataFr
 
 
 def population_scaling(features: DataFrame, cols: list[str] = FEATURES) -> DataFrame:
-    """Per-feature mean and population standard deviation (the standardiser's fit)."""
-    long = features.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x")
-    ).select("x.feature", "x.v")
-    return long.groupBy("feature").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+    """(feature, mean, std): mean and population standard deviation (the standardiser's fit),
+    one aggregate over the rows."""
+    v = {c: F.col(c).cast("double") for c in cols}
+    one = features.agg(*[F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std")).alias(c) for c, x in v.items()])
+    long = one.select(F.explode(F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c))])).alias("feature", "s"))
+    return long.select("feature", "s.mean", "s.std")

@@ -37,7 +37,7 @@ from headway.functions.numeric import r
 from headway.functions.weather import FLAG_COLUMNS
 from headway.sources import fixtures as fx
 from headway.sources.weather_json import explode_hourly
-from headway.plans.model_queries import MODEL_QUERIES
+from headway.plans.model_queries import COMPANIONS, MODEL_QUERIES
 from headway.plans.stages import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,7 +285,7 @@ def q_alert_filter(spark, sf_dir):
 
 # ---------------------------------------------------------------- dashboard
 def _rd(spark, sf_dir):
-    return tables.route_daily(delays(spark, sf_dir), sort=False)
+    return stages(spark, sf_dir).route_daily
 
 
 def q_kpi_summary(spark, sf_dir):
@@ -301,11 +301,11 @@ def q_high_risk_route_count(spark, sf_dir):
 
 
 def q_network_trend(spark, sf_dir):
-    return db.network_trend(tables.network_summary(delays(spark, sf_dir), sort=False))
+    return db.network_trend(stages(spark, sf_dir).network_summary)
 
 
 def q_monthly_delay_hours(spark, sf_dir):
-    return db.monthly_delay_hours(tables.network_summary(delays(spark, sf_dir), sort=False))
+    return db.monthly_delay_hours(stages(spark, sf_dir).network_summary)
 
 
 def q_route_kpis(spark, sf_dir):
@@ -317,7 +317,7 @@ def q_route_trend(spark, sf_dir):
 
 
 def q_hour_heatmap(spark, sf_dir):
-    return db.hour_heatmap(tables.route_hourly(delays(spark, sf_dir), sort=False))
+    return db.hour_heatmap(stages(spark, sf_dir).route_hourly)
 
 
 def q_category_breakdown(spark, sf_dir):
@@ -325,7 +325,7 @@ def q_category_breakdown(spark, sf_dir):
 
 
 def q_weather_summary(spark, sf_dir):
-    return db.weather_summary(tables.weather_impact(delays(spark, sf_dir), sort=False))
+    return db.weather_summary(stages(spark, sf_dir).weather_impact)
 
 
 def q_precip_scatter(spark, sf_dir):
@@ -333,7 +333,7 @@ def q_precip_scatter(spark, sf_dir):
 
 
 def q_ontime_by_severity(spark, sf_dir):
-    return db.ontime_by_severity(tables.weather_impact(delays(spark, sf_dir), sort=False))
+    return db.ontime_by_severity(stages(spark, sf_dir).weather_impact)
 
 
 def q_top10_risk_routes(spark, sf_dir):
@@ -344,6 +344,14 @@ def q_star_daily_risk(spark, sf_dir):
     return db.star_daily_risk(_rd(spark, sf_dir), risk(spark, sf_dir))
 
 
+def q_star_hourly_risk(spark, sf_dir):
+    return db.star_hourly_risk(stages(spark, sf_dir).route_hourly, risk(spark, sf_dir))
+
+
+def q_star_forecast_risk(spark, sf_dir):
+    return db.star_forecast_risk(summary(spark, sf_dir, sort=False), risk(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "weather_explode": q_weather_explode,
     "forecast_explode": q_forecast_explode,
@@ -394,6 +402,9 @@ QUERIES: dict[str, Query] = {
     "ontime_by_severity": q_ontime_by_severity,
     "top10_risk_routes": q_top10_risk_routes,
     "star_daily_risk": q_star_daily_risk,
+    "star_hourly_risk": q_star_hourly_risk,
+    "star_forecast_risk": q_star_forecast_risk,
 }
 
 QUERIES.update(MODEL_QUERIES)
+QUERIES.update(COMPANIONS)

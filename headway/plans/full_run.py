@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import dashboard as db
-from headway.operators import tables
 from headway.operators.forecast import forecast_summary, score_alerts
 from headway.operators.metrics import brier, ranking_metrics
 from headway.plans.model import (
@@ -25,12 +24,15 @@ from headway.plans.model import (
     feature_importance,
     fit_all,
     fit_calibrated_trees,
-    sized_for_fitting,
-    training_frame,
+    FIT_PARTITIONS,
+    for_fitting,
+    load_models,
+    prepared,
+    save_models,
     worst_case_scores,
 )
 from headway.plans.stages import Stages
-from headway.session import input_bytes
+from headway.session import apply_conf, cluster_conf, input_bytes, materialize
 from headway.sources.sinks import metrics_long, table_counts, write_table
 
 
@@ -82,7 +84,7 @@ def model_metrics(model, linear, oof: DataFrame, train: DataFrame) -> DataFrame:
     g = model.predict(train, "score").select(F.lit("gbt").alias("model"), "score", "label")
     lr = linear.predict(train, "score").select(F.lit("lr").alias("model"), "score", "label")
     o = oof.select(F.lit("oof").alias("model"), F.col("oof_prob").alias("score"), "label")
-    scores = g.unionByName(lr).unionByName(o).cache()
+    scores = materialize(g.unionByName(lr).unionByName(o), "model-scores")
     rk = ranking_metrics(scores, by=["model"])
     wide = rk.groupBy().pivot("model", ["gbt", "oof", "lr"]).agg(
         F.first("auc").alias("auc"), F.first("average_precision").alias("ap"), F.first("n").alias("n")
@@ -110,13 +112,20 @@ def run(
     parallelism: int = 8,
     inputs=None,
     release: bool | None = None,
+    fit_partitions: int = FIT_PARTITIONS,
+    size_conf: bool = True,
 ) -> tuple[dict[str, DataFrame], dict[str, float]]:
     """The full run over the fixture tables in ``sf_dir``, or over ``inputs``
     (e.g. :class:`headway.sources.inputs.FileInputs`).
 
     ``release`` deletes the stored intermediate stages at the end (default: only
     when ``out_dir`` is given).  Returned DataFrames that read those stages must
-    be used before they are released; the written tables stay."""
+    be used before they are released; the written tables stay.
+
+    With ``out_dir`` the models, the standardiser and the encoders are saved under
+    ``out_dir/models`` and everything is scored with what is read back from there.
+    ``size_conf`` sets the session's shuffle partitions and split sizes from the input's
+    bytes.  The fact table is the temp view ``delays`` until the stages are released."""
     st = Stages(spark, sf_dir, inputs)
     t = Timer()
     out: dict[str, DataFrame] = {}
@@ -128,19 +137,17 @@ def run(
         else:
             _force(df)
 
+    if size_conf:
+        apply_conf(spark, cluster_conf(st.inputs.fact_bytes(), spark.sparkContext.defaultParallelism))
     with t("delays"):
         d = st.delays
+        d.createOrReplaceTempView("delays")
     with t("tables_and_training_data"):
         # wave 1: the four tables and the independent stored stages, side by side
         # (each job touches its own stage, so none is computed twice)
         jobs = {
-            name: (lambda fn=fn, name=name: emit(name, fn(d, sort=False)))
-            for name, fn in [
-                ("route_daily", tables.route_daily),
-                ("route_hourly", tables.route_hourly),
-                ("weather_impact", tables.weather_impact),
-                ("network_summary", tables.network_summary),
-            ]
+            name: (lambda name=name: emit(name, getattr(st, name)))
+            for name in ("route_daily", "route_hourly", "weather_impact", "network_summary")
         }
         jobs["route_risk"] = lambda: st.route_risk
         jobs["window_aggregates"] = lambda: st.window_aggregates
@@ -148,7 +155,9 @@ def run(
         run_jobs(jobs, parallelism)
         rr = st.route_risk
         # wave 2: the training-data chain (windows -> features -> training frame), then the grid
-        train = sized_for_fitting(st._m(training_frame(st.features), "train")).cache()
+        rows, scaler = prepared(st.features)
+        stored = st._m(for_fitting(rows, fit_partitions), "train")
+        train = for_fitting(stored, fit_partitions).persist()
         emit("route_risk_scores_base", rr)
         grid = st.grid
     params = TreeParams(n_trees=n_trees)
@@ -158,6 +167,12 @@ def run(
             model = fitted.calibrated
         else:
             model = fit_calibrated_trees(train, params, parallelism=parallelism)
+    if with_cv_metrics and out_dir:
+        with t("save_and_load_models"):
+            fitted.oof = st._m(fitted.oof, "oof")
+            save_models(fitted, f"{out_dir}/models", {"route": st.route_encoder, "time_period": st.period_encoder}, scaler)
+            saved = load_models(spark, f"{out_dir}/models")
+            model, fitted.linear, fitted.raw = saved.calibrated, saved.linear, saved.raw
 
     def forecast():
         scored = model.predict(assemble(grid), "degradation_prob").drop("features")
@@ -179,7 +194,7 @@ def run(
     with t("dashboard"):
         # the written table when it is typed Parquet, else recomputed from the stored fact table
         written = out_dir and fmt == "parquet"
-        rd = read_written(spark, out_dir, "route_daily", fmt) if written else tables.route_daily(d, sort=False)
+        rd = read_written(spark, out_dir, "route_daily", fmt) if written else st.route_daily
         run_jobs(
             {
                 "kpi_summary": lambda: emit("kpi_summary", db.kpi_summary(rd)),
@@ -192,9 +207,11 @@ def run(
     if out_dir:
         with t("table_report"):
             emit("table_report", table_report(spark, out_dir, {k: v for k, v in out.items() if k != "table_report"}, fmt))
+    train.unpersist()
     if release is None:
         release = bool(out_dir)
     if release:
+        spark.catalog.dropTempView("delays")
         st.release()  # drop the intermediate copies under the checkpoint folder
     return out, t.seconds
 

@@ -10,7 +10,8 @@
 * feature importances of one tree model fitted on everything.
 
 Training rows are the two-hour windows (one row per route x day x bucket);
-fits are distributed by Spark ML, scoring is a JVM-side projection.
+fits are distributed by Spark ML, scoring is a JVM-side projection.  (Spark's isotonic
+regression pools within partitions and finishes over the pooled blocks on the driver.)
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -32,6 +33,11 @@ from headway.operators.windows import FEATURES
 KEY = ["route", "date", "hour_bucket"]
 LABEL = "degraded"
 
+# Partitions of the stored training rows.  A fixed parameter: the trees' row samples
+# depend on it, so it never follows the row count.  Set it to about the number of
+# training windows / 50,000 where there are more than 100,000.
+FIT_PARTITIONS = 2
+
 
 @dataclass
 class TreeParams:
@@ -72,22 +78,49 @@ def assemble(df: DataFrame, cols: list[str] = FEATURES, out: str = "features") -
 
 def training_frame(features: DataFrame, calib_folds: int = 3, oof_folds: int = 5, seed: int = 42) -> DataFrame:
     """Feature vector, label, the 3 calibration folds and the 5 out-of-fold folds."""
+    return prepared(features, calib_folds, oof_folds, seed)[0]
+
+
+def prepared(features: DataFrame, calib_folds: int = 3, oof_folds: int = 5, seed: int = 42) -> tuple[DataFrame, "Standardiser"]:
+    """:func:`training_frame` and the standardiser fitted on it."""
     d = features.withColumn("label", F.col(LABEL).cast("double"))
     d = stratified_fold_columns(d, LABEL, KEY, {"cal_fold": calib_folds, "oof_fold": oof_folds}, seed=seed)
-    return population_standardised(assemble(d), features.count())
+    d = assemble(d)
+    scaler = Standardiser.fit(d, features.count())
+    return scaler.transform(d), scaler
 
 
-def population_standardised(df: DataFrame, n: int, col: str = "features", out: str = "features_z") -> DataFrame:
+@dataclass
+class Standardiser:
     """(x - mean) / population std per feature, as one vector column.
 
     ``StandardScaler`` (a single Summarizer pass) divides by the sample std, so
     its output is rescaled by sqrt(n / (n - 1)); a constant feature becomes 0.
     """
-    scaler = StandardScaler(inputCol=col, outputCol="_zs", withMean=True, withStd=True).fit(df)
-    factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
-    scaled = scaler.transform(df)
-    scaled = ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(FEATURES)), inputCol="_zs", outputCol=out).transform(scaled)
-    return scaled.drop("_zs")
+
+    scaler: object
+    rescale: ElementwiseProduct
+
+    @classmethod
+    def fit(cls, df: DataFrame, n: int, col: str = "features", out: str = "features_z") -> "Standardiser":
+        scaler = StandardScaler(inputCol=col, outputCol="_zs", withMean=True, withStd=True).fit(df)
+        factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
+        return cls(scaler, ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(FEATURES)), inputCol="_zs", outputCol=out))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.rescale.transform(self.scaler.transform(df)).drop("_zs")
+
+    def save(self, path: str) -> None:
+        self.scaler.write().overwrite().save(f"{path}/scaler")
+        self.rescale.write().overwrite().save(f"{path}/rescale")
+
+    @classmethod
+    def load(cls, path: str) -> "Standardiser":
+        return cls(StandardScalerModel.load(f"{path}/scaler"), ElementwiseProduct.load(f"{path}/rescale"))
+
+
+def population_standardised(df: DataFrame, n: int, col: str = "features", out: str = "features_z") -> DataFrame:
+    return Standardiser.fit(df, n, col, out).transform(df)
 
 
 def raw_margin(col: str = "rawPrediction") -> F.Column:
@@ -227,18 +260,10 @@ def fit_all(train: DataFrame, params: TreeParams, linear: LinearParams | None =
     )
 
 
-def sized_for_fitting(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
-    """Partition count from the row count: one partition per ``rows_per_partition``
-    rows, so small training sets do not pay per-task overhead on every tree level
-    and large ones still spread over the cluster."""
-    n = df.count()
-    parts = max(1, -(-n // rows_per_partition))
-    cur = df.rdd.getNumPartitions()
-    if parts < cur:
-        return df.coalesce(parts)
-    if parts > cur:
-        return df.repartition(parts)
-    return df
+def for_fitting(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows dealt by the window key into ``partitions`` and sorted in each, so that a fit
+    depends on the rows and this number only, not on how the table's files lie."""
+    return df.repartition(partitions, *KEY).sortWithinPartitions(*KEY)
 
 
 def feature_importance(spark: SparkSession, trees) -> DataFrame:
@@ -277,9 +302,9 @@ def worst_case_scores(route_risk: DataFrame, route_encoder: DataFrame, period_en
     return scored.select(*route_risk.columns, r(F.col("p"), 4).alias("ml_degradation_prob_worst_case"))
 
 
-def save_models(fitted: "FittedModels", path: str, encoders: dict[str, DataFrame] | None = None) -> None:
-    """Persist the calibrated trees, the calibrated linear model, the full tree
-    model and the encoder tables under ``path`` (Spark ML writers, Parquet tables)."""
+def save_models(fitted: "FittedModels", path: str, encoders: dict[str, DataFrame], scaler: Standardiser) -> None:
+    """Persist the calibrated trees, the calibrated linear model, the full tree model, the
+    standardiser and the encoder tables under ``path`` (Spark ML writers, Parquet tables)."""
     for i, (trees, iso) in enumerate(fitted.calibrated.members):
         trees.write().overwrite().save(f"{path}/calibrated/{i}/trees")
         iso.write().overwrite().save(f"{path}/calibrated/{i}/isotonic")
@@ -287,12 +312,22 @@ def save_models(fitted: "FittedModels", path: str, encoders: dict[str, DataFrame
         lin.write().overwrite().save(f"{path}/linear/{i}/model")
         platt.write().overwrite().save(f"{path}/linear/{i}/platt")
     fitted.raw.write().overwrite().save(f"{path}/raw")
-    for name, df in (encoders or {}).items():
+    scaler.save(path)
+    for name, df in encoders.items():
         df.write.mode("overwrite").parquet(f"{path}/encoders/{name}")
 
 
-def load_models(spark: SparkSession, path: str, folds: int = 3) -> tuple[CalibratedTrees, CalibratedLinear, object, dict]:
-    """Inverse of :func:`save_models`: (calibrated trees, calibrated linear, full trees, encoders)."""
+@dataclass
+class SavedModels:
+    calibrated: CalibratedTrees
+    linear: CalibratedLinear
+    raw: object
+    scaler: Standardiser
+    encoders: dict[str, DataFrame]
+
+
+def load_models(spark: SparkSession, path: str, folds: int = 3) -> SavedModels:
+    """Inverse of :func:`save_models`; a part that is missing is an error."""
     from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
     from pyspark.ml.regression import IsotonicRegressionModel
 
@@ -305,10 +340,5 @@ def load_models(spark: SparkSession, path: str, folds: int = 3) -> tuple[Calibra
          LogisticRegressionModel.load(f"{path}/linear/{i}/platt")) for i in range(folds)
     ])
     raw = GBTClassificationModel.load(f"{path}/raw")
-    enc = {}
-    for name in ("route", "time_period"):
-        try:
-            enc[name] = spark.read.parquet(f"{path}/encoders/{name}")
-        except Exception:  # encoders are optional
-            pass
-    return trees, linear, raw, enc
+    enc = {name: spark.read.parquet(f"{path}/encoders/{name}") for name in ("route", "time_period")}
+    return SavedModels(trees, linear, raw, Standardiser.load(path), enc)

@@ -10,6 +10,7 @@ lost executor never forces a recompute from the raw scan.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from functools import cached_property
 
@@ -19,11 +20,24 @@ from pyspark.sql import functions as F
 from headway.operators import tables
 from headway.operators.delays import build_delays
 from headway.operators.enrich import enrich_weather
+from headway.operators.fallback import fallback_from_stats, fallback_stats
 from headway.operators.forecast import forecast_grid, forecast_summary, score_alerts
 from headway.operators.windows import label_windows, route_p60, training_features, window_aggregates
+from headway.plans.model import (
+    FIT_PARTITIONS,
+    LinearParams,
+    TreeParams,
+    fit_calibrated_linear,
+    fit_calibrated_trees,
+    for_fitting,
+    out_of_fold,
+    training_frame,
+)
 from headway.session import materialize, remove_path, run_folder
 from headway.sources.inputs import FixtureInputs
 
+log = logging.getLogger(__name__)
+
 
 class Stages:
     """Stored stages of one run.  ``inputs`` defaults to the fixture tables under ``sf_dir``."""
@@ -49,7 +63,23 @@ class Stages:
 
     @cached_property
     def weather(self) -> DataFrame:
-        return enrich_weather(self.inputs.weather())
+        return self._m(enrich_weather(self.inputs.weather()), "weather")
+
+    @cached_property
+    def route_daily(self) -> DataFrame:
+        return self._m(tables.route_daily(self.delays, sort=False), "route_daily")
+
+    @cached_property
+    def route_hourly(self) -> DataFrame:
+        return self._m(tables.route_hourly(self.delays, sort=False), "route_hourly")
+
+    @cached_property
+    def weather_impact(self) -> DataFrame:
+        return self._m(tables.weather_impact(self.delays, sort=False), "weather_impact")
+
+    @cached_property
+    def network_summary(self) -> DataFrame:
+        return self._m(tables.network_summary(self.delays, sort=False), "network_summary")
 
     @cached_property
     def route_stats(self) -> DataFrame:
@@ -57,12 +87,17 @@ class Stages:
 
     @cached_property
     def route_risk(self) -> DataFrame:
-        return self._m(tables.route_risk_from_stats(self.route_stats, sort=False), "route_risk")
+        """The risk table, or the fallback over all routes where no route has enough incidents."""
+        risk = self._m(tables.route_risk_from_stats(self.route_stats, sort=False), "route_risk")
+        if not risk.isEmpty():
+            return risk
+        log.warning("no route has enough incidents for the risk table: the fallback scores all routes")
+        every = fallback_from_stats(self.fallback_stats, sort=False)
+        more = [F.lit(0.0).alias(c) for c in risk.columns if c not in every.columns]
+        return self._m(every.select("*", *more).select(*risk.columns), "route_risk_fallback")
 
     @cached_property
     def fallback_stats(self) -> DataFrame:
-        from headway.operators.fallback import fallback_stats
-
         return self._m(fallback_stats(self.delays), "fallback_stats")
 
     @cached_property
@@ -111,6 +146,10 @@ class Stages:
         g = forecast_grid(self.route_risk, self.forecast_weather, self.route_encoder, self.period_encoder)
         return self._m(g, "grid")
 
+    @cached_property
+    def models(self) -> "ModelStages":
+        return ModelStages(self)
+
     @cached_property
     def standin_alerts(self) -> DataFrame:
         """Alerts with the deterministic stand-in probability (bucket hour / 24)."""
@@ -122,66 +161,77 @@ class Stages:
         return self._m(forecast_summary(self.standin_alerts, sort=False), "summary")
 
 
-_REGISTRY: dict[tuple[str, str], Stages] = {}
+_REGISTRY: dict[tuple[str, str], tuple[str, Stages]] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """What tells whether the input files are still the same: names, sizes and times."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return repr(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
 
 
 def stages(spark: SparkSession, sf_dir: str) -> Stages:
-    """One set of materialised stages per (application, input folder)."""
+    """One set of stored stages per (application, input folder); made anew, and the old one
+    released, when the folder's files have changed."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _REGISTRY:
-        _REGISTRY[key] = Stages(spark, sf_dir)
-    return _REGISTRY[key]
+    state = _state(spark, sf_dir)
+    had = _REGISTRY.get(key)
+    if had is None or had[0] != state:
+        if had is not None:
+            had[1].release()
+        _REGISTRY[key] = (state, Stages(spark, sf_dir))
+    return _REGISTRY[key][1]
 
 
-# ---------------------------------------------------------------- models
-# Trees per boosted model in the registered queries: the published model uses
-# 200; Spark ML pays a few jobs per tree, so the catalogue keys default to 20
-# (the full count is a parameter of every fit, see headway.plans.model).
-QUERY_TREES = 20
+def release_all() -> None:
+    """Delete what the registered queries have stored."""
+    for _, st in _REGISTRY.values():
+        st.release()
+    _REGISTRY.clear()
 
 
+# ---------------------------------------------------------------- models
 class ModelStages:
-    def __init__(self, st: Stages, n_trees: int = QUERY_TREES):
-        from headway.plans.model import TreeParams
+    """The fits of the registered queries, each made when a query first needs it.
 
+    200 trees, as published; ``partitions`` is the fixed number of training partitions.
+    """
+
+    def __init__(self, st: Stages, n_trees: int = 200, partitions: int = FIT_PARTITIONS):
         self.st = st
         self.params = TreeParams(n_trees=n_trees)
+        self.partitions = partitions
 
     @cached_property
     def train(self) -> DataFrame:
-        from headway.plans.model import sized_for_fitting, training_frame
+        t = training_frame(self.st.features)
+        return self.st._m(for_fitting(t, self.partitions), "train")
 
-        t = self.st._m(training_frame(self.st.features), "train")
-        return sized_for_fitting(t).cache()
+    def _fit(self, fit):
+        rows = for_fitting(self.train, self.partitions).persist()
+        try:
+            return fit(rows, self.params)
+        finally:
+            rows.unpersist()
 
     @cached_property
-    def fitted(self):
-        from headway.plans.model import fit_all
-
-        return fit_all(self.train, self.params)
-
-    @property
     def calibrated(self):
-        return self.fitted.calibrated
+        return self._fit(fit_calibrated_trees)
 
-    @property
+    @cached_property
     def linear(self):
-        return self.fitted.linear
+        return self._fit(lambda rows, _: fit_calibrated_linear(rows, LinearParams()))
 
-    @property
+    @cached_property
     def raw_trees(self):
-        return self.fitted.raw
+        return self._fit(lambda rows, params: params.estimator().fit(rows))
 
     @cached_property
     def oof(self) -> DataFrame:
-        return self.st._m(self.fitted.oof, "oof")
-
-
-_MODELS: dict[tuple[str, str], ModelStages] = {}
+        return self._fit(lambda rows, params: self.st._m(out_of_fold(rows, params), "oof"))
 
 
 def model_stages(spark: SparkSession, sf_dir: str) -> ModelStages:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _MODELS:
-        _MODELS[key] = ModelStages(stages(spark, sf_dir))
-    return _MODELS[key]
+    return stages(spark, sf_dir).models

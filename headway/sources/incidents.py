@@ -48,49 +48,39 @@ def read_header(spark: SparkSession, path: str) -> str | None:
     return None if line is None else line.lstrip("\ufeff").strip()
 
 
+def read_headers(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, str]:
+    """Header of each file that has one; a few bytes a file, read by the driver in parallel threads."""
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as ex:
+        found = zip(paths, ex.map(lambda p: read_header(spark, p), paths), strict=True)
+        return {p: h for p, h in found if h}
+
+
 def read_incident_files(
-    spark: SparkSession, paths: list[str], header_threads: int = 16, with_ordinal: bool = False
+    spark: SparkSession, paths: list[str], with_ordinal: bool = False, skip_unreadable: bool = False
 ) -> DataFrame:
     """Read incident files (all columns as text), align them by column name.
 
-    Files may differ in header spelling and column set.  Headers are read
-    first (one short read per file, in parallel threads) and the files are
-    grouped by layout, so there is one CSV scan per layout however many files
-    there are.  Headers are normalised and the layouts unioned by name with
-    missing columns null.  Spreadsheet formats are not read (a warning names
-    them); a file that cannot be read is skipped; no readable file is an error.
+    Files may differ in header spelling and column set.  Headers are read first and the
+    files are grouped by layout, so there is one CSV scan per layout however many files
+    there are.  Headers are normalised and the layouts unioned by name with missing
+    columns null.  A file of another format or a damaged one is an error;
+    ``skip_unreadable`` leaves whole files of other formats out instead, with a
+    warning that names them.  No readable file is an error.
     ``with_ordinal`` adds ``_ordinal`` = (file path, block start, row id within
     the block), which orders rows as the files list them.
     """
-    readable = []
-    for p in paths:
-        if p.lower().endswith(READABLE):
-            readable.append(p)
-        else:
-            log.warning("skipping %s: only CSV incident files are read", p)
-
-    def header(p):
-        try:
-            return p, read_header(spark, p)
-        except Exception as e:  # an unreadable file is skipped, as the published loader does
-            log.warning("failed to read %s: %s", p, e)
-            return p, None
-
-    with ThreadPoolExecutor(max_workers=max(1, min(header_threads, len(readable) or 1))) as ex:
-        headers = list(ex.map(header, readable))
+    other = [p for p in paths if not p.lower().endswith(READABLE)]
+    if other and not skip_unreadable:
+        raise ValueError(f"only CSV incident files are read: {other}")
+    if other:
+        log.warning("left out, not CSV: %s", other)
+    readable = [p for p in paths if p not in set(other)]
     layouts: dict[str, list[str]] = {}
-    for p, h in headers:
-        if h:
-            layouts.setdefault(h, []).append(p)
+    for p, h in read_headers(spark, readable).items():
+        layouts.setdefault(h, []).append(p)
     frames = []
     for group in layouts.values():
-        df = (
-            spark.read.option("header", True)
-            .option("inferSchema", False)
-            .option("mode", "PERMISSIVE")
-            .option("ignoreCorruptFiles", True)
-            .csv(group)
-        )
+        df = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(group)
         if with_ordinal:
             df = df.withColumn(
                 "_ordinal",
@@ -109,13 +99,17 @@ def read_incident_files(
     return out
 
 
-def cached_raw_incidents(spark: SparkSession, root: str, cache: str, years: list[int] | None = None) -> DataFrame:
-    """Raw rows from the Parquet cache if present, else read the files and write the cache."""
+def cached_raw_incidents(
+    spark: SparkSession, root: str, cache: str, years: list[int] | None = None, skip_unreadable: bool = False
+) -> DataFrame:
+    """Raw rows (with ``_ordinal``) of ``years`` from ``cache``, which holds one Parquet folder for
+    each set of years; read from the files and written there if no committed one exists."""
+    years = sorted(years or [2024])
+    path = f"{cache.rstrip('/')}/years={'-'.join(map(str, years))}"
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(cache)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        return spark.read.parquet(cache)
-    raw = read_incident_files(spark, list_incident_files(spark, root, years))
-    raw.write.mode("overwrite").parquet(cache)
-    return spark.read.parquet(cache)
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    fs = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(done):
+        files = list_incident_files(spark, root, years)
+        read_incident_files(spark, files, with_ordinal=True, skip_unreadable=skip_unreadable).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

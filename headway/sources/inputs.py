@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from headway.operators.clean import clean_incidents
 from headway.sources import fixtures as fx
-from headway.sources.incidents import list_incident_files, read_incident_files
+from headway.session import input_bytes
+from headway.sources.incidents import cached_raw_incidents, list_incident_files, read_incident_files
 from headway.sources.weather_json import explode_hourly, read_hourly_json
 
 
@@ -25,6 +26,9 @@ class FixtureInputs:
     ordinal: str = "event_id"
     weather_keys: tuple[str, ...] = ("station", "date", "hour")
 
+    def fact_bytes(self) -> int:
+        return input_bytes(self.spark, f"{self.sf_dir.rstrip('/')}/events.parquet")
+
     def incidents(self) -> DataFrame:
         return fx.incidents_from_events(self.spark, self.sf_dir)
 
@@ -39,6 +43,8 @@ class FixtureInputs:
 class FileInputs:
     """Incident CSV files under ``incidents_dir`` for ``years``, weather and forecast JSON documents.
 
+    ``cache_dir``: keep the raw rows there as Parquet, one folder for each set of years.
+
     The input order needed for "first" values is (file, block offset, row within
     the block), taken from the scan's file metadata when the files are read.
     """
@@ -48,12 +54,20 @@ class FileInputs:
     weather_path: str
     forecast_path: str
     years: tuple[int, ...] = (2024,)
+    cache_dir: str | None = None
+    skip_unreadable: bool = False
     ordinal: str = "_ordinal"
     weather_keys: tuple[str, ...] = ("date", "hour")
 
+    def fact_bytes(self) -> int:
+        return input_bytes(self.spark, *list_incident_files(self.spark, self.incidents_dir, list(self.years)))
+
     def incidents(self) -> DataFrame:
-        files = list_incident_files(self.spark, self.incidents_dir, list(self.years))
-        return clean_incidents(read_incident_files(self.spark, files, with_ordinal=True))
+        years = list(self.years)
+        if self.cache_dir:
+            return clean_incidents(cached_raw_incidents(self.spark, self.incidents_dir, self.cache_dir, years, self.skip_unreadable))
+        files = list_incident_files(self.spark, self.incidents_dir, years)
+        return clean_incidents(read_incident_files(self.spark, files, with_ordinal=True, skip_unreadable=self.skip_unreadable))
 
     def weather(self) -> DataFrame:
         return explode_hourly(read_hourly_json(self.spark, self.weather_path))

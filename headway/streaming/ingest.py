@@ -5,7 +5,7 @@ stream the cache is extended by only the files that arrived since the last
 run (the stream's checkpoint remembers which were taken), and a trigger of
 ``availableNow`` makes each run a bounded batch job.  A landing folder holds
 one file layout (a streaming CSV source maps columns by position to the
-declared text schema); rows keep their text values so cleaning stays a batch job.
+declared text schema, and a file whose header differs from it stops the stream); rows keep their text values so cleaning stays a batch job.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def ingest_incident_files(
         if not base:
             raise ValueError("no checkpoint folder: pass checkpoint= or set spark.checkpoint.dir")
         checkpoint = os.path.join(str(base), "headway-ingest", os.path.basename(cache_dir.rstrip("/")))
-    stream = spark.readStream.schema(schema).option("header", True).csv(landing_dir)
+    stream = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).csv(landing_dir)
     stream = rename_variants(normalise_headers(stream)).withColumn("_source_file", F.col("_metadata.file_path"))
     q = (
         stream.writeStream.format("parquet")

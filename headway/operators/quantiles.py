@@ -1,13 +1,12 @@
-"""Exact grouped quantiles from value counts.
+"""Exact grouped quantiles from value counts, in one scan.
 
 ``percentile`` over raw rows keeps a value -> count map per group in an
 object aggregate, and drags every other aggregate of the same operator off
-the code-generated path.  Here the rows are first counted per (group, value)
-with a plain hash aggregate (partial, map-side), and ``percentile`` then runs
-over those counts with ``frequency`` -- the same multiset, so the same exact,
-linearly interpolated quantiles, from far fewer rows.  The result joins back
-to the other aggregates on the group keys (both sides are already partitioned
-by them).
+the code-generated path.  Here the rows are first reduced per (group, value)
+with a plain hash aggregate (partial, map-side) that also carries the sums and
+maxima the table needs; ``percentile`` with ``frequency`` and the merged sums then
+come from those reduced rows -- the same multiset, so the same exact, linearly
+interpolated quantiles, with one scan of the input and no join.
 """
 
 from __future__ import annotations
@@ -40,3 +39,20 @@ def with_quantiles(aggregated: DataFrame, df: DataFrame, keys: list, value: str,
         c = aggregated[k].eqNullSafe(right[f"_k_{k}"])
         same = c if same is None else same & c
     return aggregated.join(right, same, "left").drop(*[f"_k_{k}" for k in key_names])
+
+
+def reduced(df: DataFrame, keys: list, value: str, sums: dict[str, Column], maxima: dict[str, Column] | None = None) -> DataFrame:
+    """One row per (keys, ``value``): ``n`` rows, and the sums and maxima of the given expressions."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.sum(c).alias(k) for k, c in sums.items()] + [F.max(c).alias(k) for k, c in (maxima or {}).items()]
+    return df.groupBy(*_key_cols(keys), F.col(value).alias("value")).agg(*aggs)
+
+
+def quantile(q: float) -> Column:
+    """An exact quantile of ``value`` over rows of :func:`reduced`."""
+    return F.percentile(F.col("value"), F.lit(float(q)), F.col("n"))
+
+
+def ratio(total: str, count: str = "n") -> Column:
+    """Sum over sum: the mean of what ``total`` adds up."""
+    return F.try_divide(F.sum(total).cast("double"), F.sum(count).cast("double"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import calendar as cal
 from headway.functions.numeric import pct, r
-from headway.operators.quantiles import with_quantiles
+from headway.operators.quantiles import quantile, ratio, reduced
 
 # Incident categories counted per route-day.
 COUNTED_CATEGORIES = ["Mechanical", "Traffic", "Passenger", "Operator"]
@@ -44,12 +44,26 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def _sum_int(c: str) -> Column:
-    return F.sum(c).cast("long")
+FLAGS = ["is_on_time", "is_significant", "is_severe"]
 
 
-def _cond_avg(flag: str, value: str, on: int) -> Column:
-    return F.avg(F.when(F.col(flag) == on, F.col(value)))
+def _sums(weather: list[str] = (), split: list[str] = ()) -> dict[str, Column]:
+    """Sums every table needs: delay and flags, weather columns, and delay by 0/1 flag of ``split``."""
+    delay = F.col("delay_min")
+    out = {"delay": delay, **{f: F.col(f) for f in FLAGS}, **{w: F.col(w) for w in weather}}
+    for f in split:
+        for on in (0, 1):
+            out[f"{f}_{on}_n"] = (F.col(f) == on).cast("int")
+            out[f"{f}_{on}_delay"] = F.when(F.col(f) == on, delay)
+    return out
+
+
+def _share(flag: str) -> Column:
+    return ratio(flag) * F.lit(100)
+
+
+def _cond_avg(flag: str, on: int) -> Column:
+    return ratio(f"{flag}_{on}_delay", f"{flag}_{on}_n")
 
 
 def severity_bucket(severity="weather_severity") -> Column:
@@ -72,33 +86,36 @@ def route_daily(delays: DataFrame, sort: bool = True) -> DataFrame:
     """One row per (route, date): counts, delay statistics, weather, categories,
     7-row rolling means per route and the daily reliability rank."""
     d = delays.withColumn("date", F.col("date").cast("date"))
-    agg = d.groupBy("route", "date").agg(
+    categories = {f"{c.lower()}_incidents": (F.col("incident_category") == c).cast("int") for c in COUNTED_CATEGORIES}
+    maxima = ["is_weekend", "weather_severity", "is_precipitation", "is_snow", "is_extreme_cold"]
+    rows = reduced(
+        d, ["route", "date"], "delay_min",
+        {**_sums(["temp_c", "precip_mm", "snow_cm", "wind_kph"]), **{k: F.coalesce(c, F.lit(0)) for k, c in categories.items()}},
+        {c: F.col(c) for c in maxima},
+    )
+    base = rows.groupBy("route", "date").agg(
         F.max("is_weekend").alias("is_weekend"),
-        _count().alias("total_incidents"),
-        _sum_int("is_significant").alias("significant_delays"),
-        _sum_int("is_severe").alias("severe_delays"),
-        _sum_int("is_on_time").alias("on_time_count"),
-        r(F.avg("delay_min"), 2).alias("avg_delay_min"),
-        r(F.max("delay_min"), 1).alias("max_delay_min"),
-        r(F.sum("delay_min") / F.lit(60.0), 2).alias("total_delay_hrs"),
-        r(pct("is_on_time"), 2).alias("on_time_pct"),
-        r(pct("is_significant"), 2).alias("significant_delay_pct"),
-        r(F.avg("temp_c"), 1).alias("avg_temp_c"),
+        F.sum("n").alias("total_incidents"),
+        F.sum("is_significant").alias("significant_delays"),
+        F.sum("is_severe").alias("severe_delays"),
+        F.sum("is_on_time").alias("on_time_count"),
+        r(ratio("delay"), 2).alias("avg_delay_min"),
+        r(quantile(0.5), 2).alias("median_delay_min"),
+        r(F.max("value"), 1).alias("max_delay_min"),
+        r(quantile(0.95), 1).alias("p95_delay_min"),
+        r(F.sum("delay") / F.lit(60.0), 2).alias("total_delay_hrs"),
+        r(_share("is_on_time"), 2).alias("on_time_pct"),
+        r(_share("is_significant"), 2).alias("significant_delay_pct"),
+        r(ratio("temp_c"), 1).alias("avg_temp_c"),
         r(F.sum("precip_mm"), 1).alias("total_precip_mm"),
         r(F.sum("snow_cm"), 1).alias("total_snow_cm"),
-        r(F.avg("wind_kph"), 1).alias("avg_wind_kph"),
+        r(ratio("wind_kph"), 1).alias("avg_wind_kph"),
         F.max("weather_severity").alias("max_weather_severity"),
         F.max("is_precipitation").alias("had_precipitation"),
         F.max("is_snow").alias("had_snow"),
         F.max("is_extreme_cold").alias("had_extreme_cold"),
-        *[
-            F.count(F.when(F.col("incident_category") == c, F.lit(1))).alias(f"{c.lower()}_incidents")
-            for c in COUNTED_CATEGORIES
-        ],
+        *[F.sum(k).alias(k) for k in categories],
     )
-    base = with_quantiles(agg, d, ["route", "date"], "delay_min", {"_med": 0.5, "_p95": 0.95})
-    base = base.withColumns({"median_delay_min": r(F.col("_med"), 2), "p95_delay_min": r(F.col("_p95"), 1)})
-    base = base.drop("_med", "_p95")
     labelled = base.withColumns(
         {
             "year_month": cal.year_month("date"),
@@ -121,18 +138,18 @@ def route_daily(delays: DataFrame, sort: bool = True) -> DataFrame:
 def route_hourly(delays: DataFrame, sort: bool = True) -> DataFrame:
     """One row per (route, hour, time_period, is_rush_hour)."""
     keys = ["route", "hour", "time_period", "is_rush_hour"]
-    out = delays.groupBy(*keys).agg(
-        _count().alias("total_incidents"),
-        r(F.avg("delay_min"), 2).alias("avg_delay_min"),
-        r(pct("is_on_time"), 2).alias("on_time_pct"),
-        r(pct("is_significant"), 2).alias("significant_delay_pct"),
-        r(F.sum("delay_min") / F.lit(60.0), 2).alias("total_delay_hrs"),
-        r(F.avg("precip_mm"), 2).alias("avg_precip_mm"),
-        r(_cond_avg("is_precipitation", "delay_min", 1), 2).alias("avg_delay_wet"),
-        r(_cond_avg("is_precipitation", "delay_min", 0), 2).alias("avg_delay_dry"),
+    rows = reduced(delays, keys, "delay_min", _sums(["precip_mm"], ["is_precipitation"]))
+    out = rows.groupBy(*keys).agg(
+        F.sum("n").alias("total_incidents"),
+        r(ratio("delay"), 2).alias("avg_delay_min"),
+        r(quantile(0.5), 2).alias("median_delay_min"),
+        r(_share("is_on_time"), 2).alias("on_time_pct"),
+        r(_share("is_significant"), 2).alias("significant_delay_pct"),
+        r(F.sum("delay") / F.lit(60.0), 2).alias("total_delay_hrs"),
+        r(ratio("precip_mm"), 2).alias("avg_precip_mm"),
+        r(_cond_avg("is_precipitation", 1), 2).alias("avg_delay_wet"),
+        r(_cond_avg("is_precipitation", 0), 2).alias("avg_delay_dry"),
     )
-    out = with_quantiles(out, delays, keys, "delay_min", {"_med": 0.5})
-    out = out.withColumn("median_delay_min", r(F.col("_med"), 2)).drop("_med")
     return out.orderBy("route", "hour") if sort else out
 
 
@@ -142,19 +159,19 @@ def weather_impact(delays: DataFrame, sort: bool = True) -> DataFrame:
         F.col("weather_condition").isNotNull() & (F.col("weather_condition") != F.lit("Unknown"))
     ).withColumn("severity_bucket", severity_bucket())
     keys = ["weather_condition", "severity_bucket"]
-    out = base.groupBy(*keys).agg(
-        _count().alias("total_incidents"),
-        r(F.avg("delay_min"), 2).alias("avg_delay_min"),
-        r(pct("is_on_time"), 2).alias("on_time_pct"),
-        r(pct("is_significant"), 2).alias("significant_delay_pct"),
-        r(pct("is_severe"), 2).alias("severe_delay_pct"),
-        r(F.avg("temp_c"), 1).alias("avg_temp_c"),
-        r(F.avg("precip_mm"), 2).alias("avg_precip_mm"),
-        r(F.avg("snow_cm"), 2).alias("avg_snow_cm"),
+    rows = reduced(base, keys, "delay_min", _sums(["temp_c", "precip_mm", "snow_cm"]))
+    out = rows.groupBy(*keys).agg(
+        F.sum("n").alias("total_incidents"),
+        r(ratio("delay"), 2).alias("avg_delay_min"),
+        r(quantile(0.5), 2).alias("median_delay_min"),
+        r(quantile(0.95), 1).alias("p95_delay_min"),
+        r(_share("is_on_time"), 2).alias("on_time_pct"),
+        r(_share("is_significant"), 2).alias("significant_delay_pct"),
+        r(_share("is_severe"), 2).alias("severe_delay_pct"),
+        r(ratio("temp_c"), 1).alias("avg_temp_c"),
+        r(ratio("precip_mm"), 2).alias("avg_precip_mm"),
+        r(ratio("snow_cm"), 2).alias("avg_snow_cm"),
     )
-    out = with_quantiles(out, base, keys, "delay_min", {"_med": 0.5, "_p95": 0.95})
-    out = out.withColumns({"median_delay_min": r(F.col("_med"), 2), "p95_delay_min": r(F.col("_p95"), 1)})
-    out = out.drop("_med", "_p95")
     return out.orderBy(F.col("avg_delay_min").desc()) if sort else out
 
 
@@ -190,26 +207,26 @@ def network_summary(delays: DataFrame, sort: bool = True) -> DataFrame:
 
 
 def _sensitivity(flag: str) -> Column:
-    return r(_cond_avg(flag, "delay_min", 1) - _cond_avg(flag, "delay_min", 0), 2)
+    return r(_cond_avg(flag, 1) - _cond_avg(flag, 0), 2)
 
 
 def route_stats(delays: DataFrame, min_incidents: int = MIN_ROUTE_INCIDENTS) -> DataFrame:
     """Per-route statistics and sensitivities for routes with at least ``min_incidents`` rows."""
-    stats = delays.groupBy("route").agg(
-        _count().alias("total_incidents"),
-        r(F.avg("delay_min"), 2).alias("mean_delay_min"),
-        r(pct("is_on_time"), 2).alias("on_time_pct"),
-        r(pct("is_significant"), 2).alias("significant_delay_pct"),
-        r(pct("is_severe"), 2).alias("severe_delay_pct"),
-        r(F.sum("delay_min") / F.lit(60.0), 1).alias("total_delay_hrs"),
+    rows = reduced(delays, ["route"], "delay_min", _sums(split=["is_precipitation", "is_snow", "is_rush_hour"]))
+    stats = rows.groupBy("route").agg(
+        F.sum("n").alias("total_incidents"),
+        r(ratio("delay"), 2).alias("mean_delay_min"),
+        r(quantile(0.5), 2).alias("median_delay_min"),
+        r(quantile(0.95), 1).alias("p95_delay_min"),
+        r(_share("is_on_time"), 2).alias("on_time_pct"),
+        r(_share("is_significant"), 2).alias("significant_delay_pct"),
+        r(_share("is_severe"), 2).alias("severe_delay_pct"),
+        r(F.sum("delay") / F.lit(60.0), 1).alias("total_delay_hrs"),
         _sensitivity("is_precipitation").alias("weather_sensitivity_precip"),
         _sensitivity("is_snow").alias("weather_sensitivity_snow"),
         _sensitivity("is_rush_hour").alias("rush_hour_sensitivity"),
     )
-    stats = stats.filter(F.col("total_incidents") >= F.lit(min_incidents))
-    stats = with_quantiles(stats, delays, ["route"], "delay_min", {"_med": 0.5, "_p95": 0.95})
-    stats = stats.withColumns({"median_delay_min": r(F.col("_med"), 2), "p95_delay_min": r(F.col("_p95"), 1)})
-    return stats.drop("_med", "_p95")
+    return stats.filter(F.col("total_incidents") >= F.lit(min_incidents))
 
 
 def route_sensitivity(delays: DataFrame, min_incidents: int = MIN_ROUTE_INCIDENTS) -> DataFrame:

@@ -34,7 +34,7 @@ def main(sf_dir: str) -> None:
     st = Stages(spark, sf_dir)
     jobs = {
         "delays (fact table: scan + broadcast weather join)": build_delays(
-            fx.incidents_from_events(spark, sf_dir), fx.weather_from_orders(spark, sf_dir)),
+            fx.incidents_from_events(spark, sf_dir), fx.weather_from_orders(spark, sf_dir), ("station", "date", "hour")),
         "route_daily": tables.route_daily(st.delays, sort=False),
         "network_summary": tables.network_summary(st.delays, sort=False),
         "route_risk_scores (from stored route statistics)": tables.route_risk_from_stats(st.route_stats, sort=False),

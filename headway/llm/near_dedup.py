@@ -9,13 +9,12 @@
    the equal ones expected by chance, and pairs clearly under the threshold go.
 5. The others are verified on their full sets; components of the verified links follow.
 
-No bucket emits its pairs.  First every node is verified against the most similar of the
-smallest nodes of its buckets only, which joins nearly all copies of a group.  Nodes
-connected by buckets make clusters; clusters that hold several components are dealt out in
-blocks of bounded size, every two blocks meet in one task, and only pairs across components
-are compared there, on sketches and then on full sets.  A meeting gives back fewer links
-than it has rows.  So no link that bands and sketches show is lost, none inside a
-component is looked at twice, and what moves grows with the nodes, not with their pairs.
+No bucket emits its pairs.  First every node of a bucket is held against the bucket's
+smallest node only, which joins nearly all copies of a group.  Buckets that then hold
+nodes of more than one component are dealt out in blocks of bounded size, and only pairs
+across components go on: first the most similar pair of every two components, then all
+that are left.  So no link that bands and sketches show is lost, and none inside a
+component is looked at twice.
 """
 
 from __future__ import annotations
@@ -34,7 +33,7 @@ REGISTERS, MANTISSA = 128, 10
 ROWS = 4
 EMPTY = 0xFFFF
 BLOCK = 256
-LOT = 4_000
+LOT = 20_000
 STRIPE = 1 << 20
 #: Deviations of the estimate under the threshold at which a pair is still verified.
 DEVIATIONS = 5.0
@@ -203,74 +202,65 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return materialize(_with_text(pairs.select("a", "b"), texts).where(_linked(threshold, "text_a", "text_b")).select("a", "b"), "near-links")
 
 
-def exact_links(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray, threshold: int) -> np.ndarray:
-    """Whether the sets ``x`` and ``y`` (indices, pair by pair) meet the threshold."""
-    size = np.array([len(s) for s in sets])
-    code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
-    row = np.repeat(np.arange(len(sets)), size)
-    shared = count[code] > 1
-    row, code = row[shared], (np.cumsum(count > 1) - 1)[code[shared]]
-    order = np.argsort(code, kind="stable")
-    row, code = row[order], code[order]
-    both = np.zeros((len(sets), len(sets)), np.float32)
-    stripe = 4096
-    for a in range(0, int(code[-1]) + 1 if len(code) else 0, stripe):  # so many shingles at a time
-        i, j = np.searchsorted(code, (a, a + stripe))
-        m = np.zeros((len(sets), stripe), np.float32)
-        m[row[i:j], code[i:j] - a] = 1
-        both += m @ m.T
-    n = both[x, y].astype(np.int64)
-    return 100 * n >= threshold * (size[x] + size[y] - n)
-
-
-def _meetings(members: DataFrame, threshold: int) -> DataFrame:
-    """(a, b): links between components in the clusters of ``members`` (cluster, g, ga, big, node, root, n, regs, text).
-
-    A cluster has g nodes, ga of them in its largest component ``big``.  Those are dealt in
-    blocks of BLOCK, the others in blocks of their own; every two blocks meet, in at most
-    about 2 * BLOCK rows, but two blocks of the largest component never do.  A meeting compares sketches, then full sets, of pairs across
-    components and gives back links only as far as they join something new to it:
-    fewer than it has rows.
+def _across(members: DataFrame, threshold: int, every: bool) -> DataFrame:
+    """(a, b, ca, cb, est) of likely pairs across components (without ``every``: the likeliest of every
+    two components that a lot shows) in the buckets of ``members`` (key, g, node, root, n, regs).
+
+    A bucket of g members is dealt in ceil(g / BLOCK) blocks; every two blocks meet, in at
+    most 2 * BLOCK rows.  Python gets such meetings by the lot, about LOT rows at a time.
     """
-    ka, ko = (F.ceil(c / BLOCK).cast("int") for c in (F.col("ga"), F.col("g") - F.col("ga")))
-    large = F.col("root") == F.col("big")
-    own = members.select("*", ka.alias("ka"), (ka + ko).alias("k"), F.when(large, F.pmod(F.hash("node"), ka)).otherwise(ka + F.pmod(F.hash("node"), ko)).alias("own"))
-    others = F.sequence(F.when(large, F.col("ka")).otherwise(F.lit(0)), F.col("k") - 1)
-    dealt = own.select("*", F.explode(others).alias("other"))
-    dealt = dealt.select("cluster", "node", "root", "n", "regs", "text", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
-    size = own.agg(F.sum(F.size(others))).first()[0] or 0
+    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
+    own = members.select("*", blocks.alias("k"), F.pmod(F.hash("node"), blocks).alias("own"))
+    dealt = own.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+    dealt = dealt.select("key", "node", "root", "n", "regs", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    size = members.agg(F.sum(F.ceil(F.col("g") / BLOCK))).first()[0] or 0
     lots = max(1, int(size) // LOT)
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for (_, p, q), part in pdf.groupby(["cluster", "p", "q"], sort=False):
-            root = pd.factorize(part["root"])[0]
-            if not root.any():
+        pdf = pdf.sort_values(["key", "p", "q"], kind="stable", ignore_index=True)
+        regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(len(pdf), REGISTERS)
+        n, block = pdf["n"].to_numpy(), pdf["own"].to_numpy()
+        root, node = (pd.factorize(pdf[c].map(bytes))[0] for c in ("root", "node"))
+        new = np.flatnonzero(pdf[["key", "p", "q"]].ne(pdf[["key", "p", "q"]].shift()).any(axis=1).to_numpy())
+        one_block = (pdf["p"] == pdf["q"]).to_numpy()
+        held, i, j, e = 0, [], [], []
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def settle():
+            x, y = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+            go = root[x] != root[y]
+            go &= one_block[x] | (block[x] != block[y])
+            x, y = x[go], y[go]
+            _, first = np.unique(np.minimum(node[x], node[y]) * len(pdf) + np.maximum(node[x], node[y]), return_index=True)
+            x, y = x[first], y[first]
+            est, go = likely(regs[x], regs[y], n[x], n[y], threshold)
+            i.append(x[go])
+            j.append(y[go])
+            e.append(est[go])
+
+        for a, b in zip(new.tolist(), [*new[1:].tolist(), len(pdf)], strict=True):
+            if (root[a:b] == root[a]).all():
                 continue
-            regs = np.frombuffer(b"".join(part["regs"]), np.uint16).reshape(len(part), REGISTERS)
-            n, block, node = part["n"].to_numpy(), part["own"].to_numpy(), part["node"].to_list()
-            pairs = []
-            for i in range(len(part) - 1):
-                j = np.arange(i + 1, len(part))
-                j = j[(root[j] != root[i]) & ((p == q) | (block[j] != block[i]))]
-                if len(j):
-                    _, go = likely(regs[i][None, :], regs[j], np.full(len(j), n[i]), n[j], threshold)
-                    pairs.append(np.column_stack((np.full(go.sum(), i), j[go])))
-            if not pairs or not sum(map(len, pairs)):
-                continue
-            x, y = np.concatenate(pairs).T
-            need, at = np.unique(np.concatenate((x, y)), return_inverse=True)
-            go = exact_links(list(shingle_sets(part["text"].iloc[need])), at[: len(x)], at[len(x) :], threshold)
-            joined = np.arange(root.max() + 1)
-            for i, j in zip(x[go].tolist(), y[go].tolist(), strict=True):
-                a, b = joined[root[i]], joined[root[j]]
-                if a != b:
-                    joined[joined == b] = a
-                    out.append((node[i], node[j]))
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    lot = F.pmod(F.xxhash64("cluster", "p", "q"), F.lit(lots))
-    return dealt.groupBy(lot.alias("lot")).applyInPandas(meet, "a binary, b binary")
+            x, y = np.triu_indices(b - a, 1)
+            pairs.append((x + a, y + a))
+            held += len(x)
+            if held > 1 << 16:
+                settle()
+                held, pairs = 0, []
+        if pairs:
+            settle()
+        none = np.zeros(0, np.int64)
+        x, y, est = np.concatenate([none, *i]), np.concatenate([none, *j]), np.concatenate([np.zeros(0), *e])
+        nodes, roots = pdf["node"].to_numpy(), pdf["root"].to_numpy()
+        swap = np.array([bytes(roots[u]) > bytes(roots[v]) for u, v in zip(x, y, strict=True)], bool)
+        x, y = np.where(swap, y, x).astype(np.int64), np.where(swap, x, y).astype(np.int64)
+        out = pd.DataFrame({"a": nodes[x], "b": nodes[y], "ca": roots[x], "cb": roots[y], "est": est})
+        if every:
+            return out
+        return out.sort_values("est", kind="stable").drop_duplicates(["ca", "cb"], keep="last")
+
+    lot = F.pmod(F.xxhash64("key", "p", "q"), F.lit(lots))
+    return dealt.groupBy(lot.alias("lot")).applyInPandas(meet, "a binary, b binary, ca binary, cb binary, est double").distinct()
 
 
 def _groups(docs: DataFrame, doc_id: str, text: str, threshold: int) -> tuple[DataFrame, DataFrame]:
@@ -286,7 +276,6 @@ def _groups(docs: DataFrame, doc_id: str, text: str, threshold: int) -> tuple[Da
     own = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("regs").alias("regs_b"))
     lead = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("regs").alias("regs_a"))
     pairs = members.where(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = materialize(pairs, "near-pairs")
     held = pairs.join(own, "b").join(lead, "a").select("a", "b", _likely(threshold, "regs_a", "regs_b", "n_a", "n_b").alias("e"))
     stars = materialize(held.select("a", "b", "e.est", "e.go").where("go").select("a", "b", "est"), "near-stars")
 
@@ -302,16 +291,22 @@ def _groups(docs: DataFrame, doc_id: str, text: str, threshold: int) -> tuple[Da
     links = _verified(best, texts, threshold)
     roots = components(links, "near-roots")
 
-    # nodes that buckets connect, whether linked or not; only clusters of several components go on
-    near = components(pairs, "near-clusters").select("node", F.col("root").alias("cluster"))
-    near = near.union(near.select(F.col("cluster").alias("node"), "cluster").distinct())
-    m = near.join(roots, "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("root"))
-    m = materialize(m, "near-clustered")
-    parts = m.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("cluster")
-    mixed = parts.agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("g"), F.max("c").alias("ga"), F.max_by("root", F.struct("c", "root")).alias("big"))
-    mixed = materialize(mixed.where(F.col("parts") > 1).drop("parts"), "near-mixed")
-    m = materialize(m.join(mixed, "cluster").join(nodes, "node").join(texts, "node"), "near-mixed-members", compression="zstd")
-    links, roots = _more(links, roots, materialize(_meetings(m, threshold), "near-links"))
+    la, lb = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    left = stars.join(best.select("b", F.col("a").alias("had")), "b").where(F.col("a") != F.col("had"))
+    left = left.join(la, "a", "left").join(lb, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
+    links, roots = _more(links, roots, _verified(left, texts, threshold))
+
+    tried = stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))  # or in one component
+    for every in (False, True):
+        m = members.join(roots, "node", "left").select("key", "g", "node", F.coalesce("root", "node").alias("root"))
+        mixed = m.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y")).select("key")
+        mixed = materialize(mixed, "near-mixed")
+        if mixed.isEmpty():
+            break
+        left = _across(m.join(mixed, "key").join(nodes, "node"), threshold, every).join(tried, ["a", "b"], "left_anti")
+        if not every:
+            left = left.groupBy("ca", "cb").agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b")
+        links, roots = _more(links, roots, _verified(left, texts, threshold))
     return rows, roots
 
 

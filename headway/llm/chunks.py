@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from headway.session import materialize
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Bytes that stand before each text and after the last; 0xFF is in no UTF-8 text.
 PAD = 8
 MARK = 0xFF
@@ -139,23 +139,27 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """Polynomial hashes modulo 2^64 of byte runs, from prefix sums; random values for bytes."""
+    """Polynomial hashes modulo 2^64 of byte runs, from prefix sums; random values for bytes.
+
+    All hashers of a process share the powers of one base; they differ in their values.
+    """
+
+    base = 0x9E3779B97F4A7C15
+    inverse = pow(base, -1, 2**64)
+    _up = _down = np.ones(1, np.uint64)
 
     def __init__(self, seed: int):
         r = np.random.default_rng(seed)
         self.value = r.integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(r.integers(2**58, 2**60)) * 8 + 5
-        self.inverse = pow(self.base, -1, 2**64)
-        self._up = self._down = np.ones(1, np.uint64)
-
-    def _powers(self, n: int) -> None:
-        if len(self._up) < n:
-            n = 1 << (n - 1).bit_length()
-            self._up = np.full(n, np.uint64(self.base))
-            self._down = np.full(n, np.uint64(self.inverse))
-            self._up[0] = self._down[0] = 1
-            np.multiply.accumulate(self._up, out=self._up)
-            np.multiply.accumulate(self._down, out=self._down)
+
+    @classmethod
+    def _powers(cls, n: int) -> None:
+        if len(cls._up) < n:
+            n += n // 8
+            up, down = np.full(n, np.uint64(cls.base)), np.full(n, np.uint64(cls.inverse))
+            up[0] = down[0] = 1
+            cls._up = np.multiply.accumulate(up, out=up)
+            cls._down = np.multiply.accumulate(down, out=down)
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
         self._powers(len(data) + 1)
@@ -175,7 +179,7 @@ class Hasher:
             return np.zeros(0, np.uint64)
         self._powers(len(codes) + 1)
         p = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(codes * self._up[: len(codes)], out=p[1:])
+        np.cumsum(mix(codes ^ self.value[0]) * self._up[: len(codes)], out=p[1:])
         return mix((p[k:] - p[:-k]) * self._down[: len(codes) - k + 1])
 
 

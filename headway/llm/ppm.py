@@ -24,16 +24,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.chunks import LOWER, MARK, PAD, Chunk, Hasher, bucket_of, buckets_of, chunked, counted, each, mix, rows, split_by
+from headway.llm.chunks import LOWER, MARK, PAD, Chunk, Hasher, bucket_of, buckets_of, chunked, counted, deltas, each, mix, pack, rows, split_by, unpack
 from headway.session import materialize
 
 ORDER = 5  # PAD marks before each text are its first context
 ALPHABET = 256
 STRIPE = 1 << 21
-ASK = ["bucket", "kind", "chunk", "keys", "counts"]
-ASK_SCHEMA = "bucket int, kind int, chunk long, keys binary, counts binary"
-ANSWER = ["chunk", "kind", "keys", "answer", "distinct"]
-ANSWER_SCHEMA = "chunk long, kind int, keys binary, answer binary, distinct long"
+CHUNK_BYTES = 8 << 20
+ASK = ["bucket", "kind", "chunk", "asked"]
+ASK_SCHEMA = "bucket int, kind int, chunk long, asked binary"
+ANSWER = ["chunk", "kind", "answer", "distinct"]
+ANSWER_SCHEMA = "chunk long, kind int, answer binary, distinct long"
 RUNS, WORDS = 0, 1
 
 
@@ -106,7 +107,7 @@ def asks(chunks: DataFrame, buckets: int) -> DataFrame:
                 order, at = split_by(run_bucket(keys, buckets) if kind == RUNS else bucket_of(keys, buckets), buckets)
                 for b in np.flatnonzero(np.diff(at)):
                     own = order[at[b] : at[b + 1]]
-                    out.append({"bucket": b, "kind": kind, "chunk": c.id, "keys": keys[own].tobytes(), "counts": counts[own].astype(np.uint32).tobytes()})
+                    out.append({"bucket": b, "kind": kind, "chunk": c.id, "asked": pack(deltas(keys[own]), counts[own].astype(np.uint32))})
             yield rows(out, ASK)
 
     return chunks.mapInPandas(ask, ASK_SCHEMA)
@@ -203,20 +204,23 @@ def answers(asked: DataFrame, pairs: np.ndarray) -> DataFrame:
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for kind, part in pdf.groupby("kind"):
-            keys = [np.frombuffer(b, np.uint64) for b in part["keys"]]
-            every, total = counted(np.concatenate(keys), np.concatenate([np.frombuffer(b, np.uint32) for b in part["counts"]]).astype(np.int64))
+            asked = [unpack(b, np.uint64, np.uint32) for b in part["asked"]]
+            keys = [np.cumsum(step, dtype=np.uint64) for step, _ in asked]
+            every, total = counted(np.concatenate(keys), np.concatenate([n for _, n in asked]).astype(np.int64))
             known = total > 0
             value = log_probabilities(every, every[known], total[known], shared.value).astype(np.float32) if kind == RUNS else total.astype(np.uint32)
             for i, (chunk, own) in enumerate(zip(part["chunk"], keys, strict=True)):
-                out.append({"chunk": chunk, "kind": kind, "keys": own.tobytes(), "answer": value[np.searchsorted(every, own)].tobytes(), "distinct": int(known.sum()) if kind == WORDS and not i else 0})
+                out.append({"chunk": chunk, "kind": kind, "answer": pack(deltas(own), value[np.searchsorted(every, own)]), "distinct": int(known.sum()) if kind == WORDS and not i else 0})
         return rows(out, ANSWER)
 
     return asked.groupBy("bucket").applyInPandas(answer, ANSWER_SCHEMA)
 
 
 def _together(part: pd.DataFrame, dtype) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(b, np.uint64) for b in part["keys"]]])
-    value = np.concatenate([np.zeros(0, dtype), *[np.frombuffer(b, dtype) for b in part["answer"]]])
+    """All keys of a chunk, sorted, and their answers."""
+    had = [unpack(b, np.uint64, dtype) for b in part["answer"]]
+    keys = np.concatenate([np.zeros(0, np.uint64), *[np.cumsum(step, dtype=np.uint64) for step, _ in had]])
+    value = np.concatenate([np.zeros(0, dtype), *[v for _, v in had]])
     order = np.argsort(keys)
     return keys[order], value[order]
 
@@ -256,7 +260,7 @@ def _chunk_scores(chunk: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(frames) if frames else pd.DataFrame({"doc_id": [], "learned": [], "n_words": [], "n_known_words": [], "log_counts": [], "n_bytes": [], "score": []})
 
 
-def score_documents(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None, chunk_bytes: int | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row for each row of ``docs``: doc_id, learned, n_tokens, n_known, train_tokens,
     n_bytes (long), base_score, score, bits_per_byte (double).
 
@@ -270,8 +274,7 @@ def score_documents(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text
     """
     spark = docs.sparkSession
     b = buckets_of(spark, buckets)
-    more = {"chunk_bytes": chunk_bytes} if chunk_bytes else {}
-    chunks = chunked(docs, "ppm-chunks", doc_id, text, learn, **more)
+    chunks = chunked(docs, "ppm-chunks", doc_id, text, learn, chunk_bytes)
     answered = materialize(answers(asks(chunks, b), pair_counts(chunks)), "ppm-answers", compression="zstd")
     distinct = answered.agg(F.sum("distinct")).first()[0] or 0
     scored = chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInPandas(

@@ -5,8 +5,9 @@ counted; lines of hashes over the threshold are dropped and each document is put
 together again by position.  Only hashes and positions are shuffled for the count;
 the texts move once, when a document meets the positions it loses.
 
-Hot lines: the distinct count is pre-aggregated before its shuffle, and the join of
-lines with repeated keys is a sort-merge join that adaptive execution splits.
+Hot lines: the distinct count is pre-aggregated before its shuffle; the repeated keys are
+stored, so that both sides of the join of lines with them come straight from a shuffle and
+adaptive execution splits a hot key.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.text import ascii_lower, ascii_strip, hash128, with_columns
+from headway.session import materialize
 
 
 def dedup_lines(
@@ -48,11 +50,12 @@ def dedup_lines(
     h1, h2 = hash128(F.col("norm"))
     keyed = norm.where(F.char_length("norm") >= min_chars).select("id", "th", "pos", h1.alias("h1"), h2.alias("h2"))
 
-    repeated = (
+    repeated = materialize(
         keyed.groupBy("h1", "h2")
         .agg(F.count_distinct(F.struct("id")).alias("n"), F.max("id").alias("keep"))
         .where(F.col("n") >= min_docs)
-        .select("h1", "h2", "keep")
+        .select("h1", "h2", "keep"),
+        "line-repeated",
     )
     drops = (
         keyed.join(repeated, ["h1", "h2"])

@@ -1,9 +1,12 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is one line of a text.  It matches a template when it holds at least
-``threshold`` of the template's distinct words (containment).  The join orders the
-template words by how many blocks of the whole corpus hold them, rarest first, and
-uses three filters that lose nothing:
+A block is one line of a text, or a run of words over line breaks: as long as the
+template and as many more words as the threshold lets be missing, so that a notice is
+found however it is wrapped and a long text does not match by chance.  A block matches
+a template when it holds at least ``threshold`` of the template's distinct words
+(containment).  The join orders the template words by their places in the whole
+corpus (each place of a word is in as many runs), rarest first, and uses three
+filters that lose nothing:
 
 * prefix: a block that meets the threshold holds one of the template's rarest
   ``size - needed + 1`` words; blocks without one are never looked at;
@@ -18,6 +21,8 @@ the documents are scanned where they are and never shuffle.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -57,15 +62,18 @@ class Matcher:
         self.rank = {w: i for i, w in enumerate(order)}
         self.by_prefix: dict[bytes, list[int]] = {}
         self.templates: list[tuple[str, list[int], int]] = []
+        self.widths: list[int] = []  # words of a run
         for label, texts in templates.items():
             for t in texts:
-                words = sorted({self.rank[w] for w in WORD.findall(t.encode().lower())})
+                every = [self.rank[w] for w in WORD.findall(t.encode().lower())]
+                words = sorted(set(every))
                 if not words:
                     continue
                 needed = -int(-threshold * len(words) // 1)
                 for r in words[: len(words) - needed + 1]:
                     self.by_prefix.setdefault(order[r], []).append(len(self.templates))
                 self.templates.append((label, words, needed))
+                self.widths.append(2 * len(every) - needed)
         self.prefix_words = frozenset(self.by_prefix)
 
     def match(self, words: set[bytes]) -> dict[str, float]:
@@ -93,6 +101,49 @@ class Matcher:
                 found[label] = max(found.get(label, 0.0), common / len(theirs))
         return found
 
+    def match_runs(self, words: list[bytes], lines: list[int]) -> list[tuple[int, int, str, float]]:
+        """(first line, last line, label, containment) of runs over line breaks, the best of those that overlap.
+
+        ``lines`` holds the line of each of a text's words.
+        """
+        places = [(p, self.rank[w]) for p, w in enumerate(words) if w in self.rank]
+        held = {r for _, r in places}
+        found = []
+        for t in {t for w in self.prefix_words.intersection(words) for t in self.by_prefix[w]}:
+            label, theirs, needed = self.templates[t]
+            width, own = self.widths[t], held.intersection(theirs)
+            if len(own) < needed:
+                continue
+            prefix = own.intersection(theirs[: len(theirs) - needed + 1])
+            seeds = [p for p, r in places if r in prefix]
+            near = []  # places that share a run with a prefix word
+            for p, r in places:
+                if r in own:
+                    i = bisect_left(seeds, p - width + 1)
+                    if i < len(seeds) and seeds[i] < p + width:
+                        near.append((p, r))
+            count: Counter[int] = Counter()
+            lo = common = 0
+            best = None  # (distinct words, first place, last place)
+            for hi, (p, r) in enumerate(near):
+                common += not count[r]
+                count[r] += 1
+                while p - near[lo][0] >= width or count[near[lo][1]] > 1:
+                    count[near[lo][1]] -= 1
+                    common -= not count[near[lo][1]]
+                    lo += 1
+                if common >= needed and lines[near[lo][0]] < lines[p]:
+                    if best and near[lo][0] > best[2]:
+                        found.append((t, *best))
+                        best = None
+                    if not best or common > best[0]:
+                        best = common, near[lo][0], p
+                if common + len(near) - hi - 1 < needed:
+                    break
+            if best:
+                found.append((t, *best))
+        return [(lines[a], lines[b], self.templates[t][0], n / len(self.templates[t][1])) for t, n, a, b in found]
+
 
 def phrase_places(words: list[bytes], phrases: dict[str, str] = PHRASES) -> list[tuple[int, str]]:
     """(start, label) of every place where a phrase's words stand consecutively."""
@@ -113,17 +164,16 @@ def phrase_places(words: list[bytes], phrases: dict[str, str] = PHRASES) -> list
 
 
 def block_frequency(docs: DataFrame, templates: dict[str, list[str]], text: str = "text") -> dict[bytes, int]:
-    """How many blocks of all documents hold each template word; as many entries as the templates have words."""
+    """How many places all documents have of each template word; as many entries as the templates have words."""
     vocabulary = frozenset(w for texts in templates.values() for t in texts for w in WORD.findall(t.encode().lower()))
 
     def count(batches):
         total = dict.fromkeys(vocabulary, 0)
         for batch in batches:
             for t in batch["text"]:
-                raw = (t or "").encode("utf-8", "replace").lower()
-                for line in raw.split(b"\n"):
-                    for w in vocabulary.intersection(WORD.findall(line)):
-                        total[w] += 1
+                seen = Counter(WORD.findall((t or "").encode("utf-8", "replace").lower()))
+                for w in vocabulary.intersection(seen):
+                    total[w] += seen[w]
         yield pd.DataFrame({"word": [w.decode() for w in total], "n": list(total.values())})
 
     rows = docs.select(F.col(text).alias("text")).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -136,7 +186,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, list
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.  n_base: places of the
     fixed phrases; first_word and last_word: their smallest and largest start (null
     without any); labels: base labels and those of the matching templates; blocks:
-    (line, label, containment) of every match; score: 1 with a base place, else the best
+    (line, label, containment) of every match, a run of words over line breaks by its first
+    line and where no line of it holds as much; score: 1 with a base place, else the best
     containment, else 0.  Null and empty texts have no words and no labels; equal rows
     give equal results; columns of these names are replaced.
     """
@@ -156,9 +207,17 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, list
             places = phrase_places(words)
             blocks = []
             if not matcher.prefix_words.isdisjoint(words):
+                lines, found = [], {}
                 for i, line in enumerate(raw.split(b"\n")):
-                    for label, c in matcher.match(set(WORD.findall(line))).items():
-                        blocks.append({"line": i, "label": label, "containment": c})
+                    own = WORD.findall(line)
+                    lines += [i] * len(own)
+                    found.update({(i, label): c for label, c in matcher.match(set(own)).items()})
+                runs: dict[tuple[int, str], float] = {}
+                for i, j, label, c in matcher.match_runs(words, lines):
+                    if all(found.get((k, label), 0.0) < c for k in range(i, j + 1)):
+                        runs[i, label] = max(runs.get((i, label), 0.0), c)
+                for (i, label), c in sorted((found | runs).items()):
+                    blocks.append({"line": i, "label": label, "containment": c})
             base = sorted({x for _, x in places})
             every = sorted({*base, *(b["label"] for b in blocks)})
             starts = [x for x, _ in places]

@@ -4,7 +4,9 @@
 2. Sketch: a shingle's hash picks one of REGISTERS registers; a register keeps, of the
    smallest hash it has seen, the number of leading zeros and MANTISSA bits after them
    (16 bits in all).
-3. Bands of ROWS registers are hashed; nodes that share a band are candidates.
+3. Bands of ROWS registers are hashed; nodes that share a band are candidates.  Sets of
+   few shingles, which one differing shingle can part in every band, also meet by
+   the smallest hashes that any set as similar must share (prefix filter, exact).
 4. The Jaccard similarity of a candidate pair is estimated from equal registers, less
    the equal ones expected by chance, and pairs clearly under the threshold go.
 5. The others are verified on their full sets; components of the verified links follow.
@@ -31,6 +33,8 @@ SHINGLE = 5
 THRESHOLD = 75  # per cent: 100 * intersection >= THRESHOLD * union
 REGISTERS, MANTISSA = 128, 10
 ROWS = 4
+#: Sets of up to so many shingles meet every set that meets the threshold with them.
+SMALL = 16
 EMPTY = 0xFFFF
 BLOCK = 256
 LOT = 20_000
@@ -100,6 +104,18 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return mix(code + np.arange(1, len(rows) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[used]
 
 
+def prefix_keys(shingles: np.ndarray, threshold: int) -> np.ndarray:
+    """Keys of a small set of sorted hashes, one of which every set shares that meets the threshold with it; none of larger sets.
+
+    Such a pair has at least ceil(threshold * n / 100) of the n hashes in common, so its smallest
+    common hash is one of the first n + 1 less that many of either set.
+    """
+    n = len(shingles)
+    if n * threshold > 100 * SMALL:  # too large to be the like of a small set
+        return np.zeros(0, np.uint64)
+    return mix(shingles[: n + 1 - max(1, -(-threshold * n // 100))] ^ _PRINT.value[8])
+
+
 def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Collision-corrected Jaccard estimate of rows of sketches, and the registers in use."""
     used = ((a != EMPTY) | (b != EMPTY)).sum(axis=-1)
@@ -118,16 +134,16 @@ def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, thres
     return est, close & (est >= t - slack)
 
 
-def _sketch_column(text: Column) -> Column:
-    @F.pandas_udf("n long, node binary, regs binary")
+def _sketch_column(text: Column, threshold: int) -> Column:
+    @F.pandas_udf("n long, node binary, regs binary, few array<long>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
         out = []
         for s in shingle_sets(texts):
             a, b = np.uint64(len(s)), np.uint64(0)
             if len(s):
                 a, b = np.bitwise_xor.reduce(s) + a, mix(s ^ _PRINT.value[7]).sum(dtype=np.uint64)
-            out.append((len(s), np.array([a, b], ">u8").tobytes() if len(s) else None, registers(s).tobytes()))
-        return pd.DataFrame(out, columns=["n", "node", "regs"])
+            out.append((len(s), np.array([a, b], ">u8").tobytes() if len(s) else None, registers(s).tobytes(), prefix_keys(s, threshold).view(np.int64)))
+        return pd.DataFrame(out, columns=["n", "node", "regs", "few"])
 
     return sketch(text)
 
@@ -265,11 +281,11 @@ def _across(members: DataFrame, threshold: int, every: bool) -> DataFrame:
 
 def _groups(docs: DataFrame, doc_id: str, text: str, threshold: int) -> tuple[DataFrame, DataFrame]:
     """(sketched rows: id, th, n, node, regs; roots: node, root)."""
-    step = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).select("id", F.xxhash64("text").alias("th"), _sketch_column(F.col("text")).alias("s"))
-    rows = materialize(step.select("id", "th", "s.n", "s.node", "s.regs"), "near-sketches")
-    nodes = rows.where(F.col("n") > 0).groupBy("node").agg(F.first("n").alias("n"), F.first("regs").alias("regs"))
+    step = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).select("id", F.xxhash64("text").alias("th"), _sketch_column(F.col("text"), threshold).alias("s"))
+    rows = materialize(step.select("id", "th", "s.n", "s.node", "s.regs", "s.few"), "near-sketches")
+    nodes = rows.where(F.col("n") > 0).groupBy("node").agg(F.first("n").alias("n"), F.first("regs").alias("regs"), F.first("few").alias("few"))
     nodes = materialize(nodes, "near-nodes")
-    bands = nodes.select("node", F.explode(_bands(F.col("regs"))).alias("key"))
+    bands = nodes.select("node", F.explode(F.concat(_bands(F.col("regs")), "few")).alias("key"))
     buckets = materialize(bands.groupBy("key").agg(F.count(F.lit(1)).alias("g"), F.min("node").alias("lead")).where(F.col("g") > 1), "near-buckets")
     members = materialize(bands.join(buckets, "key"), "near-members")
 
@@ -303,7 +319,7 @@ def _groups(docs: DataFrame, doc_id: str, text: str, threshold: int) -> tuple[Da
         mixed = materialize(mixed, "near-mixed")
         if mixed.isEmpty():
             break
-        left = _across(m.join(mixed, "key").join(nodes, "node"), threshold, every).join(tried, ["a", "b"], "left_anti")
+        left = _across(m.join(mixed, "key").join(nodes.drop("few"), "node"), threshold, every).join(tried, ["a", "b"], "left_anti")
         if not every:
             left = left.groupBy("ca", "cb").agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b")
         links, roots = _more(links, roots, _verified(left, texts, threshold))

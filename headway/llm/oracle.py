@@ -50,4 +50,43 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from ratios left join lims on ratios.lang is not distinct from lims.lang and ratios.source is not distinct from lims.source
 """
 
-ORACLE_SQL = {"op2_line_dedup": OP2, "op10_quality_rules": OP10}
+OP11 = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+ws as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+totals as (select lang, sum(len(w)) as n from ws group by lang),
+grams as (select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) as p
+          from ws, (select unnest([1, 2, 3, 4, 5]) as m) where len(w) >= m),
+freq as (select lang, m, p, count(*) as a from grams group by all having count(*) >= 100),
+longer as (select f.lang, f.a, list_slice(f.p, s.i, s.i + s.k - 1) as q
+           from freq f, (select i, k from (select unnest([1, 2, 3, 4]) as i), (select unnest([2, 3, 4]) as k)) s
+           where s.k < f.m and s.i + s.k - 1 <= f.m),
+swallowed as (select distinct c.lang, c.p from freq c join longer l on l.lang = c.lang and l.q = c.p and l.a >= c.a),
+cuts as (select f.lang, f.p, f.m, f.a, k, list_slice(f.p, 1, k) as x, list_slice(f.p, k + 1, f.m) as y
+         from freq f, (select unnest([1, 2, 3, 4]) as k) where k < f.m),
+scores as (select c.lang, c.p, c.a, c.k, x.a as l, y.a as r, t.n,
+                  (1000::hugeint * c.a::hugeint * t.n::hugeint) // (x.a::hugeint * y.a::hugeint) as score
+           from cuts c join freq x on x.lang = c.lang and x.p = c.x join freq y on y.lang = c.lang and y.p = c.y
+           join totals t on t.lang = c.lang),
+weakest as (select * from scores qualify row_number() over (partition by lang, p order by score, k) = 1),
+ranked as (select w.lang, row_number() over (partition by w.lang order by w.score desc, w.a desc, array_to_string(w.p, ' ')) as rank,
+                  array_to_string(w.p, ' ') as phrase, w.a, w.l, w.r, w.n, w.score
+           from weakest w left join swallowed s on s.lang = w.lang and s.p = w.p where s.p is null)
+select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from ranked where rank <= 2000
+"""
+
+OP12 = """
+with d as (select doc_id, sha256(coalesce(text, '')) as text_sha256 from documents),
+g as (select text_sha256, max(doc_id) as keep_id, count(*) as group_size from d group by text_sha256)
+select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256 from d join g using (text_sha256)
+"""
+
+ORACLE_SQL = {
+    "op2_line_dedup": OP2,
+    "op10_quality_rules": OP10,
+    "op11_phrase_collocations": OP11,
+    "op12_exact_dedup": OP12,
+}

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, decontaminate, license_scan, line_dedup, near_dedup, ppm, quality_rules, rule_ensemble, substring_dedup, suffix_dedup
+from headway.llm import (
+    bpe,
+    collocations,
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    ppm,
+    quality_rules,
+    rule_ensemble,
+    run_detection,
+    substring_dedup,
+    suffix_dedup,
+)
 from headway.session import materialize
 
 
@@ -88,6 +102,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality_rules.STATS, "base_failed", "kept")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.collocations(docs).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_dedup.exact_duplicates(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = run_detection.detect_runs(docs, lay_periods=True, texts=False)
+    return out.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {
     "op1_partial_matching": op1_partial_matching,
     "op2_line_dedup": op2_line_dedup,
@@ -99,4 +129,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_run_detection": op13_run_detection,
 }

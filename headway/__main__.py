@@ -20,6 +20,8 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--incidents", required=True, help="folder of yearly incident CSV files")
     f.add_argument("--weather", required=True, help="hourly weather document(s) for the period")
     f.add_argument("--forecast", required=True, help="7-day hourly forecast document")
+    f.add_argument("--cache", default=None, help="folder of the raw-row cache (only new and changed files are read)")
+    f.add_argument("--skip-unreadable", action="store_true", help="leave out files of other formats, with a warning")
     f.add_argument("--year", type=int, action="append", help="year(s) to read (default 2024)")
     x = sub.add_parser("fixtures", help="the driver's parquet tables")
     x.add_argument("--sf-dir", required=True)
@@ -36,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_spark(a.master)
     if a.mode == "files":
         _, seconds = run_files(spark, a.incidents, a.weather, a.forecast, a.out, years=tuple(a.year or [2024]),
-                               n_trees=a.trees, fmt=a.format)
+                               cache_dir=a.cache, skip_unreadable=a.skip_unreadable, n_trees=a.trees, fmt=a.format)
     else:
         _, seconds = run(spark, a.sf_dir, out_dir=a.out, n_trees=a.trees, fmt=a.format)
     print(json.dumps(seconds))

@@ -30,10 +30,15 @@ def pct(x) -> Column:
 # Texts read as numbers: optional sign, digits with an optional point or a
 # leading point, an optional exponent, or an infinity word; spaces around.
 PLAIN_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity)\s*$"
+INFINITY_WORD = r"^\s*[+-]?[iI]"
 
 
 def parse_number(text) -> Column:
-    """Text -> double, null unless the text is a plain number (no ``1d``-style suffixes)."""
+    """Text -> double, null unless the text is a plain number (no ``1d``-style suffixes).
+
+    A number too large for a double is no number; only an infinity word is infinite.
+    """
     t = _c(text).cast("string")
     v = t.try_cast("double")
-    return F.when(t.rlike(PLAIN_NUMBER), v)
+    finite = F.abs(v) < F.lit(float("inf"))
+    return F.when(t.rlike(PLAIN_NUMBER) & (finite | t.rlike(INFINITY_WORD)), v)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.functions.numeric import pct, r
-from headway.operators.quantiles import with_quantiles
+from headway.functions.numeric import r
+from headway.operators.cells import as_cells, delay_sum
+from headway.operators.quantiles import Quantile, ratio, reduced, summarise
 from headway.operators.tables import min_max_norm
 
 # Right-closed tier bins on the rounded score:
@@ -34,16 +35,17 @@ def route_risk_fallback(delays: DataFrame, sort: bool = True) -> DataFrame:
     return fallback_from_stats(fallback_stats(delays), sort)
 
 
-def fallback_stats(delays: DataFrame) -> DataFrame:
-    g = delays.groupBy("route").agg(
-        F.count("delay_min").alias("total_incidents"),
-        F.avg("delay_min").alias("mean_delay_min"),
-        pct("is_on_time").alias("on_time_pct"),
-        pct("is_significant").alias("significant_delay_pct"),
-        pct("is_severe").alias("severe_delay_pct"),
-        (F.sum("delay_min") / F.lit(60.0)).alias("total_delay_hrs"),
-    )
-    g = with_quantiles(g, delays, ["route"], "delay_min", {"median_delay_min": 0.5, "p95_delay_min": 0.95})
+def fallback_stats(delays: DataFrame, selection: bool = False) -> DataFrame:
+    flags = {"is_on_time": "on_time_pct", "is_significant": "significant_delay_pct", "is_severe": "severe_delay_pct"}
+    rows = reduced(as_cells(delays), ["route"], {"delay": delay_sum(), **{f: F.col(f) for f in flags}})
+    g = summarise(rows, ["route"], {
+        "total_incidents": F.sum("n"),
+        "mean_delay_min": ratio("delay"),
+        **{c: ratio(f) * F.lit(100.0) for f, c in flags.items()},
+        "total_delay_hrs": F.sum("delay") / F.lit(60.0),
+        "median_delay_min": Quantile(0.5),
+        "p95_delay_min": Quantile(0.95),
+    }, selection)
     return g.withColumns({"weather_sensitivity_precip": F.lit(0.0), "rush_hour_sensitivity": F.lit(0.0)})
 
 

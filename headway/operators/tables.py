@@ -1,9 +1,9 @@
 """The five reporting tables: route_daily, route_hourly, weather_impact,
 network_summary, route_risk_scores (plus the sensitivity slice of the last).
 
-All are partial (map-side) + final hash aggregations on their group keys over
-the fact table; exact quantiles come from (group, value) counts
-(:mod:`headway.operators.quantiles`); windows and normalisation run only on the
+All are partial (map-side) + final hash aggregations on their group keys over the
+fact table or, in a run, over its stored cells (:mod:`headway.operators.cells`); exact quantiles come from
+(group, value) counts (:mod:`headway.operators.quantiles`); windows and normalisation run only on the
 reduced tables.
 """
 
@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions import calendar as cal
-from headway.functions.numeric import pct, r
-from headway.operators.quantiles import quantile, ratio, reduced
+from headway.functions.numeric import r
+from headway.operators.cells import as_cells, delay_sum, times
+from headway.operators.quantiles import Quantile, ratio, reduced, summarise
 
 # Incident categories counted per route-day.
 COUNTED_CATEGORIES = ["Mechanical", "Traffic", "Passenger", "Operator"]
@@ -40,21 +41,16 @@ RISK_TIER_OTHER = "Low"
 MIN_ROUTE_INCIDENTS = 10
 
 
-def _count() -> Column:
-    return F.count(F.lit(1))
-
-
 FLAGS = ["is_on_time", "is_significant", "is_severe"]
 
 
 def _sums(weather: list[str] = (), split: list[str] = ()) -> dict[str, Column]:
     """Sums every table needs: delay and flags, weather columns, and delay by 0/1 flag of ``split``."""
-    delay = F.col("delay_min")
-    out = {"delay": delay, **{f: F.col(f) for f in FLAGS}, **{w: F.col(w) for w in weather}}
+    out = {"delay": delay_sum(), **{f: F.col(f) for f in FLAGS}, **{w: F.col(w) for w in weather}}
     for f in split:
         for on in (0, 1):
-            out[f"{f}_{on}_n"] = (F.col(f) == on).cast("int")
-            out[f"{f}_{on}_delay"] = F.when(F.col(f) == on, delay)
+            out[f"{f}_{on}_n"] = times(F.col(f) == on)
+            out[f"{f}_{on}_delay"] = F.when(F.col(f) == on, delay_sum())
     return out
 
 
@@ -82,40 +78,40 @@ def risk_tier(score: Column) -> Column:
     return expr.otherwise(F.lit(RISK_TIER_OTHER))
 
 
-def route_daily(delays: DataFrame, sort: bool = True) -> DataFrame:
+def route_daily(delays: DataFrame, sort: bool = True, selection: bool = False) -> DataFrame:
     """One row per (route, date): counts, delay statistics, weather, categories,
     7-row rolling means per route and the daily reliability rank."""
-    d = delays.withColumn("date", F.col("date").cast("date"))
-    categories = {f"{c.lower()}_incidents": (F.col("incident_category") == c).cast("int") for c in COUNTED_CATEGORIES}
+    d = as_cells(delays).withColumn("date", F.col("date").cast("date"))
+    categories = {f"{c.lower()}_incidents": times(F.col("incident_category") == c) for c in COUNTED_CATEGORIES}
     maxima = ["is_weekend", "weather_severity", "is_precipitation", "is_snow", "is_extreme_cold"]
     rows = reduced(
-        d, ["route", "date"], "delay_min",
-        {**_sums(["temp_c", "precip_mm", "snow_cm", "wind_kph"]), **{k: F.coalesce(c, F.lit(0)) for k, c in categories.items()}},
+        d, ["route", "date"],
+        {**_sums(["temp_c", "precip_mm", "snow_cm", "wind_kph"]), **categories},
         {c: F.col(c) for c in maxima},
     )
-    base = rows.groupBy("route", "date").agg(
-        F.max("is_weekend").alias("is_weekend"),
-        F.sum("n").alias("total_incidents"),
-        F.sum("is_significant").alias("significant_delays"),
-        F.sum("is_severe").alias("severe_delays"),
-        F.sum("is_on_time").alias("on_time_count"),
-        r(ratio("delay"), 2).alias("avg_delay_min"),
-        r(quantile(0.5), 2).alias("median_delay_min"),
-        r(F.max("value"), 1).alias("max_delay_min"),
-        r(quantile(0.95), 1).alias("p95_delay_min"),
-        r(F.sum("delay") / F.lit(60.0), 2).alias("total_delay_hrs"),
-        r(_share("is_on_time"), 2).alias("on_time_pct"),
-        r(_share("is_significant"), 2).alias("significant_delay_pct"),
-        r(ratio("temp_c"), 1).alias("avg_temp_c"),
-        r(F.sum("precip_mm"), 1).alias("total_precip_mm"),
-        r(F.sum("snow_cm"), 1).alias("total_snow_cm"),
-        r(ratio("wind_kph"), 1).alias("avg_wind_kph"),
-        F.max("weather_severity").alias("max_weather_severity"),
-        F.max("is_precipitation").alias("had_precipitation"),
-        F.max("is_snow").alias("had_snow"),
-        F.max("is_extreme_cold").alias("had_extreme_cold"),
-        *[F.sum(k).alias(k) for k in categories],
-    )
+    base = summarise(rows, ["route", "date"], {
+        "is_weekend": F.max("is_weekend"),
+        "total_incidents": F.sum("n"),
+        "significant_delays": F.sum("is_significant"),
+        "severe_delays": F.sum("is_severe"),
+        "on_time_count": F.sum("is_on_time"),
+        "avg_delay_min": r(ratio("delay"), 2),
+        "median_delay_min": Quantile(0.5, 2),
+        "max_delay_min": r(F.max("value"), 1),
+        "p95_delay_min": Quantile(0.95, 1),
+        "total_delay_hrs": r(F.sum("delay") / F.lit(60.0), 2),
+        "on_time_pct": r(_share("is_on_time"), 2),
+        "significant_delay_pct": r(_share("is_significant"), 2),
+        "avg_temp_c": r(ratio("temp_c"), 1),
+        "total_precip_mm": r(F.sum("precip_mm"), 1),
+        "total_snow_cm": r(F.sum("snow_cm"), 1),
+        "avg_wind_kph": r(ratio("wind_kph"), 1),
+        "max_weather_severity": F.max("weather_severity"),
+        "had_precipitation": F.max("is_precipitation"),
+        "had_snow": F.max("is_snow"),
+        "had_extreme_cold": F.max("is_extreme_cold"),
+        **{k: F.sum(k) for k in categories},
+    }, selection)
     labelled = base.withColumns(
         {
             "year_month": cal.year_month("date"),
@@ -135,43 +131,43 @@ def route_daily(delays: DataFrame, sort: bool = True) -> DataFrame:
     return out.orderBy("route", "date") if sort else out
 
 
-def route_hourly(delays: DataFrame, sort: bool = True) -> DataFrame:
+def route_hourly(delays: DataFrame, sort: bool = True, selection: bool = False) -> DataFrame:
     """One row per (route, hour, time_period, is_rush_hour)."""
     keys = ["route", "hour", "time_period", "is_rush_hour"]
-    rows = reduced(delays, keys, "delay_min", _sums(["precip_mm"], ["is_precipitation"]))
-    out = rows.groupBy(*keys).agg(
-        F.sum("n").alias("total_incidents"),
-        r(ratio("delay"), 2).alias("avg_delay_min"),
-        r(quantile(0.5), 2).alias("median_delay_min"),
-        r(_share("is_on_time"), 2).alias("on_time_pct"),
-        r(_share("is_significant"), 2).alias("significant_delay_pct"),
-        r(F.sum("delay") / F.lit(60.0), 2).alias("total_delay_hrs"),
-        r(ratio("precip_mm"), 2).alias("avg_precip_mm"),
-        r(_cond_avg("is_precipitation", 1), 2).alias("avg_delay_wet"),
-        r(_cond_avg("is_precipitation", 0), 2).alias("avg_delay_dry"),
-    )
+    rows = reduced(as_cells(delays), keys, _sums(["precip_mm"], ["is_precipitation"]))
+    out = summarise(rows, keys, {
+        "total_incidents": F.sum("n"),
+        "avg_delay_min": r(ratio("delay"), 2),
+        "median_delay_min": Quantile(0.5, 2),
+        "on_time_pct": r(_share("is_on_time"), 2),
+        "significant_delay_pct": r(_share("is_significant"), 2),
+        "total_delay_hrs": r(F.sum("delay") / F.lit(60.0), 2),
+        "avg_precip_mm": r(ratio("precip_mm"), 2),
+        "avg_delay_wet": r(_cond_avg("is_precipitation", 1), 2),
+        "avg_delay_dry": r(_cond_avg("is_precipitation", 0), 2),
+    }, selection)
     return out.orderBy("route", "hour") if sort else out
 
 
-def weather_impact(delays: DataFrame, sort: bool = True) -> DataFrame:
+def weather_impact(delays: DataFrame, sort: bool = True, selection: bool = False) -> DataFrame:
     """Delay statistics by (weather_condition, severity_bucket), matched weather only."""
-    base = delays.filter(
+    base = as_cells(delays).filter(
         F.col("weather_condition").isNotNull() & (F.col("weather_condition") != F.lit("Unknown"))
     ).withColumn("severity_bucket", severity_bucket())
     keys = ["weather_condition", "severity_bucket"]
-    rows = reduced(base, keys, "delay_min", _sums(["temp_c", "precip_mm", "snow_cm"]))
-    out = rows.groupBy(*keys).agg(
-        F.sum("n").alias("total_incidents"),
-        r(ratio("delay"), 2).alias("avg_delay_min"),
-        r(quantile(0.5), 2).alias("median_delay_min"),
-        r(quantile(0.95), 1).alias("p95_delay_min"),
-        r(_share("is_on_time"), 2).alias("on_time_pct"),
-        r(_share("is_significant"), 2).alias("significant_delay_pct"),
-        r(_share("is_severe"), 2).alias("severe_delay_pct"),
-        r(ratio("temp_c"), 1).alias("avg_temp_c"),
-        r(ratio("precip_mm"), 2).alias("avg_precip_mm"),
-        r(ratio("snow_cm"), 2).alias("avg_snow_cm"),
-    )
+    rows = reduced(base, keys, _sums(["temp_c", "precip_mm", "snow_cm"]))
+    out = summarise(rows, keys, {
+        "total_incidents": F.sum("n"),
+        "avg_delay_min": r(ratio("delay"), 2),
+        "median_delay_min": Quantile(0.5, 2),
+        "p95_delay_min": Quantile(0.95, 1),
+        "on_time_pct": r(_share("is_on_time"), 2),
+        "significant_delay_pct": r(_share("is_significant"), 2),
+        "severe_delay_pct": r(_share("is_severe"), 2),
+        "avg_temp_c": r(ratio("temp_c"), 1),
+        "avg_precip_mm": r(ratio("precip_mm"), 2),
+        "avg_snow_cm": r(ratio("snow_cm"), 2),
+    }, selection)
     return out.orderBy(F.col("avg_delay_min").desc()) if sort else out
 
 
@@ -181,15 +177,16 @@ def network_summary(delays: DataFrame, sort: bool = True) -> DataFrame:
     The rolling window has no partition key: it runs on the one-row-per-day
     table (bounded by the calendar: 366 rows a year), never on incidents.
     """
-    base = delays.groupBy(F.col("date").cast("date").alias("date")).agg(
+    d = as_cells(delays).withColumn("delay", delay_sum())
+    base = d.groupBy(F.col("date").cast("date").alias("date")).agg(
         F.max("is_weekend").alias("is_weekend"),
-        _count().alias("total_incidents"),
+        F.sum("n").alias("total_incidents"),
         F.countDistinct("route").alias("routes_affected"),
-        r(F.avg("delay_min"), 2).alias("avg_delay_min"),
-        r(pct("is_on_time"), 2).alias("network_on_time_pct"),
-        r(pct("is_significant"), 2).alias("network_significant_pct"),
-        r(F.sum("delay_min") / F.lit(60.0), 1).alias("total_delay_hrs"),
-        r(F.avg("temp_c"), 1).alias("avg_temp_c"),
+        r(ratio("delay"), 2).alias("avg_delay_min"),
+        r(_share("is_on_time"), 2).alias("network_on_time_pct"),
+        r(_share("is_significant"), 2).alias("network_significant_pct"),
+        r(F.sum("delay") / F.lit(60.0), 1).alias("total_delay_hrs"),
+        r(ratio("temp_c"), 1).alias("avg_temp_c"),
         r(F.sum("precip_mm"), 1).alias("total_precip_mm"),
         F.max("weather_severity").alias("max_weather_severity"),
         F.max("is_snow").alias("had_snow"),
@@ -210,22 +207,22 @@ def _sensitivity(flag: str) -> Column:
     return r(_cond_avg(flag, 1) - _cond_avg(flag, 0), 2)
 
 
-def route_stats(delays: DataFrame, min_incidents: int = MIN_ROUTE_INCIDENTS) -> DataFrame:
+def route_stats(delays: DataFrame, min_incidents: int = MIN_ROUTE_INCIDENTS, selection: bool = False) -> DataFrame:
     """Per-route statistics and sensitivities for routes with at least ``min_incidents`` rows."""
-    rows = reduced(delays, ["route"], "delay_min", _sums(split=["is_precipitation", "is_snow", "is_rush_hour"]))
-    stats = rows.groupBy("route").agg(
-        F.sum("n").alias("total_incidents"),
-        r(ratio("delay"), 2).alias("mean_delay_min"),
-        r(quantile(0.5), 2).alias("median_delay_min"),
-        r(quantile(0.95), 1).alias("p95_delay_min"),
-        r(_share("is_on_time"), 2).alias("on_time_pct"),
-        r(_share("is_significant"), 2).alias("significant_delay_pct"),
-        r(_share("is_severe"), 2).alias("severe_delay_pct"),
-        r(F.sum("delay") / F.lit(60.0), 1).alias("total_delay_hrs"),
-        _sensitivity("is_precipitation").alias("weather_sensitivity_precip"),
-        _sensitivity("is_snow").alias("weather_sensitivity_snow"),
-        _sensitivity("is_rush_hour").alias("rush_hour_sensitivity"),
-    )
+    rows = reduced(as_cells(delays), ["route"], _sums(split=["is_precipitation", "is_snow", "is_rush_hour"]))
+    stats = summarise(rows, ["route"], {
+        "total_incidents": F.sum("n"),
+        "mean_delay_min": r(ratio("delay"), 2),
+        "median_delay_min": Quantile(0.5, 2),
+        "p95_delay_min": Quantile(0.95, 1),
+        "on_time_pct": r(_share("is_on_time"), 2),
+        "significant_delay_pct": r(_share("is_significant"), 2),
+        "severe_delay_pct": r(_share("is_severe"), 2),
+        "total_delay_hrs": r(F.sum("delay") / F.lit(60.0), 1),
+        "weather_sensitivity_precip": _sensitivity("is_precipitation"),
+        "weather_sensitivity_snow": _sensitivity("is_snow"),
+        "rush_hour_sensitivity": _sensitivity("is_rush_hour"),
+    }, selection)
     return stats.filter(F.col("total_incidents") >= F.lit(min_incidents))
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.calendar import time_period
+from headway.operators.cells import FIRST, as_cells, delay_sum, is_cells
 from headway.operators.ordinal import exact_quantile
-from headway.operators.quantiles import grouped_quantiles
+from headway.operators.quantiles import grouped_quantiles, ratio
 
 # The model's feature vector, in order.
 FEATURES = [
@@ -34,35 +35,36 @@ ROUTE_QUANTILE = 0.60
 MAX_ON_TIME_SHARE = 0.70
 
 
-def route_p60(delays: DataFrame, q: float = ROUTE_QUANTILE) -> DataFrame:
+def route_p60(delays: DataFrame, q: float = ROUTE_QUANTILE, selection: bool = False) -> DataFrame:
     """Per-route quantile of delay_min with linear interpolation (exact)."""
-    return grouped_quantiles(delays, ["route"], "delay_min", {"route_p60_delay": q})
+    return grouped_quantiles(as_cells(delays), ["route"], {"route_p60_delay": q}, selection)
 
 
 def window_aggregates(delays: DataFrame, ordinal: str = "event_id", min_incidents: int = MIN_WINDOW_INCIDENTS) -> DataFrame:
-    """Aggregate incidents to (route, date, 2-hour bucket).
+    """Aggregate incidents (or cells) to (route, date, 2-hour bucket).
 
     "First" values follow the input order given by ``ordinal`` (nulls skipped),
     via ``min_by`` so the result does not depend on partitioning.  Weather is
     summed per incident row, as the published model does.
     """
-    df = delays.withColumn("hour_bucket", (F.floor(F.col("hour") / 2) * 2).cast("int"))
+    ordinal = FIRST if is_cells(delays) else ordinal
+    df = as_cells(delays).withColumns({"hour_bucket": (F.floor(F.col("hour") / 2) * 2).cast("int"), "delay": delay_sum()})
 
     def first(c):
         return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ordinal)))
 
     agg = df.groupBy("route", "date", "hour_bucket").agg(
-        F.count("delay_min").alias("incidents"),
-        F.avg("delay_min").alias("avg_delay"),
-        F.avg("is_on_time").alias("on_time_pct"),
+        F.sum("n").alias("incidents"),
+        ratio("delay").alias("avg_delay"),
+        ratio("is_on_time").alias("on_time_pct"),
         first("is_weekend").alias("is_weekend"),
         first("day_of_week").alias("day_of_week"),
         first("month").alias("month"),
         F.max("is_rush_hour").alias("is_rush_hour"),
-        F.avg("temp_c").alias("temp_c"),
+        ratio("temp_c").alias("temp_c"),
         F.sum("precip_mm").alias("precip_mm"),
         F.sum("snow_cm").alias("snow_cm"),
-        F.avg("wind_kph").alias("wind_kph"),
+        ratio("wind_kph").alias("wind_kph"),
         F.max("weather_severity").alias("weather_severity"),
         F.max("is_precipitation").alias("is_precipitation"),
         F.max("is_snow").alias("is_snow"),

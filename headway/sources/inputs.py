@@ -43,7 +43,7 @@ class FixtureInputs:
 class FileInputs:
     """Incident CSV files under ``incidents_dir`` for ``years``, weather and forecast JSON documents.
 
-    ``cache_dir``: keep the raw rows there as Parquet, one folder for each set of years.
+    ``cache_dir``: keep the raw rows there as Parquet; only new and changed files are read again.
 
     The input order needed for "first" values is (file, block offset, row within
     the block), taken from the scan's file metadata when the files are read.

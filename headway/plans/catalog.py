@@ -150,19 +150,19 @@ def q_weather_match_rate(spark, sf_dir):
 
 # ---------------------------------------------------------------- the five tables
 def q_route_daily(spark, sf_dir):
-    return tables.route_daily(delays(spark, sf_dir))
+    return tables.route_daily(stages(spark, sf_dir).cells)
 
 
 def q_route_hourly(spark, sf_dir):
-    return tables.route_hourly(delays(spark, sf_dir))
+    return tables.route_hourly(stages(spark, sf_dir).cells)
 
 
 def q_weather_impact(spark, sf_dir):
-    return tables.weather_impact(delays(spark, sf_dir))
+    return tables.weather_impact(stages(spark, sf_dir).cells)
 
 
 def q_network_summary(spark, sf_dir):
-    return tables.network_summary(delays(spark, sf_dir))
+    return tables.network_summary(stages(spark, sf_dir).cells)
 
 
 def q_route_risk_scores(spark, sf_dir):
@@ -170,7 +170,7 @@ def q_route_risk_scores(spark, sf_dir):
 
 
 def q_route_sensitivity(spark, sf_dir):
-    return tables.route_sensitivity(delays(spark, sf_dir))
+    return tables.route_sensitivity(stages(spark, sf_dir).cells)
 
 
 def q_route_risk_fallback(spark, sf_dir):

@@ -24,8 +24,6 @@ from headway.plans.model import (
     feature_importance,
     fit_all,
     fit_calibrated_trees,
-    FIT_PARTITIONS,
-    for_fitting,
     load_models,
     prepared,
     save_models,
@@ -112,7 +110,7 @@ def run(
     parallelism: int = 8,
     inputs=None,
     release: bool | None = None,
-    fit_partitions: int = FIT_PARTITIONS,
+    fit_partitions: int | None = None,
     size_conf: bool = True,
 ) -> tuple[dict[str, DataFrame], dict[str, float]]:
     """The full run over the fixture tables in ``sf_dir``, or over ``inputs``
@@ -156,17 +154,16 @@ def run(
         rr = st.route_risk
         # wave 2: the training-data chain (windows -> features -> training frame), then the grid
         rows, scaler = prepared(st.features)
-        stored = st._m(for_fitting(rows, fit_partitions), "train")
-        train = for_fitting(stored, fit_partitions).persist()
+        train = st._m(rows, "train")
         emit("route_risk_scores_base", rr)
         grid = st.grid
     params = TreeParams(n_trees=n_trees)
     with t("model_fit"):
         if with_cv_metrics:
-            fitted = fit_all(train, params, LinearParams())
+            fitted = fit_all(train, params, LinearParams(), partitions=fit_partitions)
             model = fitted.calibrated
         else:
-            model = fit_calibrated_trees(train, params, parallelism=parallelism)
+            model = fit_calibrated_trees(train, params, partitions=fit_partitions)
     if with_cv_metrics and out_dir:
         with t("save_and_load_models"):
             fitted.oof = st._m(fitted.oof, "oof")
@@ -207,7 +204,6 @@ def run(
     if out_dir:
         with t("table_report"):
             emit("table_report", table_report(spark, out_dir, {k: v for k, v in out.items() if k != "table_report"}, fmt))
-    train.unpersist()
     if release is None:
         release = bool(out_dir)
     if release:
@@ -223,11 +219,16 @@ def run_files(
     forecast_path: str,
     out_dir: str,
     years: tuple[int, ...] = (2024,),
+    cache_dir: str | None = None,
+    skip_unreadable: bool = False,
     **kw,
 ) -> tuple[dict[str, DataFrame], dict[str, float]]:
     """The published run from its own inputs: yearly incident CSV files, hourly
-    weather documents for the year and a 7-day forecast document."""
+    weather documents for the year and a 7-day forecast document.
+
+    With ``cache_dir`` raw rows are served from a Parquet cache there, and only files that are new or have
+    changed since the last run are read."""
     from headway.sources.inputs import FileInputs
 
-    inputs = FileInputs(spark, incidents_dir, weather_path, forecast_path, tuple(years))
+    inputs = FileInputs(spark, incidents_dir, weather_path, forecast_path, tuple(years), cache_dir, skip_unreadable)
     return run(spark, None, out_dir=out_dir, inputs=inputs, **kw)

@@ -1,17 +1,17 @@
-"""Degradation classifiers on Spark ML.
+"""Degradation classifiers.
 
-* boosted trees (200 trees, step 0.06, depth 4, subsample 0.8, min leaf 20, seed 42);
+* boosted trees (200 trees, step 0.06, depth 4, subsample 0.8, min leaf 20, seed 42), all nine fits grown
+  together (:mod:`headway.plans.boosting`);
 * isotonic calibration, 3 folds: each fold's trees are fitted on the other two
-  folds and an isotonic map (tree margin -> probability) on the held-out fold;
-  the calibrated probability is the mean over the three;
+  folds and an isotonic map (tree margin -> probability) on the held-out fold
+  (:mod:`headway.plans.isotonic`); the calibrated probability is the mean over the three;
 * logistic regression on population-standardised features with L2 strength
-  C = 0.5 (``regParam = 1 / (C * n)``), Platt-calibrated the same 3-fold way;
+  C = 0.5 (``regParam = 1 / (C * n)``), Platt-calibrated the same 3-fold way (Spark ML);
 * 5-fold stratified out-of-fold tree probabilities;
 * feature importances of one tree model fitted on everything.
 
-Training rows are the two-hour windows (one row per route x day x bucket);
-fits are distributed by Spark ML, scoring is a JVM-side projection.  (Spark's isotonic
-regression pools within partitions and finishes over the pooled blocks on the driver.)
+Training rows are the two-hour windows (one row per route x day x bucket).  Trees and calibration do not depend
+on how the rows are partitioned; scoring is one Arrow-batched pass for all models of a step.
 """
 
 from __future__ import annotations
@@ -19,26 +19,25 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, StandardScalerModel, VectorAssembler
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.metrics import stratified_fold_columns
 from headway.operators.windows import FEATURES
+from headway.plans import boosting
+from headway.plans.boosting import Fit, TreeTable
+from headway.plans.isotonic import Steps, fit_isotonic, steps_of, steps_rows
+from headway.session import materialize
 
 KEY = ["route", "date", "hour_bucket"]
 LABEL = "degraded"
 
-# Partitions of the stored training rows.  A fixed parameter: the trees' row samples
-# depend on it, so it never follows the row count.  Set it to about the number of
-# training windows / 50,000 where there are more than 100,000.
-FIT_PARTITIONS = 2
-
-
 @dataclass
 class TreeParams:
     n_trees: int = 200
@@ -49,17 +48,9 @@ class TreeParams:
     seed: int = 42
     max_bins: int = 32
 
-    def estimator(self, features_col: str = "features") -> GBTClassifier:
-        return GBTClassifier(
-            featuresCol=features_col,
-            labelCol="label",
-            maxIter=self.n_trees,
-            stepSize=self.step,
-            maxDepth=self.depth,
-            subsamplingRate=self.subsample,
-            minInstancesPerNode=self.min_leaf,
-            seed=self.seed,
-            maxBins=self.max_bins,
+    def fit(self, train: DataFrame, fits: list[Fit], partitions: int | None = None) -> list[TreeTable]:
+        return boosting.fit_trees(
+            train, KEY, fits, self.n_trees, self.step, self.depth, self.subsample, self.min_leaf, self.seed, self.max_bins, partitions=partitions
         )
 
 
@@ -131,19 +122,42 @@ def positive_probability(col: str = "probability") -> F.Column:
     return vector_to_array(F.col(col)).getItem(1)
 
 
+@dataclass
+class BoostedTrees:
+    """One fitted tree model."""
+
+    table: TreeTable
+
+    def predict(self, df: DataFrame, out: str = "prob") -> DataFrame:
+        m = boosting.margins([self.table], vector_to_array("features"))
+        return df.withColumn(out, logistic(m.getItem(0)))
+
+    @property
+    def featureImportances(self):
+        return Vectors.dense(self.table.importances(len(FEATURES)).tolist())
+
+
+def logistic(margin: F.Column) -> F.Column:
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+
+
 @dataclass
 class CalibratedTrees:
-    members: list = field(default_factory=list)  # (GBTClassificationModel, IsotonicRegressionModel)
+    """Mean over the folds of the isotonic map of each fold's tree margin."""
+
+    members: list = field(default_factory=list)  # (TreeTable, Steps)
 
     def predict(self, df: DataFrame, out: str = "prob") -> DataFrame:
-        cols = []
-        for i, (trees, iso) in enumerate(self.members):
-            m = trees.transform(df).withColumn(f"_m{i}", raw_margin()).drop("rawPrediction", "probability", "prediction")
-            m = iso.setFeaturesCol(f"_m{i}").setPredictionCol(f"_p{i}").transform(m)
-            df = m
-            cols.append(F.col(f"_p{i}"))
-        mean = sum(cols[1:], cols[0]) / F.lit(float(len(cols)))
-        return df.withColumn(out, mean).drop(*[f"_m{i}" for i in range(len(cols))], *[f"_p{i}" for i in range(len(cols))])
+        members = self.members
+
+        @F.pandas_udf("double")
+        def score(xs: pd.Series) -> pd.Series:
+            if not len(xs):
+                return pd.Series([], dtype=float)
+            x = np.stack(xs.to_numpy())
+            return pd.Series(sum(steps.at(trees.margin(x)) for trees, steps in members) / len(members))
+
+        return df.withColumn(out, score(vector_to_array("features")))
 
 
 @dataclass
@@ -173,16 +187,6 @@ def _parallel(tasks: list, parallelism: int) -> list:
         return [f.result() for f in futures]
 
 
-def _tree_member(train: DataFrame, params: TreeParams, f: int):
-    def fit():
-        trees = params.estimator().fit(train.filter(F.col("cal_fold") != f))
-        scored = trees.transform(train.filter(F.col("cal_fold") == f)).select(raw_margin().alias("margin"), "label")
-        iso = IsotonicRegression(featuresCol="margin", labelCol="label", isotonic=True).fit(scored)
-        return trees, iso
-
-    return fit
-
-
 def _linear_member(train: DataFrame, params: LinearParams, f: int):
     def fit():
         fit_part = train.filter(F.col("cal_fold") != f)
@@ -199,33 +203,49 @@ def _linear_member(train: DataFrame, params: LinearParams, f: int):
     return fit
 
 
-def _oof_member(train: DataFrame, params: TreeParams, f: int):
-    def fit():
-        trees = params.estimator().fit(train.filter(F.col("oof_fold") != f))
-        held = trees.transform(train.filter(F.col("oof_fold") == f))
-        return held.select(*KEY, "label", "oof_fold", positive_probability().alias("oof_prob"))
+def calibration_fits(folds: int = 3) -> list[Fit]:
+    return [Fit(f"calibrated-{f}", "cal_fold", f) for f in range(folds)]
 
-    return fit
 
+def out_of_fold_fits(folds: int = 5) -> list[Fit]:
+    return [Fit(f"out-of-fold-{f}", "oof_fold", f) for f in range(folds)]
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
 
+ON_EVERYTHING = Fit("raw")
 
-def fit_calibrated_trees(train: DataFrame, params: TreeParams, folds: int = 3, parallelism: int = 3) -> CalibratedTrees:
-    return CalibratedTrees(_parallel([_tree_member(train, params, f) for f in range(folds)], parallelism))
 
+@dataclass
+class FittedTrees:
+    calibrated: CalibratedTrees
+    oof: DataFrame | None
+    raw: BoostedTrees | None
 
-def fit_calibrated_linear(train: DataFrame, params: LinearParams, folds: int = 3, parallelism: int = 3) -> CalibratedLinear:
-    return CalibratedLinear(_parallel([_linear_member(train, params, f) for f in range(folds)], parallelism))
 
+def fit_all_trees(train: DataFrame, params: TreeParams, calib_folds: int = 3, oof_folds: int = 5, partitions: int | None = None) -> FittedTrees:
+    """Calibrated trees, out-of-fold probabilities and (with out-of-fold fits) the trees on everything, in one pass.
+
+    One scoring pass gives every row the margins of the models that did not see it."""
+    fits = calibration_fits(calib_folds) + out_of_fold_fits(oof_folds) + ([ON_EVERYTHING] if oof_folds else [])
+    tables = params.fit(train, fits, partitions)
+    held = tables[: calib_folds + oof_folds]
+    folds = ["cal_fold"] + (["oof_fold"] if oof_folds else [])
+    m = boosting.margins(held, vector_to_array("features"))
+    scored = materialize(train.select(*KEY, "label", *folds, m.alias("m")), "held-out-margins")
+    own = scored.select(F.col("cal_fold").alias("fold"), F.get("m", F.col("cal_fold")).alias("margin"), "label")
+    steps = fit_isotonic(own, list(range(calib_folds)))
+    calibrated = CalibratedTrees([(tables[f], steps[f]) for f in range(calib_folds)])
+    if not oof_folds:
+        return FittedTrees(calibrated, None, None)
+    prob = logistic(F.get("m", F.col("oof_fold") + calib_folds))
+    return FittedTrees(calibrated, scored.select(*KEY, "label", "oof_fold", prob.alias("oof_prob")), BoostedTrees(tables[-1]))
 
-def out_of_fold(train: DataFrame, params: TreeParams, folds: int = 5, parallelism: int = 5) -> DataFrame:
-    """Tree probabilities for each window from the model that did not see its fold."""
-    return _union(_parallel([_oof_member(train, params, f) for f in range(folds)], parallelism))
+
+def fit_calibrated_trees(train: DataFrame, params: TreeParams, folds: int = 3, partitions: int | None = None) -> CalibratedTrees:
+    return fit_all_trees(train, params, folds, 0, partitions).calibrated
+
+
+def fit_calibrated_linear(train: DataFrame, params: LinearParams, folds: int = 3, parallelism: int = 3) -> CalibratedLinear:
+    return CalibratedLinear(_parallel([_linear_member(train, params, f) for f in range(folds)], parallelism))
 
 
 @dataclass
@@ -233,37 +253,17 @@ class FittedModels:
     calibrated: CalibratedTrees
     linear: CalibratedLinear
     oof: DataFrame
-    raw: object
+    raw: BoostedTrees
 
 
 def fit_all(train: DataFrame, params: TreeParams, linear: LinearParams | None = None,
-            parallelism: int | None = None, calib_folds: int = 3, oof_folds: int = 5) -> FittedModels:
-    """All fits of the published model stage, scheduled together:
-    calibrated trees (3), calibrated linear (3), out-of-fold trees (5), full trees (1).
-
-    Fits on a small training table are bound by job latency, not cores, so by
-    default all of them are in flight at once (``parallelism=None``)."""
-    linear = linear or LinearParams()
-    tasks = (
-        [_tree_member(train, params, f) for f in range(calib_folds)]
-        + [_linear_member(train, linear, f) for f in range(calib_folds)]
-        + [_oof_member(train, params, f) for f in range(oof_folds)]
-        + [lambda: params.estimator().fit(train)]
-    )
-    res = _parallel(tasks, parallelism or len(tasks))
-    c = calib_folds
-    return FittedModels(
-        calibrated=CalibratedTrees(res[:c]),
-        linear=CalibratedLinear(res[c:2 * c]),
-        oof=_union(res[2 * c:2 * c + oof_folds]),
-        raw=res[-1],
-    )
-
-
-def for_fitting(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Rows dealt by the window key into ``partitions`` and sorted in each, so that a fit
-    depends on the rows and this number only, not on how the table's files lie."""
-    return df.repartition(partitions, *KEY).sortWithinPartitions(*KEY)
+            parallelism: int | None = None, calib_folds: int = 3, oof_folds: int = 5, partitions: int | None = None) -> FittedModels:
+    """All fits of the published model stage: calibrated trees (3), out-of-fold trees (5) and full trees (1) in
+    one pass, the calibrated linear fits (3) beside it."""
+    tasks = [lambda: fit_all_trees(train, params, calib_folds, oof_folds, partitions)]
+    tasks += [_linear_member(train, linear or LinearParams(), f) for f in range(calib_folds)]
+    trees, *members = _parallel(tasks, parallelism or len(tasks))
+    return FittedModels(trees.calibrated, CalibratedLinear(members), trees.oof, trees.raw)
 
 
 def feature_importance(spark: SparkSession, trees) -> DataFrame:
@@ -303,42 +303,43 @@ def worst_case_scores(route_risk: DataFrame, route_encoder: DataFrame, period_en
 
 
 def save_models(fitted: "FittedModels", path: str, encoders: dict[str, DataFrame], scaler: Standardiser) -> None:
-    """Persist the calibrated trees, the calibrated linear model, the full tree model, the
-    standardiser and the encoder tables under ``path`` (Spark ML writers, Parquet tables)."""
-    for i, (trees, iso) in enumerate(fitted.calibrated.members):
-        trees.write().overwrite().save(f"{path}/calibrated/{i}/trees")
-        iso.write().overwrite().save(f"{path}/calibrated/{i}/isotonic")
-    for i, (lin, platt) in enumerate(fitted.linear.members):
-        lin.write().overwrite().save(f"{path}/linear/{i}/model")
-        platt.write().overwrite().save(f"{path}/linear/{i}/platt")
-    fitted.raw.write().overwrite().save(f"{path}/raw")
-    scaler.save(path)
+    """Persist the calibrated trees, the calibrated linear model, the full tree model, the standardiser and
+    the encoder tables under ``path`` (trees and isotonic steps as Parquet tables, the rest with Spark ML's
+    writers), side by side."""
+    spark = next(iter(encoders.values())).sparkSession
+    tables = {f"calibrated-{i}": t for i, (t, _) in enumerate(fitted.calibrated.members)}
+    jobs = [
+        lambda: boosting.tree_rows(spark, {**tables, "raw": fitted.raw.table}).write.mode("overwrite").parquet(f"{path}/trees"),
+        lambda: steps_rows(spark, [s for _, s in fitted.calibrated.members]).write.mode("overwrite").parquet(f"{path}/isotonic"),
+        lambda: scaler.save(path),
+    ]
+    for i, pair in enumerate(fitted.linear.members):
+        jobs += [lambda m=m, to=f"{path}/linear/{i}/{kind}": m.write().overwrite().save(to) for kind, m in zip(("model", "platt"), pair, strict=True)]
     for name, df in encoders.items():
-        df.write.mode("overwrite").parquet(f"{path}/encoders/{name}")
+        jobs.append(lambda df=df, to=f"{path}/encoders/{name}": df.write.mode("overwrite").parquet(to))
+    _parallel(jobs, len(jobs))
 
 
 @dataclass
 class SavedModels:
     calibrated: CalibratedTrees
     linear: CalibratedLinear
-    raw: object
+    raw: BoostedTrees
     scaler: Standardiser
     encoders: dict[str, DataFrame]
 
 
 def load_models(spark: SparkSession, path: str, folds: int = 3) -> SavedModels:
     """Inverse of :func:`save_models`; a part that is missing is an error."""
-    from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
-    from pyspark.ml.regression import IsotonicRegressionModel
-
-    trees = CalibratedTrees([
-        (GBTClassificationModel.load(f"{path}/calibrated/{i}/trees"),
-         IsotonicRegressionModel.load(f"{path}/calibrated/{i}/isotonic")) for i in range(folds)
-    ])
-    linear = CalibratedLinear([
-        (LogisticRegressionModel.load(f"{path}/linear/{i}/model"),
-         LogisticRegressionModel.load(f"{path}/linear/{i}/platt")) for i in range(folds)
-    ])
-    raw = GBTClassificationModel.load(f"{path}/raw")
-    enc = {name: spark.read.parquet(f"{path}/encoders/{name}") for name in ("route", "time_period")}
-    return SavedModels(trees, linear, raw, Standardiser.load(path), enc)
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    jobs = [
+        lambda: boosting.tables_of(spark.read.parquet(f"{path}/trees")),
+        lambda: steps_of(spark.read.parquet(f"{path}/isotonic")),
+        lambda: Standardiser.load(path),
+        lambda: {name: spark.read.parquet(f"{path}/encoders/{name}") for name in ("route", "time_period")},
+    ]
+    jobs += [lambda to=f"{path}/linear/{i}/{kind}": LogisticRegressionModel.load(to) for i in range(folds) for kind in ("model", "platt")]
+    trees, steps, scaler, encoders, *linear = _parallel(jobs, len(jobs))
+    calibrated = CalibratedTrees([(trees[f"calibrated-{i}"], steps[i]) for i in range(folds)])
+    return SavedModels(calibrated, CalibratedLinear(list(zip(linear[::2], linear[1::2], strict=True))), BoostedTrees(trees["raw"]), scaler, encoders)

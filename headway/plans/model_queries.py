@@ -11,14 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.forecast import forecast_summary, score_alerts
-from headway.plans.model import KEY, LABEL, assemble, feature_importance, positive_probability, worst_case_scores
+from headway.plans.model import KEY, LABEL, assemble, feature_importance, worst_case_scores
 from headway.plans.stages import model_stages, stages
 
 
 def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     ms = model_stages(spark, sf_dir)
-    out = ms.raw_trees.transform(ms.train)
-    return out.select(*KEY, LABEL, positive_probability().alias("gbt_prob"))
+    return ms.raw_trees.predict(ms.train, "gbt_prob").select(*KEY, LABEL, "gbt_prob")
 
 
 def q_gbt_calibrated(spark, sf_dir):

@@ -18,21 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import tables
+from headway.operators.cells import build_cells
 from headway.operators.delays import build_delays
 from headway.operators.enrich import enrich_weather
 from headway.operators.fallback import fallback_from_stats, fallback_stats
 from headway.operators.forecast import forecast_grid, forecast_summary, score_alerts
+from headway.operators.quantiles import many_values
 from headway.operators.windows import label_windows, route_p60, training_features, window_aggregates
-from headway.plans.model import (
-    FIT_PARTITIONS,
-    LinearParams,
-    TreeParams,
-    fit_calibrated_linear,
-    fit_calibrated_trees,
-    for_fitting,
-    out_of_fold,
-    training_frame,
-)
+from headway.plans.model import FittedTrees, LinearParams, TreeParams, fit_all_trees, fit_calibrated_linear, training_frame
 from headway.session import materialize, remove_path, run_folder
 from headway.sources.inputs import FixtureInputs
 
@@ -61,29 +54,39 @@ class Stages:
     def delays(self) -> DataFrame:
         return self._m(build_delays(self.inputs.incidents(), self.inputs.weather(), self.inputs.weather_keys), "delays")
 
+    @cached_property
+    def cells(self) -> DataFrame:
+        """The roll-up that every table reads: one scan of the fact table."""
+        return self._m(build_cells(self.delays, self.inputs.ordinal), "cells")
+
+    @cached_property
+    def selection(self) -> bool:
+        """Whether quantiles are searched for by rank: some group may have too many values to gather."""
+        return many_values(self.cells)
+
     @cached_property
     def weather(self) -> DataFrame:
         return self._m(enrich_weather(self.inputs.weather()), "weather")
 
     @cached_property
     def route_daily(self) -> DataFrame:
-        return self._m(tables.route_daily(self.delays, sort=False), "route_daily")
+        return self._m(tables.route_daily(self.cells, sort=False, selection=self.selection), "route_daily")
 
     @cached_property
     def route_hourly(self) -> DataFrame:
-        return self._m(tables.route_hourly(self.delays, sort=False), "route_hourly")
+        return self._m(tables.route_hourly(self.cells, sort=False, selection=self.selection), "route_hourly")
 
     @cached_property
     def weather_impact(self) -> DataFrame:
-        return self._m(tables.weather_impact(self.delays, sort=False), "weather_impact")
+        return self._m(tables.weather_impact(self.cells, sort=False, selection=self.selection), "weather_impact")
 
     @cached_property
     def network_summary(self) -> DataFrame:
-        return self._m(tables.network_summary(self.delays, sort=False), "network_summary")
+        return self._m(tables.network_summary(self.cells, sort=False), "network_summary")
 
     @cached_property
     def route_stats(self) -> DataFrame:
-        return self._m(tables.route_stats(self.delays), "route_stats")
+        return self._m(tables.route_stats(self.cells, selection=self.selection), "route_stats")
 
     @cached_property
     def route_risk(self) -> DataFrame:
@@ -98,17 +101,17 @@ class Stages:
 
     @cached_property
     def fallback_stats(self) -> DataFrame:
-        return self._m(fallback_stats(self.delays), "fallback_stats")
+        return self._m(fallback_stats(self.cells, selection=self.selection), "fallback_stats")
 
     @cached_property
     def window_aggregates(self) -> DataFrame:
-        return self._m(window_aggregates(self.delays, ordinal=self.inputs.ordinal), "window_aggregates")
+        return self._m(window_aggregates(self.cells), "window_aggregates")
 
     @cached_property
     def route_p60(self) -> DataFrame:
         """One row per route, stored: the window join then broadcasts it statically
         instead of shuffling the windows by route (a hot route would be one task)."""
-        return self._m(route_p60(self.delays), "route_p60")
+        return self._m(route_p60(self.cells, selection=self.selection), "route_p60")
 
     @cached_property
     def windows(self) -> DataFrame:
@@ -194,43 +197,36 @@ def release_all() -> None:
 
 # ---------------------------------------------------------------- models
 class ModelStages:
-    """The fits of the registered queries, each made when a query first needs it.
-
-    200 trees, as published; ``partitions`` is the fixed number of training partitions.
-    """
+    """The fits of the registered queries, each made when a query first needs it: the nine tree
+    fits (200 trees each, as published) in one pass, the linear ones in another."""
 
-    def __init__(self, st: Stages, n_trees: int = 200, partitions: int = FIT_PARTITIONS):
+    def __init__(self, st: Stages, n_trees: int = 200):
         self.st = st
         self.params = TreeParams(n_trees=n_trees)
-        self.partitions = partitions
 
     @cached_property
     def train(self) -> DataFrame:
-        t = training_frame(self.st.features)
-        return self.st._m(for_fitting(t, self.partitions), "train")
-
-    def _fit(self, fit):
-        rows = for_fitting(self.train, self.partitions).persist()
-        try:
-            return fit(rows, self.params)
-        finally:
-            rows.unpersist()
+        return self.st._m(training_frame(self.st.features), "train")
 
     @cached_property
-    def calibrated(self):
-        return self._fit(fit_calibrated_trees)
+    def trees(self) -> FittedTrees:
+        return fit_all_trees(self.train, self.params)
 
-    @cached_property
-    def linear(self):
-        return self._fit(lambda rows, _: fit_calibrated_linear(rows, LinearParams()))
+    @property
+    def calibrated(self):
+        return self.trees.calibrated
 
-    @cached_property
+    @property
     def raw_trees(self):
-        return self._fit(lambda rows, params: params.estimator().fit(rows))
+        return self.trees.raw
 
-    @cached_property
+    @property
     def oof(self) -> DataFrame:
-        return self._fit(lambda rows, params: self.st._m(out_of_fold(rows, params), "oof"))
+        return self.trees.oof
+
+    @cached_property
+    def linear(self):
+        return fit_calibrated_linear(self.train, LinearParams())
 
 
 def model_stages(spark: SparkSession, sf_dir: str) -> ModelStages:

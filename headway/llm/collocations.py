@@ -14,11 +14,12 @@ floor(1000 * a * n / (l * r)): a, l, r are the counts of the phrase and its part
 * Whether a longer phrase of the same count holds a phrase is known when it is counted: it must then always
   have the same word before or after it.  Counts carry the smallest and largest neighbour along.
 
-Words get ids from the stored table of frequent words, so keys are exact.  Texts are stored as chunks of one
-language, words as numbers of a dictionary of the chunk; a scan emits each different phrase of a chunk once,
-and Spark adds up, with partial sums before the shuffle: a phrase that holds a third of all places is one row a chunk.
-Prefixes that may grow, and parts to be counted, reach the scans as bit filters of fixed size (FILTER_BITS); a
-false positive is counted exactly like any other and then dropped, so results do not depend on the size.
+Frequent words get ids, so keys are exact.  Texts are stored as chunks of one language, words as numbers of
+a dictionary of the chunk; a scan emits each different phrase of a chunk once, and Spark adds up, with partial
+sums before the shuffle: a phrase that holds a third of all places is one row a chunk.
+Pairs that may be frequent (by a sketch that never counts too little), prefixes that may grow, and parts to be
+counted, reach the scans as bit filters of fixed size (FILTER_BITS); a false positive is counted exactly like any
+other and then dropped, so results do not depend on the size.
 """
 
 from __future__ import annotations
@@ -33,12 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from headway.llm.chunks import mix
+from headway.llm.chunks import buckets_of, mix
 from headway.session import materialize
 
 MIN_COUNT, TOP, LONGEST = 100, 2000, 5
 CHUNK_BYTES = 8 << 20
-FILTER_BITS = 1 << 23
+FILTER_BITS = 1 << 22
 BLOCK = 1 << 13
 #: Shares of the occurrences up to which the frontier is grown step by step, best bounds first; then what is left.
 SHARES = (0.6,)
@@ -94,16 +95,56 @@ def _chunks(docs: DataFrame, lang: str, text: str, chunk_bytes: int) -> DataFram
     return materialize(cols.mapInArrow(pack, CHUNK_SCHEMA), "phrase-chunks")
 
 
-def _coded(chunks: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(words: lang, id, word, f of frequent words; totals: lang, n; coded: chunk, lang, data, n_codes, codes, ids, fs)."""
+ANSWER_SCHEMA = "chunk long, lang string, codes array<int>, ids array<long>, fs array<long>, words array<string>"
+
+
+def _coded(chunks: DataFrame, min_count: int, buckets: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(words: lang, id, word, f of frequent words; totals: lang, n; coded: chunk, lang, data, n_codes, codes, ids, fs).
+
+    Each chunk sends its dictionary once, dealt to buckets by word; a bucket adds up the counts, gives frequent words
+    their ids and answers each chunk with what it knows of that chunk's words.
+    """
     totals = materialize(chunks.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase-totals")
-    entry = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "e")).select("chunk", "lang", "code", "e.words", "e.counts")
-    words = entry.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f")).where(F.col("f") >= min_count)
-    words = materialize(words.select("lang", F.monotonically_increasing_id().alias("id"), F.col("word").cast("string").alias("word"), "f"), "phrase-words")
-    known = words.select("lang", F.col("word").cast("binary").alias("words"), "id", "f")
-    own = entry.join(known, ["lang", "words"]).groupBy("chunk").agg(F.collect_list(F.struct("code", "id", "f")).alias("known"))
-    own = own.select("chunk", *[F.col("known").getField(c).alias(f"{c}s") for c in ("code", "id", "f")])
-    coded = chunks.select("chunk", "lang", "codes", F.size("words").alias("n_codes")).withColumnRenamed("codes", "data").join(own, "chunk")
+
+    def ask(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                words = np.array(batch.column("words")[r].as_py(), object)
+                counts = batch.column("counts")[r].values.to_numpy()
+                bucket = (pd.util.hash_array(words, categorize=False) % np.uint64(buckets)).astype(np.int64) if len(words) else np.zeros(0, np.int64)
+                order = np.argsort(bucket, kind="stable")
+                bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                own = np.flatnonzero(np.diff(bounds))
+                parts = [order[bounds[b] : bounds[b + 1]] for b in own]
+                cols = [[words[p].tolist() for p in parts], [counts[p].tolist() for p in parts], [p.tolist() for p in parts]]
+                head = [own.tolist(), [batch.column("chunk")[r].as_py()] * len(own), [batch.column("lang")[r].as_py()] * len(own)]
+                kinds = [pa.int32(), pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*head, *cols], kinds, strict=True)], names=["bucket", "chunk", "lang", "words", "counts", "codes"])
+
+    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        out, given = [], int(pdf["bucket"].iloc[0]) << 36
+        for lang, own in pdf.sort_values(["lang", "chunk"]).groupby("lang"):
+            size = own["words"].map(len).to_numpy()
+            code, words = pd.factorize(np.concatenate(own["words"].to_numpy()))
+            f = np.bincount(code, weights=np.concatenate(own["counts"].to_numpy()), minlength=len(words)).astype(np.int64)
+            often = np.flatnonzero(f >= min_count)
+            ids = np.full(len(words), NO_WORD, np.int64)
+            ids[often] = given + np.arange(len(often))
+            given += len(often)
+            out.append((None, lang, None, ids[often].tolist(), f[often].tolist(), [words[i].decode() for i in often]))
+            for chunk, codes, mine in zip(own["chunk"], own["codes"], np.split(code, np.cumsum(size)[:-1]), strict=True):
+                known = ids[mine] >= 0
+                if known.any():
+                    out.append((chunk, lang, codes[known].tolist(), ids[mine][known].tolist(), f[mine][known].tolist(), None))
+        return pd.DataFrame(out, columns=["chunk", "lang", "codes", "ids", "fs", "words"]).astype({"chunk": "Int64"})
+
+    asked = chunks.select("chunk", "lang", "words", "counts").mapInArrow(ask, "bucket int, chunk long, lang string, words array<binary>, counts array<long>, codes array<int>")
+    answers = materialize(asked.groupBy("bucket").applyInPandas(answer, ANSWER_SCHEMA), "phrase-answers")
+    words = answers.where(F.col("chunk").isNull()).select("lang", F.explode(F.arrays_zip("ids", "words", "fs")).alias("w"))
+    words = materialize(words.select("lang", F.col("w.ids").alias("id"), F.col("w.words").alias("word"), F.col("w.fs").alias("f")), "phrase-words")
+    own = answers.where(F.col("chunk").isNotNull()).groupBy("chunk").agg(F.collect_list(F.struct("codes", "ids", "fs")).alias("known"))
+    own = own.select("chunk", *[F.flatten(F.col("known").getField(c)).alias(c) for c in ("codes", "ids", "fs")])
+    coded = chunks.select("chunk", "lang", F.col("codes").alias("data"), F.size("words").alias("n_codes")).join(own, "chunk")
     return words, totals, materialize(coded, "phrase-coded")
 
 
@@ -144,39 +185,72 @@ def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
+def _word_ids(batch, r: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(ids, counts, n) of the n words of a chunk; ids has one NO_WORD before and LONGEST + 1 after."""
+    codes = np.frombuffer(zstandard.decompress(batch.column("data")[r].as_py()), np.int32)
+    size = batch.column("n_codes")[r].as_py()
+    at = batch.column("codes")[r].values.to_numpy()
+    ids, fs = np.full(size + 1, NO_WORD, np.int64), np.zeros(size + 1, np.int64)
+    ids[at], fs[at] = batch.column("ids")[r].values.to_numpy(), batch.column("fs")[r].values.to_numpy()
+    w = np.concatenate(([NO_WORD], ids[codes], np.full(LONGEST + 1, NO_WORD)))  # code -1 takes the last entry
+    return w, fs[codes], len(codes)
+
+
+def _pairs_filter(active: DataFrame, min_count: int, cells: int) -> np.ndarray:
+    """Bit filter of the pairs that may occur ``min_count`` times: one row of a count-min sketch, whose cells never
+    count less than any pair in them.  A task keeps one sketch of fixed size and sends it in blocks."""
+
+    def sketch(batches):
+        total = np.zeros(cells, np.int64)
+        for batch in batches:
+            for r in range(batch.num_rows):
+                w, f, n = _word_ids(batch, r)
+                lo, hi = batch.column("lo")[r].as_py(), batch.column("hi")[r].as_py()
+                at = np.flatnonzero((w[1 : n + 1] >= 0) & (w[2 : n + 2] >= 0) & (f > lo) & (f <= hi)) + 1
+                total += np.bincount(slots([w[at], w[at + 1]], cells), minlength=cells)
+        parts = np.minimum(total, (1 << 31) - 1).astype(np.int32).reshape(-1, 8 * BLOCK)
+        own = np.flatnonzero(parts.any(axis=1))
+        packed = [zstandard.compress(parts[b].view(np.uint8).reshape(-1, 4).T.tobytes(), 1) for b in own]
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(packed, pa.binary())], names=["b", "bits"])
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(8 * BLOCK, np.int64)
+        for blob in pdf["bits"]:
+            planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1)
+            total += np.ascontiguousarray(planes.T).view(np.int32).ravel()
+        return pd.DataFrame({"b": pdf["b"].iloc[:1], "bits": [np.packbits(total >= min_count).tobytes()]})
+
+    out = np.zeros(cells // 8, np.uint8)
+    for r in active.mapInArrow(sketch, "b int, bits binary").groupBy("b").applyInPandas(merge, "b int, bits binary").toLocalIterator():
+        out[r.b * BLOCK : r.b * BLOCK + BLOCK] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
 def _count(coded: DataFrame, m: int, min_count: int, bits: int, grown: np.ndarray | None, wanted: np.ndarray | None, name: str) -> DataFrame:
     """Stored (p, a, stays) of the frequent phrases of ``m`` words; stays: no longer phrase always holds it.
 
-    ``coded`` carries lo and hi: phrases whose first word has a count in (lo, hi] are counted where their
-    first m - 1 words are in ``grown`` (None: all); or, with ``wanted``, those in it whatever their first word.
+    ``coded`` carries lo and hi: phrases whose first word has a count in (lo, hi] are counted where their first
+    m - 1 words are in ``grown`` (m = 2: where the pair is); or, with ``wanted``, those in it whatever their first word.
     """
     spark = coded.sparkSession
     held = spark.sparkContext.broadcast((grown, wanted))
     names = [*[f"w{i}" for i in range(m)], "c", "l0", "l1", "r0", "r1"]
+    prefix = max(m - 1, 2)
 
     def scan(batches):
         grown, wanted = held.value
         for batch in batches:
             for r in range(batch.num_rows):
-                row = {c: batch.column(c)[r] for c in ("data", "n_codes", "codes", "ids", "fs", "lo", "hi")}
-                codes = np.frombuffer(zstandard.decompress(row["data"].as_py()), np.int32)
-                size, lo, hi = (row[c].as_py() for c in ("n_codes", "lo", "hi"))
-                at = row["codes"].values.to_numpy()
-                ids, fs = np.full(size + 1, NO_WORD, np.int64), np.zeros(size + 1, np.int64)
-                ids[at], fs[at] = row["ids"].values.to_numpy(), row["fs"].values.to_numpy()
-                w = np.concatenate(([NO_WORD], ids[codes], np.full(LONGEST + 1, NO_WORD)))  # code -1 takes the last entry
-                n = len(codes)
+                w, f, n = _word_ids(batch, r)
                 go = w[1 : n + 1] >= 0
                 if wanted is None:
-                    f = fs[codes]
-                    go &= (f > lo) & (f <= hi)
+                    go &= (f > batch.column("lo")[r].as_py()) & (f <= batch.column("hi")[r].as_py())
                 for i in range(1, m):
                     go &= w[1 + i : n + 1 + i] >= 0
                 at = np.flatnonzero(go) + 1
                 key = [w[at + i] for i in range(m)]
-                if wanted is not None or grown is not None:
-                    keep = _has(wanted, slots(key, bits)) if wanted is not None else _has(grown, slots(key[:-1], bits))
-                    at, key = at[keep], [k[keep] for k in key]
+                keep = _has(grown, slots(key[:prefix], 8 * len(grown))) if wanted is None else _has(wanted, slots(key, bits))
+                at, key = at[keep], [k[keep] for k in key]
                 if not len(at):
                     continue
                 order = np.lexsort(key[::-1])
@@ -259,7 +333,7 @@ def collocations(
     ``chunk_bytes`` and ``bits`` (a power of two, at least 2^16) should grow with the corpus; results do not depend on them.
     """
     bits = max(bits, 8 * BLOCK)
-    words, totals, coded = _coded(_chunks(docs, lang, text, chunk_bytes), min_count)
+    words, totals, coded = _coded(_chunks(docs, lang, text, chunk_bytes), min_count, buckets_of(docs.sparkSession))
     steps = _steps(words, shares)
     singles = words.select(F.array("id").alias("p"), F.col("f").alias("a"))
     tables, scored = [singles], None
@@ -274,7 +348,7 @@ def collocations(
         active = coded.join(limits.where("lo < hi").select("lang", "lo", "hi"), "lang")
         fresh, before = [], None
         for m in range(2, LONGEST + 1):
-            grown = None if before is None else _filter(before, m - 1, bits)
+            grown = _pairs_filter(active, min_count, bits) if before is None else _filter(before, m - 1, bits)
             before = _count(active, m, min_count, bits, grown, None, f"phrase-{step}-{m}")
             fresh.append(before)
             if before.isEmpty():

@@ -27,20 +27,28 @@ def main(argv: list[str] | None = None) -> int:
     x.add_argument("--sf-dir", required=True)
     for p in (f, x):
         p.add_argument("--out", required=True, help="output folder (Parquet tables)")
+        p.add_argument("--publish", action="store_true", help="write a version folder under --out and swap its manifest last")
         p.add_argument("--trees", type=int, default=200, help="trees per boosted model (default 200)")
         p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
         p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     a = ap.parse_args(argv)
 
-    from headway.plans.full_run import run, run_files
+    from headway.plans.full_run import run, run_files, run_published
     from headway.session import get_spark
 
     spark = get_spark(a.master)
+    kw = {"n_trees": a.trees, "fmt": a.format}
     if a.mode == "files":
-        _, seconds = run_files(spark, a.incidents, a.weather, a.forecast, a.out, years=tuple(a.year or [2024]),
-                               cache_dir=a.cache, skip_unreadable=a.skip_unreadable, n_trees=a.trees, fmt=a.format)
+        runner = run_files
+        kw |= {"incidents_dir": a.incidents, "weather_path": a.weather, "forecast_path": a.forecast, "years": tuple(a.year or [2024])}
+        kw |= {"cache_dir": a.cache, "skip_unreadable": a.skip_unreadable}
     else:
-        _, seconds = run(spark, a.sf_dir, out_dir=a.out, n_trees=a.trees, fmt=a.format)
+        runner = run
+        kw |= {"sf_dir": a.sf_dir}
+    if a.publish:
+        _, seconds = run_published(spark, a.out, runner, **kw)
+    else:
+        _, seconds = runner(spark, out_dir=a.out, **kw)
     print(json.dumps(seconds))
     return 0
 

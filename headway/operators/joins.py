@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.weather import FLAG_COLUMNS
@@ -57,6 +57,15 @@ def join_weather(
     return joined.na.fill(NEUTRAL_WEATHER)
 
 
+def match_counts() -> list[Column]:
+    """Aggregates over the fact table from which the match rates follow."""
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum((F.col("temp_c") != F.lit(10.0)).cast("long")), F.lit(0)).alias("not_ten"),
+        F.coalesce(F.sum((F.col("weather_condition") != F.lit("Unknown")).cast("long")), F.lit(0)).alias("not_unknown"),
+    ]
+
+
 def weather_match_rate(delays: DataFrame) -> DataFrame:
     """Share of incident rows whose temperature differs from the neutral 10 degrees.
 

@@ -23,7 +23,6 @@ from headway.operators.clean import (
 )
 from headway.operators.fallback import fallback_from_stats
 from headway.operators.forecast import forecast_grid, forecast_summary, score_alerts
-from headway.operators.joins import weather_match_rate
 from headway.operators.metrics import average_precision, brier, roc_auc, stratified_folds
 from headway.operators.windows import (
     FEATURES,
@@ -37,6 +36,7 @@ from headway.functions.numeric import r
 from headway.functions.weather import FLAG_COLUMNS
 from headway.sources import fixtures as fx
 from headway.sources.weather_json import explode_hourly
+from headway.plans.io_queries import IO_QUERIES
 from headway.plans.model_queries import COMPANIONS, MODEL_QUERIES
 from headway.plans.stages import stages
 
@@ -145,7 +145,7 @@ def q_delays_weather_join(spark, sf_dir):
 
 
 def q_weather_match_rate(spark, sf_dir):
-    return weather_match_rate(delays(spark, sf_dir))
+    return stages(spark, sf_dir).match_rate
 
 
 # ---------------------------------------------------------------- the five tables
@@ -408,3 +408,4 @@ QUERIES: dict[str, Query] = {
 
 QUERIES.update(MODEL_QUERIES)
 QUERIES.update(COMPANIONS)
+QUERIES.update(IO_QUERIES)

@@ -11,7 +11,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import dashboard as db
@@ -31,7 +31,8 @@ from headway.plans.model import (
 )
 from headway.plans.stages import Stages
 from headway.session import apply_conf, cluster_conf, input_bytes, materialize
-from headway.sources.sinks import metrics_long, table_counts, write_table
+from headway.sources.publish import new_version, publish
+from headway.sources.sinks import metrics_long, write_table
 
 
 def _force(df: DataFrame) -> None:
@@ -57,14 +58,11 @@ def read_written(spark: SparkSession, out_dir: str, name: str, fmt: str) -> Data
     return r.load(f"{out_dir}/{name}")
 
 
-def table_report(spark: SparkSession, out_dir: str, produced: dict[str, DataFrame], fmt: str = "parquet") -> DataFrame:
-    """(table, rows, bytes) of the written tables: rows counted by Spark from the
-    written files, bytes from the file system."""
-    counts = table_counts({name: read_written(spark, out_dir, name, fmt) for name in produced})
-    sizes = spark.createDataFrame(
-        [(name, input_bytes(spark, f"{out_dir}/{name}")) for name in produced], "table string, bytes long"
-    )
-    return counts.join(sizes, "table")
+def table_report(spark: SparkSession, out_dir: str, rows: dict[str, int]) -> DataFrame:
+    """(table, rows, bytes) of the written tables: rows as observed while they were written, bytes from the
+    file system; nothing is read back."""
+    found = [(name, n, input_bytes(spark, f"{out_dir}/{name}")) for name, n in rows.items()]
+    return spark.createDataFrame(found, "table string, rows long, bytes long")
 
 
 def run_jobs(jobs: dict[str, "callable"], parallelism: int) -> dict:
@@ -102,7 +100,7 @@ def model_metrics(model, linear, oof: DataFrame, train: DataFrame) -> DataFrame:
 
 def run(
     spark: SparkSession,
-    sf_dir: str,
+    sf_dir: str | None = None,
     out_dir: str | None = None,
     n_trees: int = 200,
     with_cv_metrics: bool = True,
@@ -128,10 +126,14 @@ def run(
     t = Timer()
     out: dict[str, DataFrame] = {}
 
+    written: dict[str, int] = {}
+
     def emit(name: str, df: DataFrame):
         out[name] = df
         if out_dir:
-            write_table(df, out_dir, name, fmt)
+            seen = Observation(f"{name}-{st.run_id}")
+            write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), out_dir, name, fmt)
+            written[name] = seen.get["rows"]
         else:
             _force(df)
 
@@ -190,8 +192,8 @@ def run(
         summary = run_jobs(jobs, parallelism)["forecast"]
     with t("dashboard"):
         # the written table when it is typed Parquet, else recomputed from the stored fact table
-        written = out_dir and fmt == "parquet"
-        rd = read_written(spark, out_dir, "route_daily", fmt) if written else st.route_daily
+        typed = out_dir and fmt == "parquet"
+        rd = read_written(spark, out_dir, "route_daily", fmt) if typed else st.route_daily
         run_jobs(
             {
                 "kpi_summary": lambda: emit("kpi_summary", db.kpi_summary(rd)),
@@ -203,7 +205,7 @@ def run(
         )
     if out_dir:
         with t("table_report"):
-            emit("table_report", table_report(spark, out_dir, {k: v for k, v in out.items() if k != "table_report"}, fmt))
+            emit("table_report", table_report(spark, out_dir, written))
     if release is None:
         release = bool(out_dir)
     if release:
@@ -212,6 +214,19 @@ def run(
     return out, t.seconds
 
 
+def run_published(spark: SparkSession, base: str, runner=run, **kw) -> tuple[dict[str, DataFrame], dict[str, float]]:
+    """A run (``run`` or ``run_files``, whose other arguments ``kw`` gives) published under ``base`` at once.
+
+    Everything is written to a version folder; the manifest is swapped when all of it is there.  A run that fails
+    leaves the published version as it was, and its own folder to the next one's clean-up.
+    """
+    folder = new_version(base)
+    out, seconds = runner(spark, out_dir=folder, **kw)
+    rows = {r.table: r.rows for r in read_written(spark, folder, "table_report", kw.get("fmt", "parquet")).collect()}  # one row a table
+    publish(spark, base, folder, {k: int(v) for k, v in rows.items()}, kw.get("fmt", "parquet"))
+    return out, seconds
+
+
 def run_files(
     spark: SparkSession,
     incidents_dir: str,

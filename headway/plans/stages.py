@@ -14,7 +14,7 @@ import logging
 import uuid
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import tables
@@ -22,6 +22,7 @@ from headway.operators.cells import build_cells
 from headway.operators.delays import build_delays
 from headway.operators.enrich import enrich_weather
 from headway.operators.fallback import fallback_from_stats, fallback_stats
+from headway.operators.joins import match_counts
 from headway.operators.forecast import forecast_grid, forecast_summary, score_alerts
 from headway.operators.quantiles import many_values
 from headway.operators.windows import label_windows, route_p60, training_features, window_aggregates
@@ -50,9 +51,27 @@ class Stages:
         if folder:
             remove_path(self.spark, folder)
 
+    @cached_property
+    def raw_weather(self) -> DataFrame:
+        """Hourly weather as read, stored: its size is checked before the join that reads it again."""
+        return self._m(self.inputs.weather(), "raw_weather")
+
     @cached_property
     def delays(self) -> DataFrame:
-        return self._m(build_delays(self.inputs.incidents(), self.inputs.weather(), self.inputs.weather_keys), "delays")
+        built = build_delays(self.inputs.incidents(), self.raw_weather, self.inputs.weather_keys)
+        seen = Observation(f"delays-{self.run_id}")
+        stored = self._m(built.observe(seen, *match_counts()), "delays")
+        self.observed = seen.get  # rows and matches, counted while the table was written
+        return stored
+
+    @property
+    def match_rate(self) -> DataFrame:
+        """What :func:`weather_match_rate` gives, from the counts taken while the fact table was written."""
+        _ = self.delays
+        seen = self.observed
+        n = seen["rows"]
+        rates = [seen[c] / n if n else None for c in ("not_ten", "not_unknown")]
+        return self.spark.createDataFrame([(n, *rates)], "rows long, weather_match_rate double, matched_rate double")
 
     @cached_property
     def cells(self) -> DataFrame:
@@ -66,7 +85,7 @@ class Stages:
 
     @cached_property
     def weather(self) -> DataFrame:
-        return self._m(enrich_weather(self.inputs.weather()), "weather")
+        return self._m(enrich_weather(self.raw_weather), "weather")
 
     @cached_property
     def route_daily(self) -> DataFrame:

@@ -34,19 +34,19 @@ stat as (
          coalesce(rep.n, 0)::bigint as n_repeat_words
   from split left join rep using (rid)),
 ratios as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
-  [case when n_words > 0 then n_symbols / n_words else 0.0 end, case when n_ls > 0 then n_dup_lines / n_ls else 0.0 end,
-   case when n_words > 0 then n_repeat_words / n_words else 0.0 end, case when n_words > 0 then word_chars / n_words else 0.0 end] as r
+  [(n_symbols + 1) / (n_words + 20.0), (n_dup_lines + 1) / (n_ls + 10.0), case when n_words > 0 then word_chars / n_words else 0.0 end] as r
   from stat),
-vals as (select lang, source, m, r[m] as v from (select *, unnest([1, 2, 3, 4]) as m from ratios)),
-est as (select lang, source, m, case when v > 0 then 2 * pow(1.02, ceil(ln(v) / ln(1.02))) / 2.02 else 0.0 end as v from vals),
-own as (select lang, source, m, count(*) as n, quantile_disc(v, 0.25) as a, quantile_disc(v, 0.75) as b from est group by all),
-whole as (select m, quantile_disc(v, 0.25) as a, quantile_disc(v, 0.75) as b from est group by m),
-lim as (select lang, source, m, greatest([0.25, 0.40, 0.30, 12.0][m],
-          case when own.n >= 100 then own.b + 3 * (own.b - own.a) else whole.b + 3 * (whole.b - whole.a) end) as l
+vals as (select lang, source, m, r[m] as v from (select *, unnest([1, 2, 3]) as m from ratios where not base_failed)),
+est as (select lang, source, m, 2 * pow(1.02, ceil(ln(v) / ln(1.02))) / 2.02 as v from vals),
+own as (select lang, source, m, count(*) as n, ln(quantile_disc(v, 0.25)) as a, ln(quantile_disc(v, 0.75)) as b from est group by all),
+whole as (select m, ln(quantile_disc(v, 0.25)) as a, ln(quantile_disc(v, 0.75)) as b from est group by m),
+lim as (select lang, source, m,
+          exp(least((n * (own.b + 2.5 * (own.b - own.a)) + 100 * (whole.b + 2.5 * (whole.b - whole.a))) / (n + 100),
+                    whole.b + 3.5 * (whole.b - whole.a))) as l
         from own join whole using (m)),
 lims as (select lang, source, list(l order by m) as l from lim group by lang, source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and r[1] <= l[1] and r[2] <= l[2] and r[3] <= l[3] and r[4] <= l[4] as kept
+       not base_failed and r[1] <= l[1] and r[2] <= l[2] and r[3] <= l[3] as kept
 from ratios left join lims on ratios.lang is not distinct from lims.lang and ratios.source is not distinct from lims.source
 """
 

@@ -10,6 +10,12 @@ adding counts, so a sketch is one ``groupBy`` with map-side partial sums, its qu
 are right within 1 % of the value, and they do not depend on how rows are dealt.
 The number of buckets is bounded by the range of doubles, whatever the rows.
 
+A group's limit is the upper fence of its own distribution on the logarithmic scale, q75 (q75 / q25)^FENCE.  It is
+drawn towards the fence of all documents by n / (n + SHRINK), so small groups change smoothly into it, and never
+passes the next fence of all documents, so that a source of junk cannot set its own limit.  No fixed cutoff
+takes part beside the base rules; ratios are smoothed by fixed amounts, so that one symbol in a short text is
+not a large ratio and a text without any has one.
+
 Column expressions only, on the whole path.
 """
 
@@ -26,15 +32,14 @@ GAMMA = 1.02
 WINDOW_WORDS = 8
 ZERO_BUCKET = -(2**31)
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: ratio: (numerator, denominator, floor under which a threshold never falls)
+#: ratio: (numerator, denominator, added to the numerator, added to the denominator)
 RATIOS = {
-    "symbol_ratio": ("n_symbols", "n_words", 0.25),
-    "dup_line_ratio": ("n_dup_lines", "n_text_lines", 0.40),
-    "repeat_ratio": ("n_repeat_words", "n_words", 0.30),
-    "word_length": ("word_chars", "n_words", 12.0),
+    "symbol_ratio": ("n_symbols", "n_words", 1, 20),
+    "dup_line_ratio": ("n_dup_lines", "n_text_lines", 1, 10),
+    "word_length": ("word_chars", "n_words", 0, 0),
 }
-FENCE = 3.0
-MIN_ROWS = 100
+FENCE = 2.5
+SHRINK = 100
 
 
 def _covered(first: Column, width: int) -> Column:
@@ -90,16 +95,17 @@ def base_failed() -> Column:
 
 
 def ratio(name: str) -> Column:
-    num, den, _ = RATIOS[name]
-    return F.when(F.col(den) > 0, F.col(num) / F.col(den)).otherwise(F.lit(0.0))
+    num, den, more, of = RATIOS[name]
+    return F.coalesce(F.try_divide((F.col(num) + more).cast("double"), (F.col(den) + of).cast("double")), F.lit(0.0))
 
 
 def sketches(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, metric, bucket, n): the mergeable sketch of every ratio in every group."""
+    """(lang, source, metric, bucket, n): the mergeable sketch of every ratio in every group, over the rows that
+    the base rules keep."""
     value = F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), ratio(k).alias("v")) for k in RATIOS])).alias("m")
     bucket = F.when(F.col("m.v") > 0, F.ceil(F.log(F.col("m.v")) / F.lit(math.log(GAMMA))).cast("int")).otherwise(F.lit(ZERO_BUCKET))
     return (
-        measured.select(F.col(lang).alias("lang"), F.col(source).alias("source"), value)
+        measured.where(~base_failed()).select(F.col(lang).alias("lang"), F.col(source).alias("source"), value)
         .select("lang", "source", "m.metric", bucket.alias("bucket"))
         .groupBy("lang", "source", "metric", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -125,20 +131,24 @@ def quantiles(sketch: DataFrame, keys: list[str], at: dict[str, float]) -> DataF
     )
 
 
-def thresholds(sketch: DataFrame, fence: float = FENCE, min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row for each (lang, source): ``rows`` and a limit for each ratio.
+def thresholds(sketch: DataFrame, fence: float = FENCE, shrink: float = SHRINK) -> DataFrame:
+    """One row for each (lang, source): ``rows`` and a limit for each ratio (null where no fence can be told).
 
-    limit = max(floor, q75 + fence * (q75 - q25)).  Groups of fewer than ``min_rows``
-    documents use the merged sketch of all groups.
+    log limit = (n * log own + shrink * log all) / (n + shrink), at most the fence of all with ``fence`` + 1,
+    where own and all are q75 * (q75 / q25)^fence of the group and of all documents.
     """
     at = {"q25": 0.25, "q75": 0.75}
-    floor = F.create_map(*[x for k, (_, _, f) in RATIOS.items() for x in (F.lit(k), F.lit(f))])
-    limit = F.greatest(floor[F.col("metric")], F.col("q75") + fence * (F.col("q75") - F.col("q25"))).alias("limit")
-    own = quantiles(sketch, ["lang", "source"], at).select("lang", "source", "metric", "rows", limit)
-    every = quantiles(sketch, [], at).select("metric", limit).withColumnRenamed("limit", "all_limit")
-    chosen = own.join(F.broadcast(every), "metric").select(  # one row for each ratio
-        "lang", "source", "rows", "metric", F.when(F.col("rows") >= min_rows, F.col("limit")).otherwise(F.col("all_limit")).alias("limit")
-    )
+
+    def log_fence(f):  # null where a quantile is 0
+        a, b = (F.when(F.col(q) > 0, F.log(F.col(q))) for q in ("q25", "q75"))
+        return b + f * (b - a)
+
+    own = quantiles(sketch, ["lang", "source"], at).select("lang", "source", "metric", "rows", log_fence(fence).alias("own"))
+    every = quantiles(sketch, [], at).select("metric", log_fence(fence).alias("all"), log_fence(fence + 1).alias("cap"))
+    both = own.join(F.broadcast(every), "metric")  # one row for each ratio
+    drawn = (F.col("rows") * F.col("own") + shrink * F.col("all")) / (F.col("rows") + shrink)
+    limit = F.exp(F.least(F.coalesce(drawn, "all"), F.col("cap")))
+    chosen = both.select("lang", "source", "rows", "metric", limit.alias("limit"))
     return chosen.groupBy("lang", "source").agg(F.max("rows").alias("rows"), *[F.max(F.when(F.col("metric") == k, F.col("limit"))).alias(k) for k in RATIOS])
 
 
@@ -153,11 +163,11 @@ def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: st
     return out.drop("limit lang", "limit source", "limit values")
 
 
-def quality_filter(measured: DataFrame, lang: str = "lang", source: str = "source", fence: float = FENCE, min_rows: int = MIN_ROWS) -> DataFrame:
+def quality_filter(measured: DataFrame, lang: str = "lang", source: str = "source", fence: float = FENCE, shrink: float = SHRINK) -> DataFrame:
     """Judged rows of ``measured`` (see ``measure``; store it first, it is read twice).
 
     Null languages and sources form groups of their own; empty and null texts have
     no words and fail the base rule; repeated rows count as often as they occur; an
     empty table gives an empty table.
     """
-    return judge(measured, thresholds(sketches(measured, lang, source), fence, min_rows), lang, source)
+    return judge(measured, thresholds(sketches(measured, lang, source), fence, shrink), lang, source)

@@ -48,10 +48,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids (little-endian unsigned 32-bit) and the text decoded from them."""
-    path, pattern = vocabulary()
-    out = bpe.encode_documents(docs, path, pattern)
-    decoded = bpe.decode_expr(spark, bpe.read_ranks(path), pattern, F.col("ids")).cast("string")
-    return out.select("doc_id", "lang", "source", "n_tokens", "ids", decoded.alias("text"))
+    out = bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), *vocabulary())
+    return out.select("doc_id", "lang", "source", "n_tokens", "ids", "text")
 
 
 STAGES = [

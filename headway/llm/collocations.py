@@ -15,8 +15,8 @@ floor(1000 * a * n / (l * r)): a, l, r are the counts of the phrase and its part
   have the same word before or after it.  Counts carry the smallest and largest neighbour along.
 
 Frequent words get ids, so keys are exact.  Texts are stored as chunks of one language, words as numbers of
-a dictionary of the chunk; a scan emits each different phrase of a chunk once, and Spark adds up, with partial
-sums before the shuffle: a phrase that holds a third of all places is one row a chunk.
+a dictionary of the chunk; a scan emits each different phrase of a task once (as far as HELD_ROWS allow), and Spark adds up:
+a phrase that holds a third of all places is one row a task.
 Pairs that may be frequent (by a sketch that never counts too little), prefixes that may grow, and parts to be
 counted, reach the scans as bit filters of fixed size (FILTER_BITS); a false positive is counted exactly like any
 other and then dropped, so results do not depend on the size.
@@ -25,6 +25,7 @@ other and then dropped, so results do not depend on the size.
 from __future__ import annotations
 
 import re
+import sys
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,8 @@ MIN_COUNT, TOP, LONGEST = 100, 2000, 5
 CHUNK_BYTES = 8 << 20
 FILTER_BITS = 1 << 22
 BLOCK = 1 << 13
+#: Phrases that a scanning task holds before it sends them on.
+HELD_ROWS = 1 << 20
 #: Shares of the occurrences up to which the frontier is grown step by step, best bounds first; then what is left.
 SHARES = (0.6,)
 TOKEN = re.compile(rb"[^\x20\x09\x0A]+|\x0A")
@@ -159,30 +162,23 @@ def slots(columns: list[np.ndarray], bits: int) -> np.ndarray:
 def _filter(phrases: DataFrame, m: int, bits: int) -> np.ndarray:
     """Bit filter of the first ``m`` ids of ``phrases`` (p: array of ids): at most bits / 8 bytes reach the driver."""
 
-    def blocks(batches):
-        own: dict[int, np.ndarray] = {}
+    def words(batches):
         for batch in batches:
             ids = batch.column(0).flatten().to_numpy()
             ids = ids.reshape(batch.num_rows, -1)[:, :m] if len(ids) else np.zeros((0, m), np.int64)
             at = np.unique(slots(list(ids.T), bits))
-            for b in np.unique(at // (8 * BLOCK)):
-                inside = at[at // (8 * BLOCK) == b] - b * 8 * BLOCK
-                have = own.setdefault(int(b), np.zeros(8 * BLOCK, bool))
-                have[inside] = True
-        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), pa.array([np.packbits(v).tobytes() for v in own.values()], pa.binary())], names=["b", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array((at >> 5).astype(np.int32)), pa.array(np.int64(1) << (at & 31))], names=["w", "bits"])
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        all_bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in pdf["bits"]])
-        return pd.DataFrame({"b": pdf["b"].iloc[:1], "bits": [all_bits.tobytes()]})
-
-    out = np.zeros(bits // 8, np.uint8)
-    for r in phrases.select("p").mapInArrow(blocks, "b int, bits binary").groupBy("b").applyInPandas(merge, "b int, bits binary").toLocalIterator():
-        out[r.b * BLOCK : r.b * BLOCK + BLOCK] = np.frombuffer(r.bits, np.uint8)
-    return out
+    found = phrases.select("p").mapInArrow(words, "w int, bits long").groupBy("w").agg(F.bit_or("bits").alias("bits"))
+    rows = found.toPandas()  # at most bits / 32 numbers
+    out = np.zeros(bits // 32, np.uint32)
+    out[rows["w"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out.view(np.uint8) if sys.byteorder == "little" else out.byteswap().view(np.uint8)
 
 
 def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    """Whether each place is set; place 0 is the lowest bit of the first byte."""
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def _word_ids(batch, r: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -218,7 +214,7 @@ def _pairs_filter(active: DataFrame, min_count: int, cells: int) -> np.ndarray:
         for blob in pdf["bits"]:
             planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1)
             total += np.ascontiguousarray(planes.T).view(np.int32).ravel()
-        return pd.DataFrame({"b": pdf["b"].iloc[:1], "bits": [np.packbits(total >= min_count).tobytes()]})
+        return pd.DataFrame({"b": pdf["b"].iloc[:1], "bits": [np.packbits(total >= min_count, bitorder="little").tobytes()]})
 
     out = np.zeros(cells // 8, np.uint8)
     for r in active.mapInArrow(sketch, "b int, bits binary").groupBy("b").applyInPandas(merge, "b int, bits binary").toLocalIterator():
@@ -237,8 +233,25 @@ def _count(coded: DataFrame, m: int, min_count: int, bits: int, grown: np.ndarra
     names = [*[f"w{i}" for i in range(m)], "c", "l0", "l1", "r0", "r1"]
     prefix = max(m - 1, 2)
 
+    def combined(key, counts, sides):
+        """Equal phrases added up: keys, counts and the smallest and largest neighbours."""
+        order = np.lexsort(key[::-1])
+        key, counts, sides = [k[order] for k in key], counts[order], [s[order] for s in sides]
+        first = np.ones(len(order), bool)
+        first[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in key])
+        first = np.flatnonzero(first)
+        ends = [f.reduceat(s, first) for s, f in zip(sides, (np.minimum, np.maximum, np.minimum, np.maximum), strict=True)]
+        return [k[first] for k in key], np.add.reduceat(counts, first), ends
+
     def scan(batches):
         grown, wanted = held.value
+        parts, size = [], 0  # what the chunks of the task have, combined when it is HELD_ROWS
+
+        def joined():
+            cols = [np.concatenate([x[i] for x in parts]) for i in range(m + 5)]
+            key, counts, ends = combined(cols[:m], cols[m], cols[m + 1 :])
+            return [*key, counts, *ends]
+
         for batch in batches:
             for r in range(batch.num_rows):
                 w, f, n = _word_ids(batch, r)
@@ -253,15 +266,18 @@ def _count(coded: DataFrame, m: int, min_count: int, bits: int, grown: np.ndarra
                 at, key = at[keep], [k[keep] for k in key]
                 if not len(at):
                     continue
-                order = np.lexsort(key[::-1])
-                key = [k[order] for k in key]
-                first = np.ones(len(at), bool)
-                first[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in key])
-                first = np.flatnonzero(first)
-                before, after = w[at[order] - 1], w[at[order] + m]
-                sides = [f.reduceat(x, first) for x in (before, after) for f in (np.minimum, np.maximum)]
-                counts = np.diff(np.append(first, len(at)))
-                yield pa.RecordBatch.from_arrays([*[pa.array(k[first]) for k in key], pa.array(counts.astype(np.int64)), *[pa.array(s) for s in sides]], names=names)
+                before, after = w[at - 1], w[at + m]
+                key, counts, ends = combined(key, np.ones(len(at), np.int64), [before, before, after, after])
+                parts.append([*key, counts, *ends])
+                size += len(counts)
+                if size >= HELD_ROWS:
+                    parts = [joined()]
+                    size = len(parts[0][0])
+                    if size >= HELD_ROWS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in parts[0]], names=names)
+                        parts, size = [], 0
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in joined()], names=names)
 
     found = coded.mapInArrow(scan, ", ".join(f"{c} long" for c in names))
     total = found.groupBy(*names[:m]).agg(F.sum("c").alias("a"), F.min("l0").alias("l0"), F.max("l1").alias("l1"), F.min("r0").alias("r0"), F.max("r1").alias("r1")).where(F.col("a") >= min_count)

@@ -114,14 +114,6 @@ def population_standardised(df: DataFrame, n: int, col: str = "features", out: s
     return Standardiser.fit(df, n, col, out).transform(df)
 
 
-def raw_margin(col: str = "rawPrediction") -> F.Column:
-    return vector_to_array(F.col(col)).getItem(1)
-
-
-def positive_probability(col: str = "probability") -> F.Column:
-    return vector_to_array(F.col(col)).getItem(1)
-
-
 @dataclass
 class BoostedTrees:
     """One fitted tree model."""
@@ -160,21 +152,30 @@ class CalibratedTrees:
         return df.withColumn(out, score(vector_to_array("features")))
 
 
+def linear_margin(model, features: str) -> F.Column:
+    """x . w + b of a fitted linear model, as a column expression over its feature vector.
+
+    (The model's own ``transform`` carries its training summary, and with it the session, into the tasks, which
+    fails once the session has observed metrics.)
+    """
+    x = vector_to_array(features)
+    total = F.lit(float(model.intercept))
+    for i, w in enumerate(model.coefficients.toArray().tolist()):
+        total = total + x.getItem(i) * F.lit(w)
+    return total
+
+
+def platt_probability(model, margin: F.Column) -> F.Column:
+    return logistic(F.lit(float(model.intercept)) + margin * F.lit(float(model.coefficients[0])))
+
+
 @dataclass
 class CalibratedLinear:
     members: list = field(default_factory=list)  # (LogisticRegressionModel, LogisticRegressionModel on margin)
 
     def predict(self, df: DataFrame, out: str = "lr_prob") -> DataFrame:
-        cols = []
-        for i, (lin, platt) in enumerate(self.members):
-            m = lin.transform(df).withColumn(f"_lm{i}", raw_margin()).drop("rawPrediction", "probability", "prediction")
-            m = VectorAssembler(inputCols=[f"_lm{i}"], outputCol=f"_lv{i}").transform(m)
-            m = platt.setFeaturesCol(f"_lv{i}").transform(m)
-            df = m.withColumn(f"_lp{i}", positive_probability()).drop("rawPrediction", "probability", "prediction")
-            cols.append(F.col(f"_lp{i}"))
-        mean = sum(cols[1:], cols[0]) / F.lit(float(len(cols)))
-        drop = [f"_{p}{i}" for i in range(len(cols)) for p in ("lm", "lv", "lp")]
-        return df.withColumn(out, mean).drop(*drop)
+        probs = [platt_probability(platt, linear_margin(lin, "features_z")) for lin, platt in self.members]
+        return df.withColumn(out, sum(probs[1:], probs[0]) / F.lit(float(len(probs))))
 
 
 def _parallel(tasks: list, parallelism: int) -> list:
@@ -195,7 +196,7 @@ def _linear_member(train: DataFrame, params: LinearParams, f: int):
             featuresCol="features_z", labelCol="label", regParam=1.0 / (params.C * max(n, 1)),
             elasticNetParam=0.0, standardization=False, maxIter=params.max_iter,
         ).fit(fit_part)
-        m = lin.transform(train.filter(F.col("cal_fold") == f)).select(raw_margin().alias("m"), "label")
+        m = train.filter(F.col("cal_fold") == f).select(linear_margin(lin, "features_z").alias("m"), "label")
         m = VectorAssembler(inputCols=["m"], outputCol="mv").transform(m)
         platt = LogisticRegression(featuresCol="mv", labelCol="label", regParam=0.0, maxIter=100).fit(m)
         return lin, platt

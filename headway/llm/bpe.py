@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from headway.llm.text import with_columns
 
 NONE = 1 << 62
-REMEMBERED_PIECES = 1 << 18
+REMEMBERED_PIECES = 1 << 16
 #: Characters of text that are encoded, and leave a worker, at a time.
-OUT_BYTES = 2 << 20
+OUT_BYTES = 1 << 20
 REMEMBERED_BYTES = 64
 #: Pieces of up to so many bytes are merged side by side, in matrices of about CELLS leaves.
 SIDE_BY_SIDE = 256
@@ -218,16 +218,17 @@ class Codec:
         return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-def groups(texts: list[str], most: int) -> list[list[str]]:
+def groups(texts, most: int):
     """``texts`` in turn, in lists of about ``most`` characters; a text is never cut."""
-    out, held = [[]], 0
+    own, held = [], 0
     for t in texts:
-        if held >= most:
-            out.append([])
-            held = 0
-        out[-1].append(t)
+        own.append(t)
         held += len(t) + 16
-    return out
+        if held >= most:
+            yield own
+            own, held = [], 0
+    if own:
+        yield own
 
 
 #: The worker's codec and what it was made for: one at a time, whatever queries a reused worker serves.
@@ -249,7 +250,7 @@ def encode_expr(spark: SparkSession, ranks: dict[bytes, int], pattern: str, text
     @F.pandas_udf("binary")
     def encode(texts: pd.Series) -> pd.Series:
         codec = codec_of(shared, pattern)
-        return pd.Series([ids for own in groups([t or "" for t in texts], OUT_BYTES) for ids in codec.encode_all(own)], dtype=object)
+        return pd.Series([ids for own in groups((t or "" for t in texts), OUT_BYTES) for ids in codec.encode_all(own)], dtype=object)
 
     return encode(text)
 
@@ -294,7 +295,7 @@ def encode_and_decode(docs: DataFrame, vocabulary: str, pattern: str, text: str
         codec = codec_of(shared, pattern)
         for batch in batches:
             begin = 0
-            for own in groups(batch.column(batch.num_columns - 1).to_pylist(), OUT_BYTES):
+            for own in groups((t.as_py() for t in batch.column(batch.num_columns - 1)), OUT_BYTES):
                 ids = codec.encode_all(own)
                 back = [codec.decode(i).decode() for i in ids]
                 cols = [c.slice(begin, len(own)) for c in batch.columns[:-1]]
@@ -316,7 +317,7 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(texts: pd.Series) -> pd.DataFrame:
         codec, rows = codec_of(shared, pattern), []
-        for ids in (i for own in groups([t or "" for t in texts], OUT_BYTES) for i in codec.encode_all(own)):
+        for ids in (i for own in groups((t or "" for t in texts), OUT_BYTES) for i in codec.encode_all(own)):
             rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 

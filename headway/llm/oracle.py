@@ -37,9 +37,9 @@ ratios as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base
   [(n_symbols + 1) / (n_words + 20.0), (n_dup_lines + 1) / (n_ls + 10.0), case when n_words > 0 then word_chars / n_words else 0.0 end] as r
   from stat),
 vals as (select lang, source, m, r[m] as v from (select *, unnest([1, 2, 3]) as m from ratios where not base_failed)),
-est as (select lang, source, m, 2 * pow(1.02, ceil(ln(v) / ln(1.02))) / 2.02 as v from vals),
-own as (select lang, source, m, count(*) as n, ln(quantile_disc(v, 0.25)) as a, ln(quantile_disc(v, 0.75)) as b from est group by all),
-whole as (select m, ln(quantile_disc(v, 0.25)) as a, ln(quantile_disc(v, 0.75)) as b from est group by m),
+est as (select lang, source, m, pow(1.02, ceil(ln(v) / ln(1.02))) as hi from vals),
+own as (select lang, source, m, count(*) as n, ln(quantile_disc(hi, 0.25) / 1.02) as a, ln(quantile_disc(hi, 0.75)) as b from est group by all),
+whole as (select m, ln(quantile_disc(hi, 0.25) / 1.02) as a, ln(quantile_disc(hi, 0.75)) as b from est group by m),
 lim as (select lang, source, m,
           exp(least((n * (own.b + 2.5 * (own.b - own.a)) + 100 * (whole.b + 2.5 * (whole.b - whole.a))) / (n + 100),
                     whole.b + 3.5 * (whole.b - whole.a))) as l

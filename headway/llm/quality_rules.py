@@ -135,12 +135,16 @@ def thresholds(sketch: DataFrame, fence: float = FENCE, shrink: float = SHRINK)
     """One row for each (lang, source): ``rows`` and a limit for each ratio (null where no fence can be told).
 
     log limit = (n * log own + shrink * log all) / (n + shrink), at most the fence of all with ``fence`` + 1,
-    where own and all are q75 * (q75 / q25)^fence of the group and of all documents.
+    where own and all are q75 * (q75 / q25)^fence of the group and of all documents (q75 the upper end of
+    its bucket, q25 the lower end).
     """
     at = {"q25": 0.25, "q75": 0.75}
 
     def log_fence(f):  # null where a quantile is 0
-        a, b = (F.when(F.col(q) > 0, F.log(F.col(q))) for q in ("q25", "q75"))
+        # the upper end of q75's bucket and the lower end of q25's, so that a ratio that is the same
+        # everywhere stays within its own fence
+        a = F.when(F.col("q25") > 0, F.log(F.col("q25")) + math.log((GAMMA + 1) / 2 / GAMMA))
+        b = F.when(F.col("q75") > 0, F.log(F.col("q75")) + math.log((GAMMA + 1) / 2))
         return b + f * (b - a)
 
     own = quantiles(sketch, ["lang", "source"], at).select("lang", "source", "metric", "rows", log_fence(fence).alias("own"))

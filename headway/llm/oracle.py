@@ -33,11 +33,11 @@ stat as (
          (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, len(ls) as n_ls,
          coalesce(rep.n, 0)::bigint as n_repeat_words
   from split left join rep using (rid)),
-ratios as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+ratios as materialized (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
   [(n_symbols + 1) / (n_words + 20.0), (n_dup_lines + 1) / (n_ls + 10.0), case when n_words > 0 then word_chars / n_words else 0.0 end] as r
   from stat),
 vals as (select lang, source, m, r[m] as v from (select *, unnest([1, 2, 3]) as m from ratios where not base_failed)),
-est as (select lang, source, m, pow(1.02, ceil(ln(v) / ln(1.02))) as hi from vals),
+est as materialized (select lang, source, m, pow(1.02, ceil(ln(v) / ln(1.02))) as hi from vals),
 own as (select lang, source, m, count(*) as n, ln(quantile_disc(hi, 0.25) / 1.02) as a, ln(quantile_disc(hi, 0.75)) as b from est group by all),
 whole as (select m, ln(quantile_disc(hi, 0.25) / 1.02) as a, ln(quantile_disc(hi, 0.75)) as b from est group by m),
 lim as (select lang, source, m,

@@ -13,10 +13,12 @@
 
 No bucket emits its pairs.  First every node of a bucket is held against the bucket's
 smallest node only, which joins nearly all copies of a group.  Buckets that then hold
-nodes of more than one component are dealt out in blocks of bounded size, and only pairs
-across components go on: first the most similar pair of every two components, then all
-that are left.  So no link that bands and sketches show is lost, and none inside a
-component is looked at twice.
+nodes of more than one component are dealt out in blocks of bounded size.  Blocks carry
+prints, 16 bits of every shingle, whose matches are never fewer than the shingles two sets
+share; so pairs are settled where they meet, and only those whose prints meet the threshold
+go on, each from the bucket of the first band it shares: first as many as join the components
+of a lot, then all that are left across components.  So no link that bands and sketches show
+is lost, and none inside a component is looked at twice.
 """
 
 from __future__ import annotations
@@ -36,8 +38,12 @@ ROWS = 4
 #: Sets of up to so many shingles meet every set that meets the threshold with them.
 SMALL = 16
 EMPTY = 0xFFFF
-BLOCK = 256
-LOT = 20_000
+BLOCK = 1024
+LOT = 10_000
+#: Pairs of a lot that are looked at side by side.
+PAIRS = 1 << 14
+#: Shingles up to which all of a set have a print; larger sets halve by hash until so many are left.
+PRINTS = 1024
 STRIPE = 1 << 20
 #: Deviations of the estimate under the threshold at which a pair is still verified.
 DEVIATIONS = 5.0
@@ -96,12 +102,68 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def band_hashes(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a hash of each band, whether it has a register in use) of rows of sketches."""
+    rows = sketches.reshape(len(sketches), -1, ROWS)
+    code = rows.astype(np.uint64) @ np.array([1 << (16 * i) for i in range(ROWS)], np.uint64)
+    return mix(code + np.arange(1, rows.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)), (rows != EMPTY).any(axis=-1)
+
+
 def band_keys(sketch: np.ndarray) -> np.ndarray:
     """A hash of each band that has a register in use."""
-    rows = sketch.reshape(-1, ROWS)
-    code = rows.astype(np.uint64) @ np.array([1 << (16 * i) for i in range(ROWS)], np.uint64)
-    used = (rows != EMPTY).any(axis=1)
-    return mix(code + np.arange(1, len(rows) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[used]
+    keys, used = band_hashes(sketch[None])
+    return keys[used]
+
+
+def first_shared(keys: np.ndarray, used: np.ndarray, bucket: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the bucket that shows rows x and y is that of the first band they share, or they share none."""
+    same = (keys[x] == keys[y]) & used[x]
+    return ~same.any(axis=1) | (keys[x, same.argmax(axis=1)] == bucket[x])
+
+
+def prints(shingles: np.ndarray) -> np.ndarray:
+    """Level, number of prints that the next level keeps, and 16 bits of each of the sorted hashes that begin with ``level`` zero bits."""
+    level, kept = 0, shingles
+    while len(kept) > PRINTS:
+        level += 1
+        kept = kept[: np.searchsorted(kept, np.uint64(1 << (64 - level)))]
+    half = np.searchsorted(kept, np.uint64(1 << (63 - level)))
+    return np.concatenate(([level, half], kept & np.uint64(0xFFFF))).astype(np.uint16)
+
+
+def resembling(held: list[np.ndarray], x: np.ndarray, y: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """(similarity, whether the pair is to be verified) of rows x and y by their prints.
+
+    Equal shingles have equal prints, so the similarity is never under that of the (halved) sets: no pair of
+    level 0 that meets the threshold is left out.  Halved sets are samples and have the estimate's deviations.
+    """
+    level = np.array([p[0] for p in held], np.int64)
+    both, size = np.full(len(x), np.inf), np.full(len(x), np.inf)  # pairs further apart than a level are verified
+    table = np.zeros(1 << 16, np.int64)
+    order = np.argsort(x, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(x[order])) + 1) if len(x) else []:
+        i = x[own[0]]
+        gap = level[y[own]] - level[i]
+        for g in (-1, 0, 1):
+            at = own[gap == g]
+            if not len(at):
+                continue
+            mine = held[i][2 : 2 + int(held[i][1])] if g > 0 else held[i][2:]
+            theirs = [held[j][2 : 2 + int(held[j][1])] if g < 0 else held[j][2:] for j in y[at].tolist()]
+            value, count = np.unique(mine, return_counts=True)
+            table[value] = count
+            sizes = np.array([len(t) for t in theirs])
+            upto = np.concatenate(([0], np.cumsum(table[np.concatenate(theirs)])))
+            ends = np.cumsum(sizes)
+            table[value] = 0
+            both[at] = np.minimum(upto[ends] - upto[ends - sizes], np.minimum(sizes, len(mine)))
+            size[at] = len(mine) + sizes - both[at]
+    far = np.isinf(size)
+    sim = np.where(far, 1.0, both / np.where(far, 1.0, np.maximum(size, 1)))
+    t = threshold / 100
+    halved = np.maximum(level[x], level[y]) > 0
+    slack = DEVIATIONS * np.sqrt(t * (1 - t) / np.maximum(size, 1))
+    return sim, far | np.where(halved, sim >= t - slack, 100 * both >= threshold * size)
 
 
 def prefix_keys(shingles: np.ndarray, threshold: int) -> np.ndarray:
@@ -148,6 +210,14 @@ def _sketch_column(text: Column, threshold: int) -> Column:
     return sketch(text)
 
 
+def _prints(text: Column) -> Column:
+    @F.pandas_udf("binary")
+    def held(texts: pd.Series) -> pd.Series:
+        return pd.Series([prints(s).tobytes() for s in shingle_sets(texts)], dtype=object)
+
+    return held(text)
+
+
 def _bands(regs: Column) -> Column:
     @F.pandas_udf("array<long>")
     def bands(blobs: pd.Series) -> pd.Series:
@@ -163,7 +233,7 @@ def _likely(threshold: int, *cols: str) -> Column:
         est, go = likely(stack(a), stack(b), n_a.to_numpy(), n_b.to_numpy(), threshold)
         return pd.DataFrame({"est": est, "go": go})
 
-    return held(*cols)
+    return held.asNondeterministic()(*cols)  # or a filter on it has it evaluated twice, in two workers a task
 
 
 def _linked(threshold: int, a: str, b: str) -> Column:
@@ -219,8 +289,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
 
 
 def _across(members: DataFrame, threshold: int, every: bool) -> DataFrame:
-    """(a, b, ca, cb, est) of likely pairs across components (without ``every``: the likeliest of every
-    two components that a lot shows) in the buckets of ``members`` (key, g, node, root, n, regs).
+    """(a, b) of pairs across components that their prints put at the threshold, in the buckets of ``members``
+    (key, g, node, root, n, regs, prints); without ``every``: no more than join the components of a lot.
 
     A bucket of g members is dealt in ceil(g / BLOCK) blocks; every two blocks meet, in at
     most 2 * BLOCK rows.  Python gets such meetings by the lot, about LOT rows at a time.
@@ -228,55 +298,80 @@ def _across(members: DataFrame, threshold: int, every: bool) -> DataFrame:
     blocks = F.ceil(F.col("g") / BLOCK).cast("int")
     own = members.select("*", blocks.alias("k"), F.pmod(F.hash("node"), blocks).alias("own"))
     dealt = own.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-    dealt = dealt.select("key", "node", "root", "n", "regs", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    dealt = dealt.select("key", "node", "root", "n", "regs", "prints", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
     size = members.agg(F.sum(F.ceil(F.col("g") / BLOCK))).first()[0] or 0
     lots = max(1, int(size) // LOT)
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["key", "p", "q"], kind="stable", ignore_index=True)
         regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(len(pdf), REGISTERS)
+        held = [np.frombuffer(b, np.uint16) for b in pdf["prints"]]
+        keys, used = band_hashes(regs)
+        bucket = pdf["key"].to_numpy(np.int64).view(np.uint64)
         n, block = pdf["n"].to_numpy(), pdf["own"].to_numpy()
-        root, node = (pd.factorize(pdf[c].map(bytes))[0] for c in ("root", "node"))
+        root = pd.factorize(pdf["root"].map(bytes))[0]
         new = np.flatnonzero(pdf[["key", "p", "q"]].ne(pdf[["key", "p", "q"]].shift()).any(axis=1).to_numpy())
         one_block = (pdf["p"] == pdf["q"]).to_numpy()
-        held, i, j, e = 0, [], [], []
-        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        joined = np.arange(len(pdf))  # of each root the one it has been joined with; without ``every`` only
+        found: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def settle():
+        def settle(pairs):
+            nonlocal joined
             x, y = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-            go = root[x] != root[y]
+            go = joined[root[x]] != joined[root[y]]
             go &= one_block[x] | (block[x] != block[y])
+            go &= 100 * np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y])
             x, y = x[go], y[go]
-            _, first = np.unique(np.minimum(node[x], node[y]) * len(pdf) + np.maximum(node[x], node[y]), return_index=True)
-            x, y = x[first], y[first]
-            est, go = likely(regs[x], regs[y], n[x], n[y], threshold)
-            i.append(x[go])
-            j.append(y[go])
-            e.append(est[go])
-
+            go = first_shared(keys, used, bucket, x, y)
+            x, y = x[go], y[go]
+            go = likely(regs[x], regs[y], n[x], n[y], threshold)[1]
+            x, y = x[go], y[go]
+            sim, go = resembling(held, x, y, threshold)
+            x, y, sim = x[go], y[go], sim[go]
+            if not every and len(x):
+                own = joined.tolist()
+
+                def top(r):
+                    while own[r] != r:
+                        own[r] = own[own[r]]
+                        r = own[r]
+                    return r
+
+                taken = []
+                for i in np.argsort(-sim, kind="stable").tolist():
+                    a, b = top(root[x[i]]), top(root[y[i]])
+                    if a != b:
+                        own[a] = b
+                        taken.append(i)
+                x, y = x[taken], y[taken]
+                joined = np.array(own)
+                while (joined[joined] != joined).any():
+                    joined = joined[joined]
+            found.append((x, y))
+
+        size, pairs = 0, []
         for a, b in zip(new.tolist(), [*new[1:].tolist(), len(pdf)], strict=True):
             if (root[a:b] == root[a]).all():
                 continue
-            x, y = np.triu_indices(b - a, 1)
-            pairs.append((x + a, y + a))
-            held += len(x)
-            if held > 1 << 16:
-                settle()
-                held, pairs = 0, []
+            step = max(1, PAIRS // (b - a))
+            for at in range(a, b, step):
+                x, y = np.triu_indices(min(step, b - at), 1, b - at)
+                pairs.append((x + at, y + at))
+                size += len(x)
+                if size >= PAIRS:
+                    settle(pairs)
+                    size, pairs = 0, []
         if pairs:
-            settle()
+            settle(pairs)
         none = np.zeros(0, np.int64)
-        x, y, est = np.concatenate([none, *i]), np.concatenate([none, *j]), np.concatenate([np.zeros(0), *e])
+        x, y = (np.concatenate([none, *[f[k] for f in found]]) for k in (0, 1))
         nodes, roots = pdf["node"].to_numpy(), pdf["root"].to_numpy()
         swap = np.array([bytes(roots[u]) > bytes(roots[v]) for u, v in zip(x, y, strict=True)], bool)
         x, y = np.where(swap, y, x).astype(np.int64), np.where(swap, x, y).astype(np.int64)
-        out = pd.DataFrame({"a": nodes[x], "b": nodes[y], "ca": roots[x], "cb": roots[y], "est": est})
-        if every:
-            return out
-        return out.sort_values("est", kind="stable").drop_duplicates(["ca", "cb"], keep="last")
+        return pd.DataFrame({"a": nodes[x], "b": nodes[y]})
 
     lot = F.pmod(F.xxhash64("key", "p", "q"), F.lit(lots))
-    return dealt.groupBy(lot.alias("lot")).applyInPandas(meet, "a binary, b binary, ca binary, cb binary, est double").distinct()
+    return dealt.groupBy(lot.alias("lot")).applyInPandas(meet, "a binary, b binary").distinct()
 
 
 def _groups(docs: DataFrame, doc_id: str, text: str, threshold: int) -> tuple[DataFrame, DataFrame]:
@@ -313,15 +408,20 @@ def _groups(docs: DataFrame, doc_id: str, text: str, threshold: int) -> tuple[Da
     links, roots = _more(links, roots, _verified(left, texts, threshold))
 
     tried = stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))  # or in one component
+    # a bucket's smallest node has been held against all others
+    others = members.where((F.col("g") > 2) & (F.col("node") != F.col("lead")))
+    held = None
     for every in (False, True):
-        m = members.join(roots, "node", "left").select("key", "g", "node", F.coalesce("root", "node").alias("root"))
+        m = others.join(roots, "node", "left").select("key", "g", "node", F.coalesce("root", "node").alias("root"))
         mixed = m.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y")).select("key")
         mixed = materialize(mixed, "near-mixed")
         if mixed.isEmpty():
             break
-        left = _across(m.join(mixed, "key").join(nodes.drop("few"), "node"), threshold, every).join(tried, ["a", "b"], "left_anti")
-        if not every:
-            left = left.groupBy("ca", "cb").agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b")
+        m = materialize(m.join(mixed, "key"), "near-meeting")
+        if held is None:  # components only grow, so the second time has no other nodes
+            own = nodes.select("node", "n", "regs").join(texts, "node").join(m.select("node").distinct(), "node", "left_semi")
+            held = materialize(own.select("node", "n", "regs", _prints(F.col("text")).alias("prints")), "near-prints")
+        left = _across(m.join(held, "node"), threshold, every).join(tried, ["a", "b"], "left_anti")
         links, roots = _more(links, roots, _verified(left, texts, threshold))
     return rows, roots
 
